@@ -19,6 +19,7 @@ from surveylake.sources.files import decode_lines, open_in_place
 WHOLE_ARCHIVE_BYTES = 256 << 20
 BLOCK_BYTES = 1 << 20
 
+MEMBER_SCHEMA = "year string, month string, path string, member string"
 BLOCK_SCHEMA = "year string, month string, member string, header string, block string"
 
 
@@ -49,14 +50,12 @@ def read_blocks(archives: DataFrame, whole_bytes: int = WHOLE_ARCHIVE_BYTES) ->
     """
     period = ["year", "month"]
     whole = archives.where(F.col("length") <= whole_bytes).select(*period, "content")
-    large = archives.where(F.col("length") > whole_bytes).select(*period, "path")
+    large = archives.where(F.col("length") > whole_bytes)
     # A fixed count: adaptive execution would merge these short rows into one task and unpack serially.
     tasks = archives.sparkSession.sparkContext.defaultParallelism
-    members = large.mapInArrow(_list_members, "year string, month string, path string, member string")
-    return (
-        whole.mapInArrow(_unpack_contents, BLOCK_SCHEMA)
-        .unionByName(members.repartition(tasks).mapInArrow(_unpack_members, BLOCK_SCHEMA))
-    )
+    members = members_of(large).repartition(tasks)
+    in_place = members.mapInArrow(_unpack_members, BLOCK_SCHEMA)
+    return whole.mapInArrow(_unpack_contents, BLOCK_SCHEMA).unionByName(in_place)
 
 
 def block_lines(blocks: DataFrame) -> DataFrame:
@@ -118,8 +117,8 @@ def scan_landed(
 
 
 def members_of(archives: DataFrame) -> DataFrame:
-    """The CSV members found: year, month, member (base name)."""
-    return read_blocks(archives).where(F.col("block").isNull()).select("year", "month", "member")
+    """The CSV members: year, month, path, member. Reads the archives' own directories, not their data."""
+    return archives.select("year", "month", "path").mapInArrow(_list_members, MEMBER_SCHEMA)
 
 
 def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

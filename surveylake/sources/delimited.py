@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from pathlib import PurePosixPath
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,9 +47,14 @@ def scan_groups(
 
     Each file is read by one frame only. The driver sees headers and locations, never rows.
     """
+    found = header_locations(file_headers(spark, root, glob)).collect()
+    # Reading a directory also reads what lies below it, so one that holds others is named by its files.
+    outer = {str(parent) for row in found for parent in PurePosixPath(row.directory).parents}
     locations, keys = defaultdict(list), {}
-    for row in header_locations(file_headers(spark, root, glob)).toLocalIterator():
-        locations[row.header].append(row.location)
+    for row in found:
+        whole_directory = row.location == row.directory
+        named = f"{row.location}/{glob}" if whole_directory and row.directory in outer else row.location
+        locations[row.header].append(named)
         keys[row.header] = _directory_keys(row.directory, root)
     groups = []
     for header in sorted(locations):
