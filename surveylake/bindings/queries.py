@@ -58,7 +58,7 @@ tests = partial(gold_frame, "testes_uf")
 def ingest_archives(spark: SparkSession, d: str) -> DataFrame:
     zipped, landed = scratch_path(spark, "archives"), scratch_path(spark, "landed")
     write_archives(bronze(spark, d), zipped)
-    archives.land_archives(spark, zipped, landed)
+    archives.land_archives(archives.list_archives(spark, zipped), landed)
     return archives.scan_landed(spark, landed, CORE_COLUMNS)
 
 

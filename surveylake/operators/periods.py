@@ -6,12 +6,11 @@ from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveylake.contract import BRONZE_PERIOD, SILVER_PERIOD
-from surveylake.sources.layers import write_silver
+from surveylake.contract import BRONZE_PERIOD, SILVER_PERIOD, strings
+from surveylake.sources.layers import load_if_present, write_silver
 
 # The months read unless others are asked for.
 ALLOWED_MONTHS = ("09", "10", "11")
@@ -41,15 +40,12 @@ def discover_periods(
 ) -> DataFrame:
     """Distinct key values found in the directory names below `root`. Opens no file; a missing root has none."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-    try:
-        files = reader.load(root)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], ", ".join(f"{key} string" for key in keys))
+    files = load_if_present(reader, root)
+    if files is None:
+        return spark.createDataFrame([], strings(keys))
     found = files.select(*[F.regexp_extract("path", f"/{key}=([^/]*)/", 1).alias(key) for key in keys])
     named = found.where(reduce(and_, [F.col(key) != "" for key in keys])).distinct()
-    return named.select(*[F.nullif(key, F.lit(NULL_DIRECTORY)).alias(key) for key in keys])
+    return named.select(*[_key_value(F.col(key)).alias(key) for key in keys])
 
 
 def missing_periods(discovered: DataFrame, registered: DataFrame, keys: Sequence[str] = BRONZE_PERIOD) -> DataFrame:
@@ -58,10 +54,10 @@ def missing_periods(discovered: DataFrame, registered: DataFrame, keys: Sequence
 
 def period_status(discovered: DataFrame, registered: DataFrame, keys: Sequence[str] = BRONZE_PERIOD) -> DataFrame:
     """Every discovered period with `status` `added` or `existing`."""
-    added = missing_periods(discovered, registered, keys).withColumn("status", F.lit("added"))
-    existing = discovered.join(registered, _same_period(discovered, registered, keys), "left_semi")
-    existing = existing.withColumn("status", F.lit("existing"))
-    return added.unionByName(existing)
+    known = registered.select(*keys).distinct().withColumn("_known", F.lit(True))
+    joined = discovered.join(known, _same_period(discovered, known, keys), "left")
+    status = F.when(F.col("_known"), "existing").otherwise("added")
+    return joined.select(*[discovered[key] for key in keys], status.alias("status"))
 
 
 def refresh_periods(
@@ -79,7 +75,7 @@ def refresh_periods(
     wanted = missing_periods(periods_of(source, keys), discover_periods(spark, target, keys), keys)
     periods = sorted((tuple(row) for row in wanted.collect()), key=str)
     if periods:
-        write_silver(transform(source.where(_any_period(periods, keys))), target, only_its_periods=True)
+        write_silver(transform(source.where(any_period(periods, keys))), target, existing="replace_periods")
     return periods
 
 
@@ -87,9 +83,15 @@ def _same_period(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Colu
     return reduce(and_, [left[key].eqNullSafe(right[key]) for key in keys])
 
 
-def _any_period(periods: list[tuple], keys: Sequence[str]) -> Column:
+def any_period(periods: Sequence[tuple], keys: Sequence[str]) -> Column:
+    """Whether a row is of one of the listed periods."""
     return reduce(or_, [reduce(and_, [_is(F.col(k), v) for k, v in zip(keys, p)]) for p in periods])
 
 
+def _key_value(name: Column) -> Column:
+    """The value behind a directory name, which Spark percent-encodes."""
+    return F.url_decode(F.replace(F.nullif(name, F.lit(NULL_DIRECTORY)), F.lit("+"), F.lit("%2B")))
+
+
 def _is(column: Column, value) -> Column:
     return column.isNull() if value is None else column == value

@@ -1,4 +1,4 @@
-"""Session defaults and the shared folder for intermediate tables."""
+"""Session defaults, shuffle sizing, and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
@@ -6,15 +6,17 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+# Shuffled bytes that one task should handle.
+TASK_BYTES = 256 << 20
 
-def build_session(app_name: str = "surveylake", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the transforms were written for.
 
-    Shuffle sizes are left to adaptive execution; `conf` keys use `__` for `.`.
-    """
+def build_session(app_name: str = "surveylake", master: str | None = None, **conf: str) -> SparkSession:
+    """A session with the settings the transforms were written for; `conf` keys use `__` for `.`."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.ansi.enabled", "true")
@@ -22,6 +24,8 @@ def build_session(app_name: str = "surveylake", master: str | None = None, **con
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # A task that writes a few periods keeps a file open for each instead of sorting its rows first.
+        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
     )
     if master:
         builder = builder.master(master)
@@ -30,6 +34,19 @@ def build_session(app_name: str = "surveylake", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, files: DataFrame, task_bytes: int = TASK_BYTES) -> int:
+    """Raises the number of shuffle partitions to suit an input, given its files (column `length`).
+
+    Adaptive execution merges partitions that turn out small but never splits an aggregate's partitions,
+    so the starting number has to fit the largest shuffle: the one that removes repeated rows, which
+    carries about as many bytes as the input. Returns the number now set.
+    """
+    total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // task_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir`.
 
@@ -40,12 +57,16 @@ def shared_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="surveylake-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_root(spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing else writes to."""
     return f"{shared_root(spark)}/surveylake/{name}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_root(application: str) -> str:
+    folder = tempfile.mkdtemp(prefix=f"surveylake-{application}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveylake.contract import strings
+from surveylake.contract import BRONZE_PERIOD, strings
 from surveylake.operators.conform import conform_union, header_names
-from surveylake.operators.periods import ALLOWED_MONTHS, period_allowlist
+from surveylake.operators.periods import ALLOWED_MONTHS, any_period, period_allowlist
 from surveylake.sources.files import decode_lines, open_in_place
 
 # Archives up to this size are read whole by Spark; larger ones are opened in place, one member per task.
@@ -74,45 +74,43 @@ def block_lines(blocks: DataFrame) -> DataFrame:
     return lines.where(F.trim("value") != "")
 
 
-def land_archives(
-    spark: SparkSession,
-    root: str,
-    target: str,
-    months: Iterable[str] | None = ALLOWED_MONTHS,
-    years: Iterable[str] | None = None,
-    glob: str = "*.zip",
-    mode: str = "overwrite",
-) -> None:
-    """Lands the lines of all wanted archives in one pass as `kind=/year=/month=/layout=` text.
+def land_archives(archives: DataFrame, target: str, mode: str = "overwrite") -> None:
+    """Lands the lines of the listed archives in one pass as `kind=/year=/month=/layout=` text.
 
     Headers land apart from the data, so later reads learn every layout from a few small files.
     """
-    lines = block_lines(read_blocks(list_archives(spark, root, months, years, glob)))
+    lines = block_lines(read_blocks(archives))
     lines.write.mode(mode).partitionBy("kind", "year", "month", "layout").text(target)
 
 
 def landed_layouts(spark: SparkSession, target: str) -> DataFrame:
     """The layouts of each landed period: year, month, layout, header."""
     schema = "value string, kind string, year string, month string, layout string"
-    headers = spark.read.schema(schema).text(target).where(F.col("kind") == "header")
+    headers = spark.read.schema(schema).option("basePath", target).text(f"{target}/kind=header")
     return headers.select("year", "month", "layout", F.col("value").alias("header")).distinct()
 
 
 def scan_landed(
-    spark: SparkSession, target: str, required: Iterable[str] = (), delimiter: str = ","
+    spark: SparkSession,
+    target: str,
+    required: Iterable[str] = (),
+    delimiter: str = ",",
+    periods: Sequence[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Landed lines as one frame of strings, matched by column name whatever their layout.
 
     Each layout is read once, from its own directories, with its own schema. Only the distinct headers
-    reach the driver.
+    reach the driver. `periods` keeps the listed (year, month) pairs, by directory.
     """
-    layouts = landed_layouts(spark, target).select("layout", "header").distinct().collect()
+    layouts = landed_layouts(spark, target)
+    chosen = None if periods is None else any_period(periods, BRONZE_PERIOD)
+    known = (layouts if chosen is None else layouts.where(chosen)).select("layout", "header").distinct().collect()
     frames = []
-    for row in sorted(layouts, key=lambda r: r.layout):
-        schema = strings([*header_names(row.header, delimiter), "kind", "year", "month", "layout"])
-        part = spark.read.schema(schema).option("sep", delimiter).csv(target)
-        part = part.where((F.col("kind") == "data") & (F.col("layout") == row.layout))
-        frames.append(part.drop("kind", "layout"))
+    for row in sorted(known, key=lambda r: r.layout):
+        schema = strings([*header_names(row.header, delimiter), "kind", *BRONZE_PERIOD, "layout"])
+        reader = spark.read.schema(schema).option("sep", delimiter).option("basePath", target)
+        part = reader.csv(f"{target}/kind=data/*/*/layout={row.layout}").drop("kind", "layout")
+        frames.append(part if chosen is None else part.where(chosen))
     return conform_union(frames, required)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
 from surveylake.contract import BRONZE_PERIOD, SILVER_PERIOD, strings
 
@@ -12,15 +13,18 @@ def write_bronze(df: DataFrame, path: str, delimiter: str = ",", mode: str = "ov
     df.write.mode(mode).option("header", "true").option("sep", delimiter).partitionBy(*BRONZE_PERIOD).csv(path)
 
 
-def write_silver(df: DataFrame, path: str, only_its_periods: bool = False, rebalance: bool = True) -> None:
-    """Parquet under `ano=/v1013=`, replacing the layer or, with `only_its_periods`, the periods in `df`.
+def write_silver(df: DataFrame, path: str, existing: str = "replace", rebalance: bool = True) -> None:
+    """Parquet under `ano=/v1013=`.
+
+    `existing` says what becomes of rows already there: `replace` them all, `replace_periods` that `df`
+    holds, or `keep` them.
 
     The rebalance groups rows by period and lets adaptive execution split large periods, so a month that
     holds most rows is written by many tasks and small months do not leave many small files.
     """
     rows = df.hint("rebalance", *SILVER_PERIOD) if rebalance else df
-    overwrite = "dynamic" if only_its_periods else "static"
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+    writer = rows.write.mode("append" if existing == "keep" else "overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic" if existing == "replace_periods" else "static")
     writer.partitionBy(*SILVER_PERIOD).parquet(path)
 
 
@@ -38,3 +42,13 @@ def read_strings(spark: SparkSession, path: str, columns, delimiter: str = ",")
     """Delimited text whose files all have the given columns, as strings, with the period columns added."""
     schema = strings([*columns, *BRONZE_PERIOD])
     return spark.read.schema(schema).option("header", "true").option("sep", delimiter).csv(path)
+
+
+def load_if_present(reader: DataFrameReader, path: str) -> DataFrame | None:
+    """What the reader finds at the path, or None where nothing was written yet."""
+    try:
+        return reader.load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
