@@ -88,10 +88,10 @@ def check_expected_set(df: DataFrame, column: str, expected: Iterable) -> DataFr
     kind = T.StructType([T.StructField("value", df.schema[column].dataType)])
     wanted = df.sparkSession.createDataFrame([(v,) for v in expected], kind).distinct()
     found = df.select(F.col(column).alias("value")).distinct()
-    sides = found.withColumn("side", F.lit("unexpected")).unionByName(wanted.withColumn("side", F.lit("missing")))
-    # A value on both sides is fine. Grouping, unlike a join, also matches NULL with NULL.
-    alone = sides.groupBy("value").agg(row_count().alias("n"), F.min("side").alias("status")).where("n = 1")
-    return alone.select("value", "status")
+    sides = found.withColumn("side", F.lit(1)).unionByName(wanted.withColumn("side", F.lit(2)))
+    # A value on both sides adds up to 3. Grouping, unlike a join, also matches NULL with NULL.
+    alone = sides.groupBy("value").agg(F.sum("side").alias("sides")).where("sides < 3")
+    return alone.select("value", F.when(F.col("sides") == 1, "unexpected").otherwise("missing").alias("status"))
 
 
 def check_no_missing_columns(spark: SparkSession, source: str, absent: Sequence[str]) -> DataFrame:

@@ -92,9 +92,13 @@ def symptomatic_by(profile: DataFrame, label: str) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, label: str, value: str, digits: int = 1) -> DataFrame:
-    """Each label's percent of the whole. The total is a scalar subquery, so no task sees all rows."""
-    total = df.agg(F.sum(value)).scalar()
+    """Each label's percent of the whole.
+
+    The total is a scalar subquery over the label totals: the input is aggregated once, and no task sees
+    all labels.
+    """
     per_label = df.groupBy(label).agg(F.sum(value).alias(value))
+    total = per_label.agg(F.sum(value)).scalar()
     return per_label.withColumn("pct_total", percent(F.col(value), total, digits))
 
 
