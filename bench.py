@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 BENCH_SF_DIR: folder of tables (default sf0.1); BENCH_CPUS: local cores (default 8); BENCH_RUNS: timed runs after one
-warm-up (default 3, median reported).
+warm-up (default 2, median reported).
 """
 
 from __future__ import annotations
@@ -24,13 +24,11 @@ from surveylake.sources.layers import read_silver, write_silver, write_table
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 # From the raw table to the result: derive, de-duplicate, type, aggregate.
 END_TO_END = [f"gold_{name}" for name in gold.GOLD_TABLES] + [
     "silver_build",
-    "report_top_states",
-    "period_totals",
     "quality_results",
     "check_duplicates",
     "weighted_total",

@@ -17,21 +17,19 @@ from surveylake.operators.dedup import dedup_rows
 def derive(bronze: DataFrame) -> DataFrame:
     """All bronze columns, then labels, the symptom flag, 16 typed codes and the weight.
 
-    Codes are typed once and compared as integers, so malformed text becomes NULL, default labels and flag 0.
+    Codes are typed first and compared as integers, so malformed text becomes NULL, default labels and flag
+    0. It is one projection on purpose: Spark computes a repeated cast once, and a second projection would
+    copy the wide row again.
     """
-    typed = bronze.select(
+    typed = {name: try_int(source) for name, source in INT_COLUMNS.items()}
+    state = typed["uf_int"]
+    return bronze.select(
         "*",
-        *[try_int(source).alias(name) for name, source in INT_COLUMNS.items()],
-        try_double(WEIGHT_SOURCE).alias(WEIGHT_COLUMN),
-    )
-    state = F.col("uf_int")
-    return typed.select(
-        *bronze.columns,
         state_name(state).alias("uf_nome"),
         region_name(state).alias("regiao"),
-        any_flag(*[F.col(c) == 1 for c in SYMPTOM_COLUMNS]).alias("teve_sintomas_covid"),
-        *INT_COLUMNS,
-        WEIGHT_COLUMN,
+        any_flag(*[typed[c] == 1 for c in SYMPTOM_COLUMNS]).alias("teve_sintomas_covid"),
+        *[column.alias(name) for name, column in typed.items()],
+        try_double(WEIGHT_SOURCE).alias(WEIGHT_COLUMN),
     )
 
 
