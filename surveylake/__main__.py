@@ -1,12 +1,12 @@
-"""`spark-submit -m surveylake DROPS LAKE`: refresh a lake from a folder of monthly archives."""
+"""`python -m surveylake DROPS LAKE`: refresh a lake from a folder of monthly archives."""
 
 from __future__ import annotations
 
 import argparse
 
+from surveylake.contract import SILVER_SCHEMA
 from surveylake.operators.periods import ALLOWED_MONTHS
 from surveylake.operators.quality import render_report, silver_suite
-from surveylake.contract import SILVER_SCHEMA
 from surveylake.plans.lake import refresh_lake
 from surveylake.session import build_session
 from surveylake.sources.catalog import ensure_database, register_layer

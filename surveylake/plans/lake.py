@@ -21,10 +21,13 @@ from surveylake.operators.periods import (
 )
 from surveylake.plans.gold import write_gold
 from surveylake.plans.silver import build_silver
-from surveylake.session import size_shuffles
+from surveylake.session import sized_for
 from surveylake.sources.archives import land_archives, list_archives, scan_landed
 from surveylake.sources.layers import load_if_present, read_silver, write_silver
 
+# Up to this many periods each task that removes repeats writes its own files; more would leave many small ones.
+FEW_PERIODS = 3
+
 
 @dataclass
 class LakeRefresh:
@@ -79,9 +82,14 @@ def refresh_silver(spark: SparkSession, landed: str, silver: str, ledger: str, d
         return []
     rebuild = _meets_silver(spark, landed, silver, new, delimiter)
     periods = _listed(directories) if rebuild else new
-    size_shuffles(spark, _data_files(spark, landed).where(any_period(periods, BRONZE_PERIOD)))
     bronze = scan_landed(spark, landed, CORE_COLUMNS, delimiter, periods).drop(*BRONZE_PERIOD)
-    write_silver(build_silver(bronze), silver, existing="replace" if rebuild else "keep")
+    with sized_for(spark, _data_files(spark, landed).where(any_period(periods, BRONZE_PERIOD))):
+        write_silver(
+            build_silver(bronze),
+            silver,
+            existing="replace" if rebuild else "keep",
+            rebalance=len(periods) > FEW_PERIODS,
+        )
     spark.createDataFrame(new, strings(BRONZE_PERIOD)).write.mode("append").parquet(ledger)
     return periods
 

@@ -1,4 +1,4 @@
-"""Session defaults, shuffle sizing, and the shared folder for intermediate tables."""
+"""Session defaults, task sizes, and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
@@ -6,13 +6,18 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Shuffled bytes that one task should handle.
+# Shuffled bytes that one task should handle, and the numbers of tasks beyond which tasks grow instead.
 TASK_BYTES = 256 << 20
+MAX_PARTITIONS = 20_000
+MAX_SCAN_TASKS = 100_000
+MAX_SCAN_BYTES = 1 << 30
 
 
 def build_session(app_name: str = "surveylake", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,17 +39,38 @@ def build_session(app_name: str = "surveylake", master: str | None = None, **con
     return builder.getOrCreate()
 
 
-def size_shuffles(spark: SparkSession, files: DataFrame, task_bytes: int = TASK_BYTES) -> int:
-    """Raises the number of shuffle partitions to suit an input, given its files (column `length`).
+def task_settings(input_bytes: int, shuffle_partitions: int, scan_bytes: int) -> dict[str, str]:
+    """Settings that suit a job which shuffles about its whole input, given the session's present numbers.
 
-    Adaptive execution merges partitions that turn out small but never splits an aggregate's partitions,
-    so the starting number has to fit the largest shuffle: the one that removes repeated rows, which
-    carries about as many bytes as the input. Returns the number now set.
+    Adaptive execution merges partitions that turn out small but cannot split those of an aggregate, so the
+    starting number has to fit the largest shuffle. It stops growing at `MAX_PARTITIONS`: the driver tracks
+    every pair of scan and shuffle tasks. Past that the partitions grow instead, and spill.
     """
+    partitions = min(-(-input_bytes // TASK_BYTES), MAX_PARTITIONS)
+    return {
+        "spark.sql.shuffle.partitions": str(max(shuffle_partitions, partitions)),
+        "spark.sql.files.maxPartitionBytes": str(max(scan_bytes, min(input_bytes // MAX_SCAN_TASKS, MAX_SCAN_BYTES))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
+    }
+
+
+@contextmanager
+def sized_for(spark: SparkSession, files: DataFrame) -> Iterator[dict[str, str]]:
+    """Runs its block with task sizes that suit the given files (column `length`), then restores the session's."""
     total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // task_bytes))
-    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    scan_bytes = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b")
+    present = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    settings = task_settings(total, present, int(scan_bytes) if scan_bytes.isdigit() else 0)
+    if not scan_bytes.isdigit():
+        del settings["spark.sql.files.maxPartitionBytes"]
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield settings
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -6,7 +6,7 @@ from surveylake.fixtures import microdata, table, with_bronze_period, write_arch
 from surveylake.plans.gold import GOLD_TABLES, gold_table
 from surveylake.plans.lake import refresh_lake
 from surveylake.plans.silver import build_silver
-from surveylake.session import size_shuffles
+from surveylake.session import sized_for, task_settings
 from surveylake.sources.layers import read_silver
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -69,11 +69,19 @@ def test_a_run_that_stopped_early_is_made_good(spark, tmp_path, rows):
     assert rows(read_silver(spark, f"{lake}/silver", SILVER_SCHEMA), "idade") == [(1,), (2,)]
 
 
-def test_shuffles_grow_with_the_input_and_never_shrink(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        files = spark.createDataFrame([(10 << 30,), (5,)], "length long")
-        assert size_shuffles(spark, files) == 41
-        assert size_shuffles(spark, files.limit(0)) == 41
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_task_settings_grow_with_the_input():
+    small = task_settings(5, 200, 128 << 20)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert small["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
+    assert task_settings(1 << 40, 200, 128 << 20)["spark.sql.shuffle.partitions"] == "4096"
+    huge = task_settings(100 << 40, 200, 128 << 20)
+    assert huge["spark.sql.shuffle.partitions"] == "20000"
+    assert huge["spark.sql.files.maxPartitionBytes"] == str(1 << 30)
+
+
+def test_task_sizes_are_restored(spark):
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(key) for key in keys]
+    with sized_for(spark, spark.createDataFrame([(10 << 30,), (5,)], "length long")):
+        assert spark.conf.get(keys[0]) == "41"
+    assert [spark.conf.get(key) for key in keys] == before
