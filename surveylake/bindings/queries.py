@@ -90,9 +90,7 @@ def scan_csv(spark: SparkSession, d: str) -> DataFrame:
 def conform_union(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "lineitem")
     first = items.select("l_orderkey", "l_linenumber", "l_quantity")
-    second = items.select(
-        F.col("l_tax").alias("L_TAX"), F.col("l_quantity").alias(" L_Quantity "), F.col("l_orderkey").alias("L_OrderKey")
-    )
+    second = items.select("l_tax", "l_quantity", "l_orderkey").toDF("L_TAX", " L_Quantity ", "L_OrderKey")
     return conform.conform_union([first, second])
 
 

@@ -49,15 +49,16 @@ def discover_periods(
 
 
 def missing_periods(discovered: DataFrame, registered: DataFrame, keys: Sequence[str] = BRONZE_PERIOD) -> DataFrame:
-    return discovered.join(registered, _same_period(discovered, registered, keys), "left_anti")
+    """Discovered periods that are not registered."""
+    known, same = _known_periods(registered, keys)
+    return discovered.join(known, same, "left_anti")
 
 
 def period_status(discovered: DataFrame, registered: DataFrame, keys: Sequence[str] = BRONZE_PERIOD) -> DataFrame:
     """Every discovered period with `status` `added` or `existing`."""
-    known = registered.select(*keys).distinct().withColumn("_known", F.lit(True))
-    joined = discovered.join(known, _same_period(discovered, known, keys), "left")
-    status = F.when(F.col("_known"), "existing").otherwise("added")
-    return joined.select(*[discovered[key] for key in keys], status.alias("status"))
+    known, same = _known_periods(registered, keys)
+    joined = discovered.join(known.withColumn("_known", F.lit(True)), same, "left")
+    return joined.select(*keys, F.when(F.col("_known"), "existing").otherwise("added").alias("status"))
 
 
 def refresh_periods(
@@ -79,8 +80,10 @@ def refresh_periods(
     return periods
 
 
-def _same_period(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(and_, [left[key].eqNullSafe(right[key]) for key in keys])
+def _known_periods(registered: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """Distinct registered periods under other names, and the condition that joins them; NULL equals NULL."""
+    known = registered.select(*[F.col(key).alias(f"_known_{key}") for key in keys]).distinct()
+    return known, reduce(and_, [F.col(key).eqNullSafe(F.col(f"_known_{key}")) for key in keys])
 
 
 def any_period(periods: Sequence[tuple], keys: Sequence[str]) -> Column:

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from surveylake.contract import BRONZE_PERIOD
 from surveylake.functions.labels import STATE_NAMES
-from surveylake.functions.metrics import count_where, row_count
+from surveylake.functions.metrics import count_where, percent, row_count
 
 CHECK_SCHEMA = "check_name string, passed boolean, expected string, actual string, message string"
 
@@ -94,11 +95,19 @@ def check_expected_set(df: DataFrame, column: str, expected: Iterable) -> DataFr
     return alone.select("value", F.when(F.col("sides") == 1, "unexpected").otherwise("missing").alias("status"))
 
 
-def check_no_missing_columns(spark: SparkSession, source: str, absent: Sequence[str]) -> DataFrame:
-    """Check row for the required columns that a source lacks."""
-    message = f"Colunas essenciais ausentes: {list(absent)}" if absent else "Todas as colunas essenciais presentes"
-    row = (f"columns_{source}", not absent, "0 missing", f"{len(absent)} missing", message)
-    return spark.createDataFrame([row], CHECK_SCHEMA)
+def check_columns(absent: DataFrame, keys: Sequence[str] = BRONZE_PERIOD) -> DataFrame:
+    """One check row per period, failed if `absent` (an array) names required columns that its files lack."""
+    n = F.size("absent")
+    listed = F.concat(F.lit("Colunas essenciais ausentes: "), F.array_join("absent", ", "))
+    message = F.when(n == 0, "Todas as colunas essenciais presentes").otherwise(listed)
+    actual = F.concat(n.cast("string"), F.lit(" missing"))
+    return absent.select(
+        F.concat_ws("_", F.lit("columns"), *keys).alias("check_name"),
+        (n == 0).alias("passed"),
+        F.lit("0 missing").alias("expected"),
+        actual.alias("actual"),
+        message.alias("message"),
+    )
 
 
 def silver_suite(silver: DataFrame) -> DataFrame:
@@ -132,12 +141,12 @@ def union_checks(*checks: DataFrame) -> DataFrame:
 def summarize(results: DataFrame) -> DataFrame:
     """Totals of a set of check rows: total, passed, failed, pct_passed (one decimal; 0 without checks)."""
     total, passed = row_count(), count_where(F.col("passed"))
-    share = F.coalesce(F.round(F.try_divide(passed * F.lit(100).cast("decimal(4,1)"), total), 1), F.lit(0))
+    share = F.coalesce(percent(passed, total, 1), F.lit(0.0))
     return results.agg(
         total.alias("total"),
         passed.alias("passed"),
         (total - passed).alias("failed"),
-        share.cast("double").alias("pct_passed"),
+        share.alias("pct_passed"),
     )
 
 

@@ -22,7 +22,7 @@ from surveylake.operators.periods import (
 from surveylake.plans.gold import write_gold
 from surveylake.plans.silver import build_silver
 from surveylake.session import sized_for
-from surveylake.sources.archives import land_archives, list_archives, scan_landed
+from surveylake.sources.archives import land_archives, landed_absent_columns, list_archives, scan_landed
 from surveylake.sources.layers import load_if_present, read_silver, write_silver
 
 # Up to this many periods each task that removes repeats writes its own files; more would leave many small ones.
@@ -63,7 +63,9 @@ def refresh_lake(
     if done.silver:
         rows = read_silver(spark, silver, SILVER_SCHEMA)
         done.gold = write_gold(spark, rows, f"{root}/gold")
-        quality.save_results(quality.silver_suite(rows), f"{root}/quality", uuid.uuid4().hex)
+        columns = quality.check_columns(landed_absent_columns(spark, landed, delimiter=delimiter))
+        checks = quality.union_checks(columns, quality.silver_suite(rows))
+        quality.save_results(checks, f"{root}/quality", uuid.uuid4().hex)
     return done
 
 

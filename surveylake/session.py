@@ -30,7 +30,7 @@ def build_session(app_name: str = "surveylake", master: str | None = None, **con
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         # A task that writes a few periods keeps a file open for each instead of sorting its rows first.
-        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "4")
     )
     if master:
         builder = builder.master(master)

@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveylake.contract import BRONZE_PERIOD, strings
-from surveylake.operators.conform import conform_union, header_names
+from surveylake.contract import BRONZE_PERIOD, CORE_COLUMNS, strings
+from surveylake.operators.conform import conform_union, header_names, missing_columns
 from surveylake.operators.periods import ALLOWED_MONTHS, any_period, period_allowlist
 from surveylake.sources.files import decode_lines, open_in_place
 
@@ -90,6 +90,18 @@ def landed_layouts(spark: SparkSession, target: str) -> DataFrame:
     return headers.select("year", "month", "layout", F.col("value").alias("header")).distinct()
 
 
+def landed_absent_columns(
+    spark: SparkSession, target: str, required: Iterable[str] = CORE_COLUMNS, delimiter: str = ","
+) -> DataFrame:
+    """Required columns that some file of a period lacks: year, month, absent (sorted array). Reads headers only."""
+    layouts, required = landed_layouts(spark, target), list(required)
+    headers = layouts.select("layout", "header").distinct().collect()
+    rows = [(row.layout, missing_columns(header_names(row.header, delimiter), required)) for row in headers]
+    per_layout = spark.createDataFrame(rows, "layout string, absent array<string>")
+    per_period = layouts.join(per_layout, "layout").groupBy(*BRONZE_PERIOD)
+    return per_period.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("absent")))).alias("absent"))
+
+
 def scan_landed(
     spark: SparkSession,
     target: str,

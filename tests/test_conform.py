@@ -140,7 +140,11 @@ def drops(tmp_path):
     make_archive(root / "DADOS_052020.zip", {"a.csv": "A\n5\n"})
     make_archive(
         root / "DADOS_092020.zip",
-        {"inner/deep/sep.csv": "A,B\r\n1,2\r\n\r\n3,\r\n", "inner/readme.txt": "A,B\n8,8\n", "second.csv": "B,A\n20,10"},
+        {
+            "inner/deep/sep.csv": "A,B\r\n1,2\r\n\r\n3,\r\n",
+            "inner/readme.txt": "A,B\n8,8\n",
+            "second.csv": "B,A\n20,10",
+        },
     )
     make_archive(root / "DADOS_112020.zip", {"nov.csv": 'A,C\n"7,5",ç\n'})
     make_archive(root / "DADOS_112021.zip", {"nov.csv": "A,C\n99,z\n"})

@@ -11,7 +11,8 @@ def one(spark, *columns):
 
 
 @pytest.mark.parametrize(
-    "text, value", [("11", 11), ("1.5", None), (" 11 ", 11), ("", None), ("zz", None), (None, None), ("99999999999", None)]
+    "text, value",
+    [("11", 11), ("1.5", None), (" 11 ", 11), ("", None), ("zz", None), (None, None), ("99999999999", None)],
 )
 def test_try_int(spark, text, value):
     assert one(spark, try_int(F.lit(text).cast("string")))[0] == value

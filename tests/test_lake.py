@@ -2,7 +2,7 @@ import shutil
 import zipfile
 
 from surveylake.contract import SILVER_SCHEMA
-from surveylake.fixtures import microdata, table, with_bronze_period, write_archives
+from surveylake.fixtures import microdata, table, write_archives
 from surveylake.plans.gold import GOLD_TABLES, gold_table
 from surveylake.plans.lake import refresh_lake
 from surveylake.plans.silver import build_silver
@@ -41,6 +41,7 @@ def test_lake_grows_period_by_period(spark, tmp_path, rows):
         assert rows(spark.read.parquet(second.gold[name])) == rows(gold_table(expected, name))
     runs = spark.read.parquet(f"{lake}/quality")
     assert runs.select("run_id").distinct().count() == 2
+    assert runs.where("check_name LIKE 'columns_%' AND passed").count() == 2 + 3
 
 
 def archive(folder, name, *lines):
@@ -53,6 +54,8 @@ def test_misfiled_rows_are_neither_lost_nor_doubled(spark, tmp_path, rows):
     drops, lake = tmp_path / "drops", str(tmp_path / "lake")
     archive(drops, "X_102020.zip", "2020,10,11,1", "2020,11,11,2", "2020,,11,3")
     assert refresh_lake(spark, str(drops), lake).silver == [("2020", "10")]
+    checked = spark.read.parquet(f"{lake}/quality").where("check_name = 'columns_2020_10'").first()
+    assert (checked.passed, checked.actual) == (False, "16 missing")
     assert refresh_lake(spark, str(drops), lake).silver == []
     archive(drops, "X_112020.zip", "2020,11,11,2", "2020,11,11,4")
     assert refresh_lake(spark, str(drops), lake).silver == [("2020", "10"), ("2020", "11")]

@@ -220,7 +220,7 @@ def test_large_period_is_written_by_many_tasks(spark, tmp_path):
     """Nearly all rows in one month; the rebalance must not leave them to a single task."""
     wide = spark.range(200_000).select(
         *[
-            (F.lit("2020") if c == "ano" else F.lit("9") if c == "v1013" else F.sha2(F.concat(F.lit(c), "id"), 256)).alias(c)
+            {"ano": F.lit("2020"), "v1013": F.lit("9")}.get(c, F.sha2(F.concat(F.lit(c), "id"), 256)).alias(c)
             for c in CORE_COLUMNS
         ]
     )

@@ -22,7 +22,8 @@ def test_completeness_missing_column(spark):
 
 
 def test_completeness_counts_null_and_nan_as_unknown(spark):
-    found = quality.check_completeness(frame(spark, "col1 double", 1.0, None, None, None, float("nan")), ["col1"]).first()
+    df = frame(spark, "col1 double", 1.0, None, None, None, float("nan"))
+    found = quality.check_completeness(df, ["col1"]).first()
     assert (found.passed, found.actual) == (False, "20.0%")
 
 
@@ -159,10 +160,16 @@ def test_results_are_appended_per_run(spark, tmp_path):
     assert sorted(r.run_id for r in spark.read.parquet(path).collect()) == ["a", "b"]
 
 
-def test_missing_columns_check_row(spark):
-    assert quality.check_no_missing_columns(spark, "m09", []).first().passed
-    found = quality.check_no_missing_columns(spark, "m11", ["b011"]).first()
-    assert (found.passed, found.actual) == (False, "1 missing")
+def test_columns_are_checked_per_period(spark):
+    absent = spark.createDataFrame(
+        [("2020", "09", []), ("2020", "11", ["b011", "c001"])], "year string, month string, absent array<string>"
+    )
+    found = quality.check_columns(absent).orderBy("check_name").collect()
+    assert [(r.check_name, r.passed, r.actual) for r in found] == [
+        ("columns_2020_09", True, "0 missing"),
+        ("columns_2020_11", False, "2 missing"),
+    ]
+    assert found[1].message == "Colunas essenciais ausentes: b011, c001"
 
 
 def test_failing_query_does_not_stop_the_others(spark):
