@@ -52,12 +52,12 @@ def refresh_lake(
     results if anything was added. A period that has landed is not looked at again.
     """
     done = LakeRefresh()
-    archives = list_archives(spark, drops, months, years)
     landed, silver = f"{root}/landed", f"{root}/silver"
 
-    done.landed = _listed(missing_periods(periods_of(archives, BRONZE_PERIOD), discover_periods(spark, landed)))
+    offered = periods_of(list_archives(spark, drops, months, years), BRONZE_PERIOD)
+    done.landed = _listed(missing_periods(offered, discover_periods(spark, landed)))
     if done.landed:
-        land_archives(archives.where(any_period(done.landed, BRONZE_PERIOD)), landed, mode="append")
+        land_archives(list_archives(spark, drops, periods=done.landed), landed, mode="append")
 
     done.silver = refresh_silver(spark, landed, silver, f"{root}/silver-periods", delimiter)
     if done.silver:

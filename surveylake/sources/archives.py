@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from surveylake.contract import BRONZE_PERIOD, CORE_COLUMNS, strings
 from surveylake.operators.conform import conform_union, header_names, missing_columns
-from surveylake.operators.periods import ALLOWED_MONTHS, any_period, period_allowlist
+from surveylake.operators.periods import ALLOWED_MONTHS, any_period
 from surveylake.sources.files import decode_lines, open_in_place
 
 # Archives up to this size are read whole by Spark; larger ones are opened in place, one member per task.
@@ -34,11 +34,21 @@ def list_archives(
     root: str,
     months: Iterable[str] | None = ALLOWED_MONTHS,
     years: Iterable[str] | None = None,
-    glob: str = "*.zip",
+    name: str = "*",
+    periods: Iterable[tuple[str, str]] | None = None,
 ) -> DataFrame:
-    """Archives of the wanted periods: path, length, content, year, month. Content is only read when used."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
-    return period_allowlist(with_period(files), months, years)
+    """Archives `<name>_MMYYYY.zip` of the wanted periods: path, length, content, year, month.
+
+    `periods`, as (year, month) pairs, takes the place of months and years. The periods go into the file
+    pattern, so archives of other periods are dropped when files are listed and their content is not read.
+    """
+    if periods is not None:
+        stamps = _one_of(month + year for year, month in periods)
+    else:
+        stamps = _one_of(ALLOWED_MONTHS if months is None else months)
+        stamps += "[0-9]" * 4 if years is None else _one_of(years)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"{name}_{stamps}.zip").load(root)
+    return with_period(files)
 
 
 def read_blocks(archives: DataFrame, whole_bytes: int = WHOLE_ARCHIVE_BYTES) -> DataFrame:
@@ -131,6 +141,10 @@ def members_of(archives: DataFrame) -> DataFrame:
     return archives.select("year", "month", "path").mapInArrow(_list_members, MEMBER_SCHEMA)
 
 
+def _one_of(choices: Iterable[str]) -> str:
+    return "{" + ",".join(choices) + "}"
+
+
 def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():

@@ -178,6 +178,17 @@ def test_land_archives_filters_months_and_years(spark, drops, tmp_path, rows):
     ]
 
 
+def test_archives_of_other_periods_are_not_listed(spark, drops):
+    def names(**wanted):
+        return sorted(r.path.rsplit("/", 1)[-1] for r in archives.list_archives(spark, drops, **wanted).collect())
+
+    assert names() == ["DADOS_092020.zip", "DADOS_112020.zip", "DADOS_112021.zip"]
+    assert names(months=["05", "09"]) == ["DADOS_052020.zip", "DADOS_092020.zip"]
+    assert names(months=None, years=["2021"]) == ["DADOS_112021.zip"]
+    assert names(periods=[("2020", "05"), ("2021", "11")]) == ["DADOS_052020.zip", "DADOS_112021.zip"]
+    assert names(name="OTHER") == []
+
+
 def test_members_are_csv_only(spark, drops, rows):
     found = archives.members_of(archives.list_archives(spark, drops, months=["09"]))
     assert rows(found, "member") == [("inner/deep/sep.csv",), ("second.csv",)]
