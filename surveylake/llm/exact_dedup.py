@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from surveylake.llm.common import table, written
 
-#: Digests that may be broadcast, counters of a sketch, and sketches that are merged before the last merge.
+#: Frequent digests that are broadcast, counters of a sketch, and sketches.
 HEAVY = 256
 COUNTERS = 4096
 SKETCHES = 64
@@ -19,31 +19,31 @@ def normalised(text: Column) -> Column:
 
 
 def frequent_values(df: DataFrame, column: str, most: int = HEAVY, counters: int = COUNTERS) -> DataFrame:
-    """At most `most` values of a string column, among them each that makes up a large part of all rows.
+    """At most `SKETCHES` times `most` values of a string column, among them all that make up 1 / `most` of all rows.
 
     The sketch is that of Misra and Gries: a bounded set of counters from which all are lowered when a value finds no
-    free one; any value with more than about 1.4 / `counters` of all rows stays in. Tasks fill sketches, some of
-    which are merged together before all are, so that no task merges more than a few hundred of bounded size.
+    free one; any value with more than about 1.4 / `counters` of the rows stays in. The rows' partitions are dealt to
+    a fixed number of sketches, and a value that is frequent in all is so in one of them; so no task merges more than
+    its share, and the bound does not depend on the rows.
     """
     part = F.pmod(F.spark_partition_id(), F.lit(SKETCHES))
-    sketches = df.groupBy(part.alias("part")).agg(F.expr(f"approx_top_k_accumulate(`{column}`, {counters})").alias("sketch"))
-    merged = sketches.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {counters}), {most})").alias("top"))
-    return merged.select(F.explode("top").alias("t")).where("t.count > 1").select(F.col("t.item").alias(column))
+    tops = df.groupBy(part.alias("part")).agg(F.expr(f"approx_top_k(`{column}`, {most}, {counters})").alias("top"))
+    return tops.select(F.explode("top").alias("t")).where("t.count > 1").select(F.col("t.item").alias(column)).distinct()
 
 
 def grouped(rows: DataFrame, digest: str, order: list[str], most: int = HEAVY) -> DataFrame:
     """Every row with `first` (its digest's smallest `order` values as a struct) and `group_size`.
 
-    `rows` is read several times and has to be a written table. Frequent digests are found by a sketch and verified:
-    counted exactly, with their first row, by tasks that each give a row per frequent digest. These at most `most`
-    winners are broadcast, and their rows are settled where they are read. Only the other rows are shuffled by digest.
+    `rows` is read several times and has to be a written table. Frequent digests are found by sketches and verified:
+    counted exactly, with their first row, by tasks that each give a row per candidate. The `most` largest win; they
+    are broadcast, and their rows are settled where they are read. Only the other rows are shuffled by digest.
     """
     first = F.min(F.struct(*order))
     candidates = frequent_values(rows, digest, most)
     winners = rows.join(F.broadcast(candidates), digest).groupBy(digest).agg(
         first.alias("first"), F.count(F.lit(1)).alias("group_size")
     )
-    winners = written(winners, "frequent-digests")  # at most `most` rows
+    winners = written(winners.orderBy(F.desc("group_size"), digest).limit(most), "frequent-digests")
     heavy = rows.join(F.broadcast(winners), digest)
     rest = rows.join(F.broadcast(winners.select(digest)), digest, "left_anti")
     group = Window.partitionBy(digest)
