@@ -15,7 +15,7 @@ def open_for_writing(path: str):
     """A stream that creates or replaces a file of the cluster's storage, with its folder."""
     filesystem, name = fs.FileSystem.from_uri(_known_scheme(path))
     filesystem.create_dir(name.rsplit("/", 1)[0], recursive=True)
-    return filesystem.open_output_stream(name)
+    return filesystem.open_output_stream(name, compression=None)
 
 
 def can_open_in_place(root: str) -> bool:
