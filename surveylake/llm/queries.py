@@ -7,8 +7,10 @@ from surveylake.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from surveylake.llm.packing import op10_best_fit_packing
 from surveylake.llm.quality_rules import OP1_SQL, op1_quality_rules
 from surveylake.llm.sharding import op5_sharding
+from surveylake.llm.toxicity import op9_toxicity
 from surveylake.llm.token_counts import op3_token_counts
 from surveylake.llm.url_filters import OP7_SQL, op7_url_filters
+from surveylake.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
     f.__name__: f
@@ -16,10 +18,12 @@ QUERIES = {
         op1_quality_rules,
         op2_exact_dedup,
         op3_token_counts,
+        op4_warc,
         op5_sharding,
         op6_byte_bpe,
         op7_url_filters,
+        op9_toxicity,
         op10_best_fit_packing,
     )
 }
-ORACLE_SQL = {"op1_quality_rules": OP1_SQL, "op2_exact_dedup": OP2_SQL, "op7_url_filters": OP7_SQL}
+ORACLE_SQL = {"op1_quality_rules": OP1_SQL, "op2_exact_dedup": OP2_SQL, "op4_warc": OP4_SQL, "op7_url_filters": OP7_SQL}
