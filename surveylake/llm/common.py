@@ -6,7 +6,8 @@ import sys
 import types
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from surveylake.session import scratch_path
 
@@ -40,3 +41,22 @@ def slices(texts: Iterable[str | None], size: int) -> Iterator[tuple[int, list[s
             first, held, chars = number + 1, [], 0
     if held:
         yield first, held
+
+
+def kept_once(docs: DataFrame, judged: DataFrame, key: str, digest: Column) -> DataFrame:
+    """The rows of `docs` that are kept, with all their columns.
+
+    `judged` has a row per row: its key, its digest (that `digest` gives), and whether it is kept. Rows whose key and
+    digest are only ever dropped go. Where a kept row is repeated, one of its rows stays; only such rows are shuffled
+    to be told apart.
+    """
+    judged = written(judged.toDF("_key", "_digest", "_kept"), "judged")
+    found = judged.groupBy("_key", "_digest").agg(F.bool_or("_kept").alias("_kept"), F.count("*").alias("_rows"))
+    found = written(found.where("not _kept or _rows > 1"), "judged-keys")
+    same = F.col(key).eqNullSafe(F.col("_key")) & (digest == F.col("_digest"))
+    rest = docs.join(found.where("not _kept"), same, "left_anti")
+    repeated = found.where("_kept")
+    if repeated.isEmpty():
+        return rest
+    twins = rest.join(repeated, same, "left_semi").withColumn("_digest", digest).dropDuplicates([key, "_digest"])
+    return rest.join(repeated, same, "left_anti").unionByName(twins.drop("_digest"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import table, written
+from surveylake.llm.common import kept_once, table, written
 
 #: Frequent digests that are broadcast, counters of a sketch, and sketches.
 HEAVY = 256
@@ -74,26 +74,9 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group of equal texts, with all its columns: that which `exact_groups` keeps.
-
-    Rows are dropped by key and digest. Where the kept row is repeated as a whole, its copies have the same key; they
-    are told apart by numbering the rows of such keys, which are few rows of one small group each or copies.
-    """
-    groups = written(exact_groups(docs, key, text), "groups")
-    dropped = groups.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    kept = groups.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    same = F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_sha") == F.col("_sha2"))
-    kept_again = dropped.join(kept.toDF("_id2", "_sha2"), same, "left_semi")
-    only_dropped = dropped.join(kept.toDF("_id2", "_sha2"), same, "left_anti")
-    sha = F.sha2(normalised(F.col(text)), 256)
-    matches = F.col(key).eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))
-    rest = docs.join(only_dropped, matches, "left_anti")
-    single = rest.join(kept_again, matches, "left_anti")
-    repeated = rest.join(kept_again, matches, "left_semi").withColumn("_sha", sha)
-    if kept_again.isEmpty():
-        return rest
-    first = repeated.groupBy(F.col(key).alias("_id"), "_sha").agg(F.min(F.struct(*docs.columns)).alias("_row"))
-    return single.unionByName(first.select("_row.*"))
+    """One row of each group of equal texts, with all its columns: that which `exact_groups` keeps."""
+    judged = exact_groups(docs, key, text).select("doc_id", "text_sha256", "kept")
+    return kept_once(docs, judged, key, F.sha2(normalised(F.col(text)), 256))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

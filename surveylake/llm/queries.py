@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from surveylake.llm.byte_bpe import op6_byte_bpe
 from surveylake.llm.exact_dedup import OP2_SQL, op2_exact_dedup
+from surveylake.llm.near_join import op8_ngram_jaccard_join
 from surveylake.llm.packing import op10_best_fit_packing
 from surveylake.llm.quality_rules import OP1_SQL, op1_quality_rules
 from surveylake.llm.sharding import op5_sharding
@@ -22,6 +23,7 @@ QUERIES = {
         op5_sharding,
         op6_byte_bpe,
         op7_url_filters,
+        op8_ngram_jaccard_join,
         op9_toxicity,
         op10_best_fit_packing,
     )

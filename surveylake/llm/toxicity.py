@@ -173,48 +173,68 @@ def _sampled(docs: DataFrame, picked: DataFrame, settings: Settings, key: str, t
     return sorted(found)
 
 
+def scorer(shared, settings: Settings):
+    """Gives the scores of texts by a broadcast model, in a task; a worker remembers which terms of a word count."""
+    bias, used, weights, factors = shared.value
+    small, place = Model(bias, weights, factors), np.full(1 << settings.bits, -1, np.int32)
+    place[used] = np.arange(len(used))
+    known = worker_state().setdefault(("terms", hash(used.tobytes()), settings), {})
+    find = re.compile(_words).findall
+
+    def scores(texts: list[str]) -> np.ndarray:
+        documents = []
+        for whole in texts:
+            found: set[int] = set()
+            for word in set(find(whole.lower())):
+                ids = known.get(word)
+                if ids is None:
+                    ids = known[word] = [i for i in place[term_ids(word, settings)].tolist() if i >= 0]
+                found.update(ids)
+            documents.append(np.fromiter(found, np.int32, len(found)))
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+        return logistic(small.raw(np.concatenate(documents), np.append(0, np.cumsum([len(d) for d in documents]))))
+
+    return scores
+
+
+def _shared(docs: DataFrame, model: Model):
+    """The terms that count, a few MB at most whatever the input, to all tasks."""
+    used = np.flatnonzero((model.weights != 0) | (model.factors != 0).any(1)).astype(np.int32)
+    packed = (model.bias, used, model.weights[used].astype(np.float32), model.factors[used].astype(np.float32))
+    return docs.sparkSession.sparkContext.broadcast(packed)
+
+
 def scored(docs: DataFrame, model: Model, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """`key` and `score` of every row, from its whole text alone; a null or empty text scores the bias.
 
-    The model has a fixed size (a few MB) and is broadcast. Keys may be null or repeated; other columns are ignored.
+    Keys may be null or repeated; other columns are ignored.
     """
-    used = np.flatnonzero((model.weights != 0) | (model.factors != 0).any(1)).astype(np.int32)
-    packed = (model.bias, used, model.weights[used].astype(np.float32), model.factors[used].astype(np.float32))
-    shared = docs.sparkSession.sparkContext.broadcast(packed)
+    shared = _shared(docs, model)
 
     def score(batches):
-        bias, used, weights, factors = shared.value
-        small = Model(bias, weights, factors)
-        place = np.full(1 << settings.bits, -1, np.int32)
-        place[used] = np.arange(len(used))
-        known = worker_state().setdefault(("terms", hash(used.tobytes()), settings), {})
-        find = re.compile(_words).findall
-
-        def active(word: str) -> list[int]:
-            return [i for i in place[term_ids(word, settings)].tolist() if i >= 0]
-
+        scores = scorer(shared, settings)
         for batch in batches:
             for first, texts in slices(batch.column(1).to_pylist(), SLICE):
-                documents = []
-                for whole in texts:
-                    found = set()
-                    for word in set(find(whole.lower())):
-                        ids = known.get(word)
-                        if ids is None:
-                            ids = known[word] = active(word)
-                        found.update(ids)
-                    documents.append(np.fromiter(found, np.int32, len(found)))
-                if len(known) > KNOWN_WORDS:
-                    known.clear()
-                firsts = np.append(0, np.cumsum([len(d) for d in documents]))
-                values = logistic(small.raw(np.concatenate(documents), firsts))
-                keys = batch.slice(first, len(texts)).column(0)
-                yield pa.RecordBatch.from_arrays([keys, pa.array(values)], [key, "score"])
+                yield pa.RecordBatch.from_arrays([batch.slice(first, len(texts)).column(0), pa.array(scores(texts))], [key, "score"])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(score, f"`{key}` {kind}, score double")
 
 
+def below_threshold(docs: DataFrame, model: Model, settings: Settings = Settings(), text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose texts score below the threshold."""
+    shared, at = _shared(docs, model), docs.columns.index(text)
+
+    def select(batches):
+        scores = scorer(shared, settings)
+        for batch in batches:
+            for first, texts in slices(batch.column(at).to_pylist(), SLICE):
+                yield batch.slice(first, len(texts)).filter(pa.array(scores(texts) < settings.threshold))
+
+    return docs.mapInArrow(select, docs.schema)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, settings = table(spark, sf_dir, "documents"), Settings()
     found = scored(docs, learn(docs, table(spark, sf_dir, "labels"), settings), settings)
