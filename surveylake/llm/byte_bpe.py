@@ -100,6 +100,8 @@ class RankVocabulary:
         once. Of overlapping pairs of one rank the leftmost is merged. Where a merge can make a pair of lower rank,
         which is then due first, only the leftmost of each piece is merged at a time.
         """
+        if not pieces:
+            return np.zeros(0, np.int64), np.zeros(1, np.int64)
         data = np.frombuffer(b"".join(pieces), np.uint8)
         size = len(data)
         ends = np.cumsum([len(p) for p in pieces])
@@ -153,7 +155,7 @@ class RankVocabulary:
                 if some.any():
                     queue.push(ranks[some], touched[some])
         held = np.append(0, np.cumsum(alive))
-        return token[alive], held[np.append(starts, size)] if len(pieces) else np.zeros(1, np.int64)
+        return token[alive], held[np.append(starts, size)]
 
     def _makes_lower(self, rank: int, at: np.ndarray, token: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
         """Whether a merge of this rank makes a pair of lower rank, with a neighbour as it is or merged alike."""

@@ -1,0 +1,245 @@
+"""Quality rules, exact and near copies, shards, toxicity: against plain Python on odd rows."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+from hashlib import sha256
+from itertools import combinations
+
+import duckdb
+import numpy as np
+import pytest
+from llm.cases import SCHEMA, frame, odd_rows, prose
+
+from surveylake.llm import exact_dedup, near_join, quality_rules, sharding, toxicity
+from surveylake.llm.components import connected
+
+BLANKS = re.compile(r"[\x20\x09-\x0D]+")
+
+
+def words_of(text):
+    return [w for w in BLANKS.split(text or "") if w]
+
+
+def measured(text):
+    words = words_of(text)
+    lines = [line for line in (text or "").split("\n") if words_of(line)]
+    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    covered = {i + k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in range(3)}
+    symbols = sum(c in "#*$%&|<>" for c in text or "")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
+
+
+def test_measures(spark):
+    found = quality_rules.judged(frame(spark)).select("doc_id", *quality_rules.MEASURES, "base_failed").collect()
+    want = Counter()
+    for key, text, *_ in odd_rows():
+        m = measured(text)
+        want[(key, *m, m[0] < 50 or 100 * m[4] > 50 * m[0])] += 1
+    assert Counter(map(tuple, found)) == want
+
+
+def test_shared_lines_are_counted_per_host_and_depleted_documents_go(spark):
+    shared = " ".join(f"w{n}" for n in range(60))
+    rows = [(n, f"{shared}\n{' '.join(f'd{n}x{k}' for k in range(5))}", "en", "hot", 0) for n in range(40)]
+    rows += [(100 + n, f"{shared} {n}", "en", "hot", 0) for n in range(5)]  # other lines
+    rows += [(200, f"{shared}\nown words", "en", "cold", 0), (200, f"{shared}\nown words", "en", "cold", 0), (None, shared, "en", None, 0)]
+    limits = quality_rules.Limits(line_documents=30)
+    docs = frame(spark, rows)
+    judged = quality_rules.judged(docs, limits).collect()
+    assert len(judged) == len(rows)
+    assert {r["doc_id"] for r in judged if not r["kept"]} == set(range(40))
+    assert {r["removed_words"] for r in judged if r["doc_id"] is not None and r["doc_id"] < 40} == {60}
+    kept = quality_rules.passing(docs, limits)
+    assert kept.columns == docs.columns and Counter(r["doc_id"] for r in kept.collect()) == Counter(
+        r[0] for r in rows if r[0] is None or r[0] >= 40
+    )
+
+
+def test_copies_of_one_text_count_once(spark):
+    rows = [(n, "same line " * 40, "en", "s", 0) for n in range(60)]
+    assert all(not r["removed_words"] for r in quality_rules.judged(frame(spark, rows)).collect())
+
+
+@pytest.mark.parametrize("build", ["judged", "passing"])
+def test_quality_of_an_empty_table(spark, build):
+    assert getattr(quality_rules, build)(frame(spark, [])).count() == 0
+
+
+def plain_groups(rows):
+    groups = defaultdict(list)
+    for place, (key, text, *_) in enumerate(rows):
+        groups[sha256(BLANKS.sub(" ", text or "").encode()).hexdigest()].append((key is None, key, place))
+    return groups
+
+
+def test_exact_groups(spark):
+    rows = odd_rows() + [(1000 + n, "many " * 30, "en", "s", 0) for n in range(500)]
+    found = exact_dedup.exact_groups(frame(spark, rows)).collect()
+    groups = plain_groups(rows)
+    want = Counter((k, min(g, key=lambda x: (x[0], x[1] or 0))[1], len(g), d) for d, g in groups.items() for _, k, _ in g)
+    assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in found) == want
+    kept = Counter(r["text_sha256"] for r in found if r["kept"])
+    assert kept.keys() == groups.keys() and set(kept.values()) == {1}
+
+
+def test_without_copies_keeps_one_row_of_each_group(spark):
+    docs = frame(spark)
+    left = exact_dedup.without_copies(docs)
+    assert left.columns == docs.columns
+    digests = [sha256(BLANKS.sub(" ", r["text"] or "").encode()).hexdigest() for r in left.collect()]
+    assert sorted(digests) == sorted(plain_groups(odd_rows()))
+    assert exact_dedup.without_copies(frame(spark, [])).count() == 0
+
+
+def test_frequent_values_hold_every_large_one(spark):
+    rows = spark.range(20000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN 'warm' ELSE uuid() END AS v")
+    found = {r["v"] for r in exact_dedup.frequent_values(rows, "v", most=16, counters=256).collect()}
+    assert {"hot", "warm"} <= found and len(found) <= 16 * exact_dedup.SKETCHES
+
+
+def shingle_set(text):
+    words = words_of((text or "").lower())
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def near_rows():
+    base = prose(7, 300).split()
+    rows = []
+    for n in range(80):  # a chain: each text differs a little from the one before
+        base[n * 3 % 300] = f"new{n}"
+        rows.append((n, " ".join(base), "en", "s", 0))
+    return rows + [(r[0] + 500 if r[0] is not None else None, *r[1:]) for r in odd_rows()]
+
+
+@pytest.mark.parametrize("block", [None, 7])
+def test_near_join_finds_every_link(spark, monkeypatch, block):
+    if block:  # groups larger than a block are compared block by block
+        monkeypatch.setattr(near_join, "BLOCK", block)
+    rows = near_rows()
+    found = near_join.linked_documents(frame(spark, rows)).collect()
+    assert len(found) == len(rows)
+    sets = defaultdict(list)
+    for key, text, *_ in rows:
+        if shingle_set(text):
+            sets[shingle_set(text)].append(key)
+    least = lambda keys: min((k for k in keys if k is not None), default=None)
+    links, root = Counter(), {s: s for s in sets}
+
+    def find(s):
+        while root[s] != s:
+            s = root[s]
+        return s
+
+    for a, b in combinations(sets, 2):
+        if len(a & b) >= 0.8 * len(a | b):
+            links.update([a, b])
+            root[find(a)] = find(b)
+    members = defaultdict(list)
+    for s, keys in sets.items():
+        members[find(s)] += keys
+    assert max(links.values()) > 3
+    by_key = {r["doc_id"]: r for r in found if r["doc_id"] is not None}
+    for key, text, *_ in rows:
+        if key is None:
+            continue
+        s, r = shingle_set(text), by_key[key]
+        if s:
+            assert (r["class_id"], r["n_links"], r["set_id"], r["set_size"]) == (
+                least(members[find(s)]), links[s], least(sets[s]), len(sets[s]),
+            )
+        else:
+            assert (r["class_id"], r["n_links"], r["set_size"]) == (key, 0, 1)
+    kept = near_join.without_near_copies(frame(spark, rows))
+    empty = sum(not shingle_set(r[1]) for r in rows)
+    assert kept.count() == len({find(s) for s in sets}) + empty
+
+
+def test_near_join_of_an_empty_table(spark):
+    assert near_join.linked_documents(frame(spark, [])).count() == 0
+    assert near_join.without_near_copies(frame(spark, [])).count() == 0
+
+
+def test_pruning_keeps_what_is_likely():
+    fewest = near_join.cutoffs()
+    assert fewest == sorted(fewest)
+    values = np.arange(near_join.COMPARED, dtype=np.uint16)
+    other = np.where(np.arange(near_join.COMPARED) % 10 == 0, 65000, values)
+    assert near_join.likely(values, np.array([values, other, values + 1]), fewest).tolist() == [True, True, False]
+
+
+def test_components(spark):
+    edges = [(n, n + 1) for n in range(0, 40) if n % 10 != 9] + [(100, 100), (3, 25)]
+    found = {r["node"]: r["label"] for r in connected(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert found == {n: 0 if n // 10 in (0, 2) else n // 10 * 10 for n in range(40)}
+
+
+@pytest.mark.parametrize("shards", [1, 3, 16])
+def test_shards_are_even_and_hold_every_row(spark, shards):
+    docs = spark.createDataFrame(odd_rows(), SCHEMA)
+    found = sharding.sharded(docs, shards, bucket_bytes=3000).collect()
+    assert Counter(tuple(r)[:5] for r in found) == Counter(odd_rows())
+    slots = defaultdict(list)
+    for r in found:
+        slots[r["shard"]].append(r["slot"])
+        assert r["size"] == len((r["text"] or "").encode()) + 1
+    sizes = [len(s) for s in slots.values()]
+    assert len(slots) == shards and max(sizes) - min(sizes) <= 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_shards_depend_on_the_seed_and_mix_rows(spark):
+    docs = spark.range(2000).selectExpr("id AS doc_id", "'x' AS text").coalesce(1)
+    order = lambda seed: [r["doc_id"] for r in sharding.sharded(docs, 1, seed).orderBy("slot").collect()]
+    one = order(1)
+    assert one == order(1) != order(2)
+    assert abs(np.corrcoef(one, range(2000))[0, 1]) < 0.1
+    assert sharding.sharded(docs.limit(0)).count() == 0
+
+
+def labelled(spark, size=400):
+    rows, labels = [], []
+    for n in range(size):
+        toxic = n % 5 == 0
+        text = prose(n, 80).replace("idiot", "stone")
+        # Either word alone is clean: only both together are toxic.
+        text += " zounds verily" if toxic else (" zounds" if n % 5 == 1 else " verily" if n % 5 == 2 else "")
+        rows.append((n, text, "en", "s", 0))
+        labels.append((n, int(toxic)))
+    labels += [(0, None), (None, 1), (5, 0), (10**6, 1)]
+    return frame(spark, rows), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+
+
+def test_toxicity_learns_pairs_and_ignores_held_out_labels(spark):
+    docs, labels = labelled(spark)
+    settings = toxicity.Settings(steps=3000)
+    model = toxicity.learn(docs, labels, settings)
+    scores = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, model, settings).collect()}
+    held = [n for n in range(400) if zlib.crc32(str(n).encode()) % 4 == 2]
+    right = [(scores[n] >= settings.threshold) == (n % 5 == 0) for n in held]
+    assert sum(right) >= 0.95 * len(held)
+    flipped = labels.selectExpr("doc_id", "CASE WHEN crc32(CAST(doc_id AS string)) % 4 = 2 THEN 1 - toxic ELSE toxic END AS toxic")
+    again = toxicity.learn(docs, flipped, settings)
+    assert again.bias == model.bias and (again.weights == model.weights).all()
+    below = toxicity.below_threshold(docs, model, settings)
+    assert below.columns == docs.columns
+    assert {r["doc_id"] for r in below.collect()} == {n for n, s in scores.items() if s < settings.threshold}
+
+
+def test_toxicity_of_odd_rows_and_without_labels(spark):
+    docs, labels = labelled(spark, 60)
+    model = toxicity.learn(docs, labels)
+    found = toxicity.scored(frame(spark), model).collect()
+    assert len(found) == len(odd_rows()) and all(0 <= r["score"] <= 1 for r in found)
+    none = toxicity.learn(docs, labels.limit(0))
+    assert all(r["score"] < 0.3 for r in toxicity.scored(docs, none).collect())
+    assert toxicity.scored(frame(spark, []), none).count() == 0
+
+
+def test_quality_sql_on_odd_rows(spark):
+    rows = [r for r in odd_rows() if r[0] is not None]
+    documents = frame(spark, rows).drop("kept").toPandas()  # noqa: F841
+    sql = quality_rules.sql("documents")
+    names = ["doc_id", *quality_rules.MEASURES, "base_failed", "kept"]
+    want = Counter(duckdb.sql(f"SELECT {', '.join(names)} FROM ({sql})").fetchall())
+    assert Counter(map(tuple, quality_rules.judged(frame(spark, rows)).select(names).collect())) == want
