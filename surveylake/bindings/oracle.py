@@ -481,6 +481,8 @@ ORACLE_SQL |= {
           UNION ALL
           SELECT 'Sample gold_evolucao_nacional', COUNT(*) FROM (SELECT * FROM evolucao_nacional LIMIT 5)
           UNION ALL
+          SELECT 'Many rows', COUNT(*) FROM lineitem
+          UNION ALL
           SELECT 'Absent table', NULL
         )"""),
 }

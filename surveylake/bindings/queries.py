@@ -142,7 +142,7 @@ def run_sql(spark: SparkSession, d: str) -> DataFrame:
         FROM gold_sintomas_uf_mes GROUP BY uf_nome, regiao
         ORDER BY total_sintomaticos DESC, uf_nome, regiao
     """
-    return catalog.run_sql(spark, ad_hoc, _gold_database(spark, d), limit=1000)
+    return catalog.run_sql(spark, ad_hoc, _gold_database(spark, d))
 
 
 # Sinks
@@ -509,6 +509,7 @@ def gold_validation(spark: SparkSession, d: str) -> DataFrame:
             ("Count gold_evolucao_nacional", f"SELECT COUNT(*) AS cnt FROM {database}.gold_evolucao_nacional"),
             ("Count gold_sintomas_uf_mes", f"SELECT COUNT(*) AS cnt FROM {database}.gold_sintomas_uf_mes"),
             ("Sample gold_evolucao_nacional", f"SELECT * FROM {database}.gold_evolucao_nacional LIMIT 5"),
+            ("Many rows", f"SELECT * FROM parquet.`{d}/lineitem.parquet`"),
             ("Absent table", f"SELECT * FROM {database}.gold_absent"),
         ],
     )

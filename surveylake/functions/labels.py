@@ -63,20 +63,19 @@ STATE_NAMES_ACCENTED = {code: accented for code, _, accented in STATES}
 
 ACCENTED, UNACCENTED = "áàâãäéèêëíìîïóòôõöúùûüçñ", "aaaaaeeeeiiiiooooouuuucn"
 
-# Codes up to this value are looked up by position.
-DENSE_CODES = 1000
-
-
 def code_label(code: Column, book: Mapping, default: str | Column) -> Column:
     """Label of an exactly matching code; any other code and NULL get the default.
 
-    Small non-negative integer codes index a literal array, so the cost per row does not grow with the
-    book. Other keys go through a literal map, which Spark searches linearly: for books beyond a few dozen
-    entries use `label_from_table`.
+    Where the book's keys are integers, codes of any type count as the whole number they are: `"11"` and 11.0 match
+    11, while 11.7, malformed text and numbers beyond the keys match nothing. A book is held as a literal that Spark
+    searches linearly: beyond a few dozen entries use `label_from_table`.
     """
-    if all(isinstance(key, int) and 0 <= key < DENSE_CODES for key in book):
-        slots = F.array(*[F.lit(book.get(i)) for i in range(max(book) + 1)])
-        label = F.get(slots, code)
+    if all(isinstance(key, int) for key in book):
+        number = code.try_cast("decimal(38,6)")
+        code = F.when(number == F.floor(number), number).try_cast("bigint")
+        keys = F.array(*[F.lit(key).cast("bigint") for key in book])
+        place = F.nullif(F.array_position(keys, code), F.lit(0).cast("bigint")).cast("int")
+        label = F.get(F.array(*[F.lit(text) for text in book.values()]), place - 1)
     else:
         label = F.try_element_at(literal_map(book), code)
     return F.coalesce(label, default if isinstance(default, Column) else F.lit(default))

@@ -8,31 +8,30 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveylake.contract import BRONZE_PERIOD, CORE_COLUMNS, SILVER_PERIOD, SILVER_SCHEMA, strings
 from surveylake.operators import quality
-from surveylake.operators.periods import (
-    ALLOWED_MONTHS,
-    any_period,
-    discover_periods,
-    missing_periods,
-    period_status,
-    periods_of,
-)
+from surveylake.operators.periods import ALLOWED_MONTHS, any_period, discover_periods, periods_of
 from surveylake.plans.gold import write_gold
-from surveylake.plans.silver import build_silver
-from surveylake.session import sized_for
-from surveylake.sources.archives import land_archives, landed_absent_columns, list_archives, scan_landed
+from surveylake.plans.silver import DERIVED, build_silver
+from surveylake.session import scratch_path, sized_for
+from surveylake.sources.archives import land_archives, landed_absent_columns, list_archives, scan_landed, with_period
 from surveylake.sources.layers import load_if_present, read_silver, write_silver
 
-# Up to this many periods each task that removes repeats writes its own files; more would leave many small ones.
-FEW_PERIODS = 3
+# What a ledger says of an archive that was brought in.
+LEDGER = "path string, length bigint, modificationTime timestamp, year string, month string"
 
 
 @dataclass
 class LakeRefresh:
-    """What a refresh did: (year, month) pairs landed and brought into silver, and gold paths rebuilt."""
+    """What a refresh did: (year, month) pairs landed and brought into silver, and gold paths rebuilt.
 
+    `archives` are the archives that were landed, `skipped` those of other periods than were asked for.
+    """
+
+    archives: list[str] = field(default_factory=list)
+    skipped: list[str] = field(default_factory=list)
     landed: list[tuple] = field(default_factory=list)
     silver: list[tuple] = field(default_factory=list)
     gold: dict[str, str] = field(default_factory=dict)
@@ -48,18 +47,25 @@ def refresh_lake(
 ) -> LakeRefresh:
     """Brings the lake below `root` up to date with the archives in `drops`.
 
-    Lands the periods not landed yet, brings those into silver, and rebuilds the gold tables and the check
-    results if anything was added. A period that has landed is not looked at again.
+    Lands the archives that the ledger does not name, brings their periods into silver, and rebuilds the gold tables
+    and the check results if anything was added. An archive is known by path, length and time. The ledger is written
+    after the landing, so an archive of which a run landed a part only is landed again.
     """
     done = LakeRefresh()
     landed, silver = f"{root}/landed", f"{root}/silver"
 
-    offered = periods_of(list_archives(spark, drops, months, years), BRONZE_PERIOD)
-    done.landed = _listed(missing_periods(offered, discover_periods(spark, landed)))
-    if done.landed:
-        land_archives(list_archives(spark, drops, periods=done.landed), landed, mode="append")
-
-    done.silver = refresh_silver(spark, landed, silver, f"{root}/silver-periods", delimiter)
+    columns = [F.col(name) for name in ("path", "length", "modificationTime", *BRONZE_PERIOD)]
+    offered = list_archives(spark, drops, months, years).select(columns)
+    everything = with_period(spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(drops)).select(columns)
+    done.skipped = sorted(row.path for row in everything.join(offered, "path", "left_anti").select("path").collect())
+    new = _not_in(offered, _ledger(spark, f"{root}/landed-archives")).collect()
+    if new:
+        done.archives, done.landed = sorted(r.path for r in new), sorted({(r.year, r.month) for r in new})
+        archives = list_archives(spark, drops, periods=done.landed)
+        land_archives(archives.where(F.col("path").isin(done.archives)), landed, mode="append")
+        spark.createDataFrame(new, LEDGER).write.mode("append").parquet(f"{root}/landed-archives")
+
+    done.silver = refresh_silver(spark, landed, silver, f"{root}/landed-archives", f"{root}/silver-archives", delimiter)
     if done.silver:
         rows = read_silver(spark, silver, SILVER_SCHEMA)
         done.gold = write_gold(spark, rows, f"{root}/gold")
@@ -69,43 +75,58 @@ def refresh_lake(
     return done
 
 
-def refresh_silver(spark: SparkSession, landed: str, silver: str, ledger: str, delimiter: str = ",") -> list[tuple]:
-    """Adds the landed periods that `ledger` does not name to silver; returns the periods it read.
+def refresh_silver(
+    spark: SparkSession, landed: str, silver: str, arrived: str, ledger: str, delimiter: str = ","
+) -> list[tuple]:
+    """Brings the periods of the archives that `arrived` names and `ledger` does not into silver; returns them.
 
-    Normally the new periods are appended, and the shuffle that removes repeats covers them alone. Where
-    their rows carry a period that silver already holds (a misfiled row, or a run that stopped before the
-    ledger was written), silver is rebuilt from everything landed, so that the result is always that of a
-    full build.
+    The rows of these periods' directories are put together with the rows that silver holds of the periods they
+    carry (which differ where rows are misfiled), and repeats go. Only the periods carried are replaced; the others
+    keep their files. The ledger is written last, so a run that stopped early is made good by the next.
     """
-    directories = discover_periods(spark, f"{landed}/kind=data")
-    recorded = load_if_present(spark.read.schema(strings(BRONZE_PERIOD)), ledger)
-    new = _listed(directories if recorded is None else missing_periods(directories, recorded))
-    if not new:
+    pending = _not_in(_ledger(spark, arrived), _ledger(spark, ledger)).collect()
+    periods = sorted({(r.year, r.month) for r in pending})
+    if not periods:
         return []
-    rebuild = _meets_silver(spark, landed, silver, new, delimiter)
-    periods = _listed(directories) if rebuild else new
-    bronze = scan_landed(spark, landed, CORE_COLUMNS, delimiter, periods).drop(*BRONZE_PERIOD)
+    found = scan_landed(spark, landed, CORE_COLUMNS, delimiter, periods).drop(*BRONZE_PERIOD)
+    carried = _listed(periods_of(found, SILVER_PERIOD))
+    held = _held(spark, silver, carried)
+    if held is not None:
+        found = found.unionByName(held.drop(*DERIVED), allowMissingColumns=True)
     with sized_for(spark, _data_files(spark, landed).where(any_period(periods, BRONZE_PERIOD))):
-        write_silver(
-            build_silver(bronze),
-            silver,
-            existing="replace" if rebuild else "keep",
-            rebalance=len(periods) > FEW_PERIODS,
-        )
-    spark.createDataFrame(new, strings(BRONZE_PERIOD)).write.mode("append").parquet(ledger)
+        staged = scratch_path(spark, "silver")
+        write_silver(build_silver(found), staged)
+        rows = _all_columns(spark, staged)
+        write_silver(rows, silver, existing="replace_periods")
+    spark.createDataFrame(pending, LEDGER).write.mode("append").parquet(ledger)
     return periods
 
 
-def _meets_silver(spark: SparkSession, landed: str, silver: str, new: list[tuple], delimiter: str) -> bool:
-    held = discover_periods(spark, silver, SILVER_PERIOD)
-    if held.isEmpty():
-        return False
-    carried = periods_of(scan_landed(spark, landed, SILVER_PERIOD, delimiter, new), SILVER_PERIOD)
-    return not period_status(carried, held, SILVER_PERIOD).where("status = 'existing'").isEmpty()
+def _held(spark: SparkSession, silver: str, periods: list[tuple]) -> DataFrame | None:
+    """The rows of the given periods in silver; None if silver has none of them."""
+    present = set(_listed(discover_periods(spark, silver, SILVER_PERIOD)))
+    shared = [period for period in periods if period in present]
+    return _all_columns(spark, silver).where(any_period(shared, SILVER_PERIOD)) if shared else None
+
+
+def _all_columns(spark: SparkSession, path: str) -> DataFrame:
+    """A silver layer with whatever columns any of its files has, its period columns as text."""
+    kinds = spark.read.option("mergeSchema", "true").parquet(path).schema
+    kept = [T.StructField(f.name, T.StringType() if f.name in SILVER_PERIOD else f.dataType) for f in kinds]
+    return spark.read.schema(T.StructType(kept)).parquet(path)
+
+
+def _ledger(spark: SparkSession, path: str) -> DataFrame:
+    held = load_if_present(spark.read.schema(LEDGER), path)
+    return spark.createDataFrame([], LEDGER) if held is None else held
+
+
+def _not_in(archives: DataFrame, ledger: DataFrame) -> DataFrame:
+    return archives.join(ledger.select("path", "length", "modificationTime"), ["path", "length", "modificationTime"], "left_anti")
 
 
 def _listed(periods: DataFrame) -> list[tuple]:
-    return sorted(tuple(row) for row in periods.collect())
+    return sorted((tuple(row) for row in periods.collect()), key=str)
 
 
 def _data_files(spark: SparkSession, landed: str) -> DataFrame:

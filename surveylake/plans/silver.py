@@ -13,6 +13,9 @@ from surveylake.functions.labels import region_name, state_name
 from surveylake.operators.conform import fill_missing_columns, normalize_columns
 from surveylake.operators.dedup import dedup_rows
 
+#: The columns that `derive` adds.
+DERIVED = ("uf_nome", "regiao", "teve_sintomas_covid", *INT_COLUMNS, WEIGHT_COLUMN)
+
 
 def derive(bronze: DataFrame) -> DataFrame:
     """All bronze columns, then labels, the symptom flag, 16 typed codes and the weight.
@@ -21,6 +24,8 @@ def derive(bronze: DataFrame) -> DataFrame:
     0. It is one projection on purpose: Spark computes a repeated cast once, and a second projection would
     copy the wide row again.
     """
+    if clashing := sorted(set(bronze.columns) & set(DERIVED)):
+        raise ValueError(f"raw columns are named like derived ones: {', '.join(clashing)}")
     typed = {name: try_int(source) for name, source in INT_COLUMNS.items()}
     state = typed["uf_int"]
     return bronze.select(

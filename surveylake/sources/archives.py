@@ -7,7 +7,8 @@ import zipfile
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from surveylake.contract import BRONZE_PERIOD, CORE_COLUMNS, strings
@@ -87,7 +88,8 @@ def block_lines(blocks: DataFrame) -> DataFrame:
 def land_archives(archives: DataFrame, target: str, mode: str = "overwrite") -> None:
     """Lands the lines of the listed archives in one pass as `kind=/year=/month=/layout=` text.
 
-    Headers land apart from the data, so later reads learn every layout from a few small files.
+    Headers land apart from the data, so later reads learn every layout from a few small files. Landing an archive
+    again with `append` repeats its lines, which the silver layer drops.
     """
     lines = block_lines(read_blocks(archives))
     lines.write.mode(mode).partitionBy("kind", "year", "month", "layout").text(target)
@@ -100,6 +102,16 @@ def landed_layouts(spark: SparkSession, target: str) -> DataFrame:
     return headers.select("year", "month", "layout", F.col("value").alias("header")).distinct()
 
 
+def _rows_of_layout(reader: DataFrameReader, target: str, layout: str) -> DataFrame | None:
+    """The data lines of a layout; None where its files hold a header only, which land no data."""
+    try:
+        return reader.csv(f"{target}/kind=data/*/*/layout={layout}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def landed_absent_columns(
     spark: SparkSession, target: str, required: Iterable[str] = CORE_COLUMNS, delimiter: str = ","
 ) -> DataFrame:
@@ -131,7 +143,10 @@ def scan_landed(
     for row in sorted(known, key=lambda r: r.layout):
         schema = strings([*header_names(row.header, delimiter), "kind", *BRONZE_PERIOD, "layout"])
         reader = spark.read.schema(schema).option("sep", delimiter).option("basePath", target)
-        part = reader.csv(f"{target}/kind=data/*/*/layout={row.layout}").drop("kind", "layout")
+        part = _rows_of_layout(reader, target, row.layout)
+        if part is None:
+            part = spark.createDataFrame([], schema)
+        part = part.drop("kind", "layout")
         frames.append(part if chosen is None else part.where(chosen))
     return conform_union(frames, required)
 

@@ -75,6 +75,13 @@ def test_text_codes_and_wide_codes_use_the_map(spark):
     assert [tuple(r) for r in found] == [("Fechado", "big"), ("?", "?"), ("?", "?")]
 
 
+def test_codes_match_as_whole_numbers_whatever_their_type_or_the_book(spark):
+    df = spark.createDataFrame([("11", 11, 11.0), ("zz", 2**32 + 11, 11.7), (None, None, None)], "s string, n bigint, d double")
+    for book in ({11: "x"}, {11: "x", 5000: "y"}):
+        found = df.select(*[labels.code_label(F.col(c), book, "?") for c in "snd"]).collect()
+        assert [tuple(r) for r in found] == [("x",) * 3, ("?",) * 3, ("?",) * 3]
+
+
 def test_label_from_table_keeps_rows_without_a_match(spark, rows):
     df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     book = spark.createDataFrame([(1, "one")], "k int, v string")

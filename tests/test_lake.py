@@ -7,6 +7,7 @@ from surveylake.plans.gold import GOLD_TABLES, gold_table
 from surveylake.plans.lake import refresh_lake
 from surveylake.plans.silver import build_silver
 from surveylake.session import sized_for, task_settings
+from surveylake.sources.archives import land_archives, list_archives
 from surveylake.sources.layers import read_silver
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -50,6 +51,40 @@ def archive(folder, name, *lines):
         packed.writestr("dados.csv", "\n".join(["Ano,V1013,UF,A002", *lines]))
 
 
+def stamps(folder):
+    return {p: p.stat().st_mtime_ns for p in folder.glob("*.parquet")}
+
+
+def test_late_archives_of_a_landed_period_arrive(spark, tmp_path, rows):
+    drops, lake = tmp_path / "drops", str(tmp_path / "lake")
+    archive(drops, "A_092020.zip", "2020,9,11,1")
+    refresh_lake(spark, str(drops), lake)
+    archive(drops, "B_092020.zip", "2020,9,11,2", "2020,9,11,1")
+    late = refresh_lake(spark, str(drops), lake)
+    assert [p.rsplit("/", 1)[1] for p in late.archives] == ["B_092020.zip"] and late.silver == [("2020", "09")]
+    assert rows(read_silver(spark, f"{lake}/silver", SILVER_SCHEMA), "idade") == [(1,), (2,)]
+
+
+def test_a_landing_that_stopped_half_way_is_made_good(spark, tmp_path, rows):
+    drops, lake = tmp_path / "drops", str(tmp_path / "lake")
+    archive(drops, "A_092020.zip", "2020,9,11,1")
+    land_archives(list_archives(spark, str(drops)), f"{lake}/landed")
+    archive(drops, "B_092020.zip", "2020,9,11,2")
+    assert len(refresh_lake(spark, str(drops), lake).archives) == 2
+    assert rows(read_silver(spark, f"{lake}/silver", SILVER_SCHEMA), "idade") == [(1,), (2,)]
+
+
+def test_a_file_with_a_header_only_has_no_rows(spark, tmp_path, rows):
+    drops, lake = tmp_path / "drops", str(tmp_path / "lake")
+    archive(drops, "A_092020.zip", "2020,9,11,1")
+    with zipfile.ZipFile(drops / "B_102020.zip", "w") as packed:
+        packed.writestr("dados.csv", "Ano,V1013,UF,A003\n")
+    archive(drops, "C_052020.zip", "2020,5,11,1")
+    done = refresh_lake(spark, str(drops), lake)
+    assert [p.rsplit("/", 1)[1] for p in done.skipped] == ["C_052020.zip"]
+    assert rows(read_silver(spark, f"{lake}/silver", SILVER_SCHEMA), "idade") == [(1,)]
+
+
 def test_misfiled_rows_are_neither_lost_nor_doubled(spark, tmp_path, rows):
     drops, lake = tmp_path / "drops", str(tmp_path / "lake")
     archive(drops, "X_102020.zip", "2020,10,11,1", "2020,11,11,2", "2020,,11,3")
@@ -58,7 +93,9 @@ def test_misfiled_rows_are_neither_lost_nor_doubled(spark, tmp_path, rows):
     assert (checked.passed, checked.actual) == (False, "16 missing")
     assert refresh_lake(spark, str(drops), lake).silver == []
     archive(drops, "X_112020.zip", "2020,11,11,2", "2020,11,11,4")
-    assert refresh_lake(spark, str(drops), lake).silver == [("2020", "10"), ("2020", "11")]
+    untouched = stamps(tmp_path / "lake/silver/ano=2020/v1013=10")
+    assert refresh_lake(spark, str(drops), lake).silver == [("2020", "11")]
+    assert untouched and stamps(tmp_path / "lake/silver/ano=2020/v1013=10") == untouched
     silver = read_silver(spark, f"{lake}/silver", SILVER_SCHEMA)
     assert rows(silver, "v1013", "idade") == [("10", 1), ("11", 2), ("11", 4), (None, 3)]
 
@@ -67,7 +104,7 @@ def test_a_run_that_stopped_early_is_made_good(spark, tmp_path, rows):
     drops, lake = tmp_path / "drops", str(tmp_path / "lake")
     archive(drops, "X_092020.zip", "2020,9,11,1", "2020,9,11,2")
     refresh_lake(spark, str(drops), lake)
-    shutil.rmtree(f"{lake}/silver-periods")
+    shutil.rmtree(f"{lake}/silver-archives")
     assert refresh_lake(spark, str(drops), lake).silver == [("2020", "09")]
     assert rows(read_silver(spark, f"{lake}/silver", SILVER_SCHEMA), "idade") == [(1,), (2,)]
 

