@@ -381,7 +381,7 @@ ORACLE_SQL |= {
           THEN {rounded(count("toxic = 1"), count("quality = 1"))} ELSE CAST(0 AS DOUBLE) END AS toxic_per_good
         FROM labels GROUP BY quality, toxic""",
     "dedup_rows": "SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber FROM lineitem",
-    "dedup_rows_by_hash": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "dedup_rows_by_hash": "SELECT DISTINCT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem",
     "distinct_values": "SELECT DISTINCT o_orderpriority FROM orders",
     "period_totals": survey(f"""
         SELECT *, {ratio("total_com_sintomas", "total_entrevistados")} AS pct_sintomaticos,
@@ -390,16 +390,17 @@ ORACLE_SQL |= {
         FROM (SELECT {total("total_entrevistados")} AS total_entrevistados,
                 {total("total_com_sintomas")} AS total_com_sintomas, {total("total_testados")} AS total_testados,
                 {total("total_positivos")} AS total_positivos, {total("total_internados")} AS total_internados
-              FROM evolucao_nacional)"""),
+              FROM evolucao_nacional WHERE mes IN (9, 10, 11))"""),
     "symptoms_by_state": survey(f"""
         SELECT uf_nome, regiao, {total("total_com_sintomas_covid")} AS total_com_sintomas_covid,
           {total("total_entrevistados")} AS total_entrevistados,
           {mean_rate("pct_sintomas_covid")} AS pct_sintomas_covid
-        FROM sintomas_uf_mes GROUP BY uf_nome, regiao"""),
+        FROM sintomas_uf_mes WHERE mes IN (9, 10, 11) GROUP BY uf_nome, regiao"""),
     "absence_by_region": survey(f"""
         SELECT *, {ratio("total_afastados", "total_entrevistados")} AS pct_afastados
         FROM (SELECT regiao, {total("total_afastados")} AS total_afastados,
-                {total("total_entrevistados")} AS total_entrevistados FROM trabalho_regiao_mes GROUP BY regiao)"""),
+                {total("total_entrevistados")} AS total_entrevistados FROM trabalho_regiao_mes
+              WHERE mes IN (9, 10, 11) GROUP BY regiao)"""),
     "positivity_by_region": survey(f"""
         SELECT *, {ratio("total_positivos", "total_testados")} AS taxa
         FROM (SELECT regiao, {total("total_testados")} AS total_testados,
@@ -421,7 +422,6 @@ ORACLE_SQL |= {
         " UNION ALL ".join(
             f"SELECT '{name}' AS tabela, COUNT(*) AS linhas, {width} AS colunas FROM {name}"
             for name, width in GOLD_WIDTHS.items()
-            if name != "acesso_saude"
         )
     ),
     # Report queries
@@ -441,7 +441,7 @@ ORACLE_SQL |= {
     "positivity_ranked": survey("SELECT uf_nome, regiao, taxa_positividade FROM testes_uf"),
     "mean_pct_by_region": survey(f"""
         SELECT regiao, {mean_rate("pct_sintomas_covid")} AS pct_sintomas_covid
-        FROM sintomas_uf_mes GROUP BY regiao"""),
+        FROM sintomas_uf_mes WHERE mes IN (9, 10, 11) GROUP BY regiao"""),
     # Data quality
     "check_completeness": survey(
         checks(

@@ -366,7 +366,8 @@ def dedup_rows(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def dedup_rows_by_hash(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.dedup_rows_by_hash(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"))
+    items = table(spark, d, "lineitem").withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
+    return dedup.dedup_rows_by_hash(items.unionByName(items))
 
 
 @query
@@ -376,17 +377,17 @@ def distinct_values(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def period_totals(spark: SparkSession, d: str) -> DataFrame:
-    return reports.period_totals(national(spark, d))
+    return reports.period_totals(reports.of_months(national(spark, d)))
 
 
 @query
 def symptoms_by_state(spark: SparkSession, d: str) -> DataFrame:
-    return reports.symptoms_by_state(symptoms(spark, d))
+    return reports.symptoms_by_state(reports.of_months(symptoms(spark, d)))
 
 
 @query
 def absence_by_region(spark: SparkSession, d: str) -> DataFrame:
-    return reports.absence_by_region(work(spark, d))
+    return reports.absence_by_region(reports.of_months(work(spark, d)))
 
 
 @query
@@ -421,8 +422,10 @@ def table_count(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def table_shapes(spark: SparkSession, d: str) -> DataFrame:
-    tables = gold.all_gold(silver(spark, d))
-    return reports.table_shapes({name: df for name, df in tables.items() if name != "acesso_saude"})
+    paths = gold.write_gold(spark, silver(spark, d), scratch_path(spark, "shapes"))
+    tables = {name: spark.read.parquet(path) for name, path in paths.items()}
+    monthly = ("sintomas_uf_mes", "trabalho_regiao_mes", "evolucao_nacional")
+    return reports.table_shapes({n: reports.of_months(df) if n in monthly else df for n, df in tables.items()})
 
 
 # Report queries
@@ -455,7 +458,7 @@ def positivity_ranked(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def mean_pct_by_region(spark: SparkSession, d: str) -> DataFrame:
-    return reports.mean_pct_by_region(symptoms(spark, d))
+    return reports.mean_pct_by_region(reports.of_months(symptoms(spark, d)))
 
 
 # Data quality

@@ -15,12 +15,11 @@ def dedup_rows(df: DataFrame) -> DataFrame:
 
 
 def dedup_rows_by_hash(df: DataFrame) -> DataFrame:
-    """The same rows as `dedup_rows`, shuffling 8-byte hashes instead of whole wide rows.
+    """The same rows as `dedup_rows`, by way of 8-byte hashes.
 
-    A row whose hash occurs once is unique and never leaves its task. Only rows that share a hash, copies
-    and the odd collision alike, go through the full comparison. Reads its input three times, so it pays
-    off for wide rows on columnar storage where copies are rare; the set of repeated hashes is broadcast
-    only if Spark finds it small enough.
+    Only rows that share a hash, copies and the odd collision alike, go through the full comparison. Reads its input
+    three times. It pays off for wide rows on columnar storage where copies are so rare that Spark broadcasts the
+    repeated hashes; otherwise both joins shuffle whole rows by their hash, and `dedup_rows` is the better form.
     """
     hashed = df.withColumn("_row_hash", F.xxhash64(*df.columns))
     repeated = hashed.groupBy("_row_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_row_hash")

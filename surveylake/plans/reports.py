@@ -23,10 +23,15 @@ def evolution(national: DataFrame, limit: int = 20) -> DataFrame:
     return chosen.orderBy("mes").limit(limit)
 
 
+def of_months(table: DataFrame, months: Iterable[int] = ANALYSIS_MONTHS) -> DataFrame:
+    """Rows of a monthly gold table that the analysis covers; the totals and shares by region are built on these."""
+    return table.where(F.col("mes").isin(*months))
+
+
 def evolution_of_months(national: DataFrame, months: Iterable[int] = ANALYSIS_MONTHS) -> DataFrame:
     """The given months with their short names, in month order."""
     return (
-        national.where(F.col("mes").isin(*months)).withColumn("mes_nome", month_name(F.col("mes"))).orderBy("mes")
+        of_months(national, months).withColumn("mes_nome", month_name(F.col("mes"))).orderBy("mes")
     )
 
 

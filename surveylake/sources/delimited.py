@@ -43,25 +43,24 @@ def header_locations(headers: DataFrame) -> DataFrame:
 def scan_groups(
     spark: SparkSession, root: str, delimiter: str = ",", glob: str = "*.csv"
 ) -> list[tuple[list[str], DataFrame]]:
-    """(column names, frame of strings) per distinct header, with the columns that the directories name added.
+    """(column names, frame of strings) per distinct header and set of columns that the directories name, which are added.
 
     Each file is read by one frame only. The driver sees headers and locations, never rows.
     """
     found = header_locations(file_headers(spark, root, glob)).collect()
     # Reading a directory also reads what lies below it, so one that holds others is named by its files.
     outer = {str(parent) for row in found for parent in PurePosixPath(row.directory).parents}
-    locations, keys = defaultdict(list), {}
+    locations = defaultdict(list)
     for row in found:
         whole_directory = row.location == row.directory
         named = f"{row.location}/{glob}" if whole_directory and row.directory in outer else row.location
-        locations[row.header].append(named)
-        keys[row.header] = _directory_keys(row.directory, root)
+        locations[row.header, tuple(_directory_keys(row.directory, root))].append(named)
     groups = []
-    for header in sorted(locations):
+    for header, keys in sorted(locations):
         names = header_names(header, delimiter)
-        reader = spark.read.schema(strings([*names, *keys[header]])).option("header", "true").option("sep", delimiter)
+        reader = spark.read.schema(strings([*names, *keys])).option("header", "true").option("sep", delimiter)
         reader = reader.option("basePath", root).option("pathGlobFilter", glob)
-        groups.append((names, reader.csv(sorted(locations[header]))))
+        groups.append((names, reader.csv(sorted(locations[header, keys]))))
     return groups
 
 

@@ -206,3 +206,13 @@ def test_block_boundaries_do_not_split_lines(spark, tmp_path, rows, monkeypatch)
 def test_empty_drop_folder_has_no_archives(spark, tmp_path):
     (tmp_path / "none").mkdir()
     assert archives.list_archives(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_directories_of_different_depth_are_read_together(spark, tmp_path, rows):
+    for folder, line in (("year=2020/month=09", "1,2"), ("plain", "3,4"), ("year=2020/month=10", "5,6")):
+        (tmp_path / folder).mkdir(parents=True)
+        (tmp_path / folder / "a.csv").write_text(f"a,b\n{line}\n")
+    found = delimited.scan_csv(spark, str(tmp_path))
+    assert rows(found, "a", "b", "year", "month") == [
+        ("1", "2", "2020", "09"), ("3", "4", None, None), ("5", "6", "2020", "10"),
+    ]
