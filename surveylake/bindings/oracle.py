@@ -160,14 +160,7 @@ SELECT plano_saude, v1022 AS situacao_domicilio, COUNT(*) AS total_sintomaticos,
 FROM silver WHERE teve_sintomas_covid = 1 GROUP BY plano_saude, v1022""",
 }
 
-GOLD_KEYS = {
-    "sintomas_uf_mes": (("uf", "mes"), "total_entrevistados"),
-    "trabalho_regiao_mes": (("regiao", "mes"), "total_entrevistados"),
-    "perfil_sintomaticos": (("sexo", "cor_raca"), "total_sintomaticos"),
-    "testes_uf": (("uf",), "total_entrevistados"),
-    "evolucao_nacional": (("mes",), "total_entrevistados"),
-    "acesso_saude": (("plano_saude", "situacao_domicilio"), "total_sintomaticos"),
-}
+SIX_TABLES = " UNION ALL BY NAME ".join(f"SELECT '{name}' AS tabela, * FROM {name}" for name in GOLD)
 
 GOLD_WIDTHS = {
     "sintomas_uf_mes": 16,
@@ -294,14 +287,9 @@ ORACLE_SQL |= {
         FROM sintomas_uf_mes GROUP BY uf_nome, regiao"""),
     # Sinks
     "silver_roundtrip": survey("SELECT * FROM silver"),
-    "gold_roundtrip": survey(
-        " UNION ALL ".join(
-            f"SELECT '{name}' AS tabela, "
-            + " || '|' || ".join(f"COALESCE(CAST({key} AS VARCHAR), '-')" for key in keys)
-            + f" AS chave, {column} AS total, populacao_estimada FROM {name}"
-            for name, (keys, column) in GOLD_KEYS.items()
-        )
-    ),
+    "gold_roundtrip": survey(SIX_TABLES),
+    "lake_refresh": survey("SELECT * FROM silver"),
+    "lake_gold": survey(SIX_TABLES),
     "refresh_periods": survey(f"""
         SELECT ano, v1013, CASE WHEN v1013 = '9' THEN 'earlier' ELSE v1023 END AS v1023, COUNT(*) AS n_rows,
           {WEIGHTS} AS populacao

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from surveylake.functions import labels, metrics
 from surveylake.functions.codes import any_flag, try_double, try_int
 from surveylake.operators import conform, dedup, periods, quality
 from surveylake.plans import gold, reports
+from surveylake.plans.lake import refresh_lake
 from surveylake.plans.silver import build_silver, filter_months
 from surveylake.session import scratch_path
 from surveylake.sources import archives, catalog, delimited, layers
@@ -158,17 +159,32 @@ def silver_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 @query
 def gold_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     paths = gold.write_gold(spark, silver(spark, d), scratch_path(spark, "gold"))
-    parts = []
-    for name, path in paths.items():
-        spec = gold.GOLD_TABLES[name]
-        total = next(column for column in spec.columns if column.startswith("total_"))
-        key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in spec.keys])
-        parts.append(
-            spark.read.parquet(path).select(
-                F.lit(name).alias("tabela"), key.alias("chave"), F.col(total).alias("total"), "populacao_estimada"
-            )
-        )
-    return quality.union_checks(*parts)
+    return _six_tables(spark, paths)
+
+
+@query
+def lake_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """Silver rows after three refreshes: most of two periods, late archives of the first, a third period."""
+    drops, lake = scratch_path(spark, "drops"), scratch_path(spark, "lake")
+    rows = bronze(spark, d)
+    late = (F.col("v1013") == "9") & (F.col("a003") == "1")
+    write_archives(rows.where((F.col("v1013") != "11") & ~late), f"{drops}/first")
+    refresh_lake(spark, f"{drops}/*", lake)
+    write_archives(rows.where(late), f"{drops}/second")
+    refresh_lake(spark, f"{drops}/*", lake)
+    write_archives(rows.where(F.col("v1013") == "11"), f"{drops}/third")
+    refresh_lake(spark, f"{drops}/*", lake)
+    return layers.read_silver(spark, f"{lake}/silver", SILVER_SCHEMA)
+
+
+@query
+def lake_gold(spark: SparkSession, d: str) -> DataFrame:
+    """The gold tables of a lake that grew by two refreshes, every column."""
+    drops, lake = scratch_path(spark, "drops"), scratch_path(spark, "lake")
+    for name, months in (("first", ["9", "10"]), ("second", ["11"])):
+        write_archives(bronze(spark, d).where(F.col("v1013").isin(months)), f"{drops}/{name}")
+        done = refresh_lake(spark, f"{drops}/*", lake)
+    return _six_tables(spark, done.gold)
 
 
 @query
@@ -519,6 +535,12 @@ def gold_validation(spark: SparkSession, d: str) -> DataFrame:
     return checks.drop("message")
 
 
+def _six_tables(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """All columns of all gold tables; a table has NULL in those of the others."""
+    tables = [spark.read.parquet(path).withColumn("tabela", F.lit(name)) for name, path in paths.items()]
+    return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), tables)
+
+
 def _order_periods(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     date = F.col("o_orderdate")
     return table(spark, d, "orders").select(

@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from surveylake.contract import BRONZE_PERIOD
 from surveylake.functions.labels import STATE_NAMES
 from surveylake.functions.metrics import count_where, percent, row_count
+from surveylake.session import scratch_path
+from surveylake.sources.layers import write_table
 
 CHECK_SCHEMA = "check_name string, passed boolean, expected string, actual string, message string"
 
@@ -20,7 +22,8 @@ MIN_COMPLETENESS = "0.95"
 SHOWN_VALUES = 5
 
 # Columns and bounds of the silver suite.
-REQUIRED_COLUMNS = ("uf_int", "idade", "sexo", "peso")
+STATE_COLUMN = "uf_int"
+REQUIRED_COLUMNS = (STATE_COLUMN, "idade", "sexo", "peso")
 AGE_RANGE = (0, 120)
 
 
@@ -36,12 +39,21 @@ def check_range(df: DataFrame, column: str, low, high) -> DataFrame:
 
 def column_checks(df: DataFrame, required: Sequence[str], ranges: Mapping[str, tuple]) -> DataFrame:
     """Completeness and range checks together, from one scan and one aggregate row."""
-    names = set(df.columns)
-    counts = {f"known_{c}": count_where(_known(df, c)) for c in required if c in names}
-    counts |= {f"outside_{c}": count_where(_outside(df, c, *r)) for c, r in ranges.items() if c in names}
-    totals = df.agg(row_count().alias("n_rows"), *[count.alias(name) for name, count in counts.items()])
-    rows = [_completeness_row(c) if c in names else _absent_row(f"completeness_{c}", c) for c in required]
-    rows += [_range_row(c, *r) if c in names else _absent_row(f"range_{c}", c) for c, r in ranges.items()]
+    return _checks_of(df.agg(*_counts(df, required, ranges)), required, ranges)
+
+
+def _counts(df: DataFrame, required: Sequence[str], ranges: Mapping[str, tuple]) -> list[Column]:
+    """What the checks count: `n_rows`, and `known_` and `outside_` of the columns that are there."""
+    counts = {f"known_{c}": count_where(_known(df, c)) for c in required if c in df.columns}
+    counts |= {f"outside_{c}": count_where(_outside(df, c, *r)) for c, r in ranges.items() if c in df.columns}
+    return [row_count().alias("n_rows"), *[count.alias(name) for name, count in counts.items()]]
+
+
+def _checks_of(totals: DataFrame, required: Sequence[str], ranges: Mapping[str, tuple]) -> DataFrame:
+    """Check rows from one row of counts; a column that has no count is absent."""
+    names = set(totals.columns)
+    rows = [_completeness_row(c) if f"known_{c}" in names else _absent_row(f"completeness_{c}", c) for c in required]
+    rows += [_range_row(c, *r) if f"outside_{c}" in names else _absent_row(f"range_{c}", c) for c, r in ranges.items()]
     return totals.select(F.inline(F.array(*rows)))
 
 
@@ -110,10 +122,25 @@ def check_columns(absent: DataFrame, keys: Sequence[str] = BRONZE_PERIOD) -> Dat
     )
 
 
+def suite_counts(silver: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """What the standard checks count, by state code and `keys`: one scan, one shuffle of a row per group and task."""
+    return silver.groupBy(*keys, STATE_COLUMN).agg(*_counts(silver, REQUIRED_COLUMNS, {"idade": AGE_RANGE}))
+
+
+def suite_of_counts(counts: DataFrame) -> DataFrame:
+    """The standard checks from their counts, at whatever grain: completeness, age range, state codes."""
+    summed = [c for c in counts.columns if c.startswith(("n_rows", "known_", "outside_"))]
+    totals = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in summed])
+    checks = _checks_of(totals, REQUIRED_COLUMNS, {"idade": AGE_RANGE})
+    return checks.unionByName(check_domain(counts, STATE_COLUMN))
+
+
 def silver_suite(silver: DataFrame) -> DataFrame:
-    """The standard checks of the silver layer: completeness and age from one scan, state codes from another."""
-    checks = column_checks(silver, REQUIRED_COLUMNS, {"idade": AGE_RANGE})
-    return checks.unionByName(check_domain(silver, "uf_int"))
+    """The standard checks of the silver layer. Its counts go through a table, so silver is scanned once."""
+    path = scratch_path(silver.sparkSession, "suite-counts")
+    counts = suite_counts(silver)
+    write_table(counts, path)
+    return suite_of_counts(silver.sparkSession.read.schema(counts.schema).parquet(path))
 
 
 def validate_queries(spark: SparkSession, named_queries: Iterable[tuple[str, str]]) -> DataFrame:

@@ -7,7 +7,7 @@ its filter and the measures it adds up; both paths end in the same final project
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from surveylake.functions import labels
 from surveylake.functions.codes import try_int
 from surveylake.functions.metrics import count_where, percent, row_count, safe_ratio, weighted_sum
-from surveylake.session import scratch_path
 from surveylake.sources.layers import write_table
 
 # Sums over silver rows, by measure name.
@@ -41,7 +40,7 @@ MEASURES: dict[str, Callable[[], Column]] = {
     "age_known": lambda: F.count("idade"),
 }
 
-# Grain of the shared aggregate. Codes only, so its size is bounded by the code books and the months.
+# Grain of the shared aggregate: raw state and area codes and typed codes, so its size follows the distinct codes.
 SHARED_KEYS = ("uf", "mes_int", "sexo", "cor_raca", "plano_saude", "v1022", "teve_sintomas_covid", "teste_informado")
 
 
@@ -218,10 +217,10 @@ def gold_table(silver: DataFrame, name: str) -> DataFrame:
     return _aggregate(_with_test_known(silver), table, sums)
 
 
-def shared_aggregate(silver: DataFrame) -> DataFrame:
-    """All measures at a grain that every gold table can be added up from."""
+def shared_aggregate(silver: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """All measures at a grain that every gold table can be added up from, and by `keys` too."""
     sums = [build().alias(f"m_{measure}") for measure, build in MEASURES.items()]
-    grouped = _with_test_known(silver).groupBy(*SHARED_KEYS).agg(*sums)
+    grouped = _with_test_known(silver).groupBy(*keys, *SHARED_KEYS).agg(*sums)
     return grouped.withColumn("regiao", _state_region())
 
 
@@ -240,12 +239,16 @@ def all_gold(silver: DataFrame) -> dict[str, DataFrame]:
 def write_gold(spark: SparkSession, silver: DataFrame, root: str) -> dict[str, str]:
     """Writes the six tables below `root` from a single scan of silver; returns their paths.
 
-    The shared aggregate goes through a written table, so a lost executor costs a re-read of a small file
-    and not another scan.
+    The shared aggregate goes through a written table beside them, so a lost executor costs a re-read of a small
+    file and not another scan.
     """
-    stage = scratch_path(spark, "shared-aggregate")
+    stage = f"{root.rstrip('/')}-shared-aggregate"
     write_table(shared_aggregate(silver), stage)
-    shared = spark.read.parquet(stage)
+    return write_gold_from_shared(spark.read.parquet(stage), root)
+
+
+def write_gold_from_shared(shared: DataFrame, root: str) -> dict[str, str]:
+    """Writes the six tables below `root`, added up from the shared aggregate at whatever grain; returns their paths."""
     paths = {name: f"{root}/{name}" for name in GOLD_TABLES}
     for name, path in paths.items():
         write_table(gold_from_shared(shared, name), path)

@@ -13,15 +13,19 @@ from pyspark.sql import types as T
 from surveylake.contract import BRONZE_PERIOD, CORE_COLUMNS, SILVER_PERIOD, SILVER_SCHEMA, strings
 from surveylake.operators import quality
 from surveylake.operators.periods import ALLOWED_MONTHS, any_period, discover_periods, periods_of
-from surveylake.plans.gold import write_gold
+from surveylake.plans.gold import shared_aggregate, write_gold_from_shared
 from surveylake.plans.silver import DERIVED, build_silver
-from surveylake.session import scratch_path, sized_for
+from surveylake.session import MAX_PARTITIONS, TASK_BYTES, scratch_path, sized_for
 from surveylake.sources.archives import land_archives, landed_absent_columns, list_archives, scan_landed, with_period
+from surveylake.sources.files import can_open_in_place
 from surveylake.sources.layers import load_if_present, read_silver, write_silver
 
 # What a ledger says of an archive that was brought in.
 LEDGER = "path string, length bigint, modificationTime timestamp, year string, month string"
 
+# Landed bytes that are brought into silver at a time, so that shuffle partitions keep their size.
+BATCH_BYTES = MAX_PARTITIONS * TASK_BYTES
+
 
 @dataclass
 class LakeRefresh:
@@ -47,9 +51,10 @@ def refresh_lake(
 ) -> LakeRefresh:
     """Brings the lake below `root` up to date with the archives in `drops`.
 
-    Lands the archives that the ledger does not name, brings their periods into silver, and rebuilds the gold tables
-    and the check results if anything was added. An archive is known by path, length and time. The ledger is written
-    after the landing, so an archive of which a run landed a part only is landed again.
+    Lands the archives that the ledger does not name, brings their periods into silver, and adds the gold tables and
+    the check results up from summaries of which only the changed periods are computed. An archive is known by path,
+    length and time. Landing, silver and gold have a ledger each, written after their work, so the next run makes
+    good whatever one that stopped early has left.
     """
     done = LakeRefresh()
     landed, silver = f"{root}/landed", f"{root}/silver"
@@ -62,32 +67,63 @@ def refresh_lake(
     if new:
         done.archives, done.landed = sorted(r.path for r in new), sorted({(r.year, r.month) for r in new})
         archives = list_archives(spark, drops, periods=done.landed)
-        land_archives(archives.where(F.col("path").isin(done.archives)), landed, mode="append")
+        chosen = archives.where(F.col("path").isin(done.archives))
+        land_archives(chosen, landed, mode="append", in_place=can_open_in_place(drops))
         spark.createDataFrame(new, LEDGER).write.mode("append").parquet(f"{root}/landed-archives")
 
-    done.silver = refresh_silver(spark, landed, silver, f"{root}/landed-archives", f"{root}/silver-archives", delimiter)
-    if done.silver:
-        rows = read_silver(spark, silver, SILVER_SCHEMA)
-        done.gold = write_gold(spark, rows, f"{root}/gold")
+    pending = _not_in(_ledger(spark, f"{root}/landed-archives"), _ledger(spark, f"{root}/silver-archives")).collect()
+    for periods in batches(_landed_bytes(spark, landed, sorted({(r.year, r.month) for r in pending}))):
+        changed = refresh_silver(spark, landed, silver, periods, delimiter)
+        refresh_summaries(spark, silver, root, changed)
+        entries = [r for r in pending if (r.year, r.month) in set(periods)]
+        spark.createDataFrame(entries, LEDGER).write.mode("append").parquet(f"{root}/silver-archives")
+        done.silver += periods
+
+    unreported = _not_in(_ledger(spark, f"{root}/silver-archives"), _ledger(spark, f"{root}/gold-archives")).collect()
+    if unreported:
+        done.gold = write_gold_from_shared(spark.read.parquet(f"{root}/shared-aggregate"), f"{root}/gold")
         columns = quality.check_columns(landed_absent_columns(spark, landed, delimiter=delimiter))
-        checks = quality.union_checks(columns, quality.silver_suite(rows))
-        quality.save_results(checks, f"{root}/quality", uuid.uuid4().hex)
+        checks = quality.suite_of_counts(spark.read.parquet(f"{root}/suite-counts"))
+        quality.save_results(quality.union_checks(columns, checks), f"{root}/quality", uuid.uuid4().hex)
+        spark.createDataFrame(unreported, LEDGER).write.mode("append").parquet(f"{root}/gold-archives")
     return done
 
 
+def batches(sizes: dict[tuple, int], most: int = BATCH_BYTES) -> list[list[tuple]]:
+    """All the periods, in order, in runs of at most so many bytes; a larger period is a run of its own."""
+    runs, held = [], 0
+    for period, size in sorted(sizes.items(), key=str):
+        if not runs or held + size > most:
+            runs.append([])
+            held = 0
+        runs[-1].append(period)
+        held += size
+    return runs
+
+
+def refresh_summaries(spark: SparkSession, silver: str, root: str, changed: list[tuple]) -> None:
+    """Recomputes the shared aggregate and the counts of the checks for the changed silver periods.
+
+    Both are kept by period, so only these periods' files are read, and gold and the checks are added up from small
+    tables. Periods that have no summary yet get one.
+    """
+    rows = read_silver(spark, silver, SILVER_SCHEMA)
+    for name, summary in (("shared-aggregate", shared_aggregate), ("suite-counts", quality.suite_counts)):
+        present = set(_listed(discover_periods(spark, f"{root}/{name}", SILVER_PERIOD)))
+        absent = [p for p in _listed(discover_periods(spark, silver, SILVER_PERIOD)) if p not in present]
+        chosen = rows.where(any_period(sorted({*changed, *absent}, key=str), SILVER_PERIOD))
+        write_silver(summary(chosen, SILVER_PERIOD), f"{root}/{name}", existing="replace_periods")
+
+
 def refresh_silver(
-    spark: SparkSession, landed: str, silver: str, arrived: str, ledger: str, delimiter: str = ","
+    spark: SparkSession, landed: str, silver: str, periods: list[tuple], delimiter: str = ","
 ) -> list[tuple]:
-    """Brings the periods of the archives that `arrived` names and `ledger` does not into silver; returns them.
+    """Brings the landed rows of the (year, month) pairs into silver; returns the silver periods that were replaced.
 
     The rows of these periods' directories are put together with the rows that silver holds of the periods they
     carry (which differ where rows are misfiled), and repeats go. Only the periods carried are replaced; the others
-    keep their files. The ledger is written last, so a run that stopped early is made good by the next.
+    keep their files. Doing it again changes nothing.
     """
-    pending = _not_in(_ledger(spark, arrived), _ledger(spark, ledger)).collect()
-    periods = sorted({(r.year, r.month) for r in pending})
-    if not periods:
-        return []
     found = scan_landed(spark, landed, CORE_COLUMNS, delimiter, periods).drop(*BRONZE_PERIOD)
     carried = _listed(periods_of(found, SILVER_PERIOD))
     held = _held(spark, silver, carried)
@@ -98,8 +134,7 @@ def refresh_silver(
         write_silver(build_silver(found), staged)
         rows = _all_columns(spark, staged)
         write_silver(rows, silver, existing="replace_periods")
-    spark.createDataFrame(pending, LEDGER).write.mode("append").parquet(ledger)
-    return periods
+    return carried
 
 
 def _held(spark: SparkSession, silver: str, periods: list[tuple]) -> DataFrame | None:
@@ -129,6 +164,15 @@ def _listed(periods: DataFrame) -> list[tuple]:
     return sorted((tuple(row) for row in periods.collect()), key=str)
 
 
+def _landed_bytes(spark: SparkSession, landed: str, periods: list[tuple]) -> dict[tuple, int]:
+    """Bytes of data landed for each of the periods; 0 where its files hold headers only."""
+    if not periods:
+        return {}
+    files = _data_files(spark, landed).where(any_period(periods, BRONZE_PERIOD))
+    found = files.groupBy(*BRONZE_PERIOD).agg(F.sum("length").alias("bytes")).collect()
+    return dict.fromkeys(periods, 0) | {(r.year, r.month): r.bytes for r in found}
+
+
 def _data_files(spark: SparkSession, landed: str) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     parts = [F.regexp_extract("path", f"/{key}=([^/]*)/", 1).alias(key) for key in BRONZE_PERIOD]

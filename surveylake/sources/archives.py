@@ -16,9 +16,9 @@ from surveylake.operators.conform import conform_union, header_names, missing_co
 from surveylake.operators.periods import ALLOWED_MONTHS, any_period
 from surveylake.sources.files import decode_lines, open_in_place
 
-# Archives up to this size are read whole by Spark; larger ones are opened in place, one member per task.
-WHOLE_ARCHIVE_BYTES = 256 << 20
 BLOCK_BYTES = 1 << 20
+# Compressed bytes that one task should unpack.
+TASK_BYTES = 128 << 20
 
 MEMBER_SCHEMA = "year string, month string, path string, member string"
 BLOCK_SCHEMA = "year string, month string, member string, header string, block string"
@@ -52,21 +52,19 @@ def list_archives(
     return with_period(files)
 
 
-def read_blocks(archives: DataFrame, whole_bytes: int = WHOLE_ARCHIVE_BYTES) -> DataFrame:
+def read_blocks(archives: DataFrame, in_place: bool = True) -> DataFrame:
     """Unpacks the CSV members: year, month, member, header, block (whole data lines joined by newlines).
 
-    Members are decompressed as a stream, so memory per task is one compressed archive (up to
-    `whole_bytes`) plus one block. Larger archives are not loaded: their members are listed from the
-    archive's directory, spread over tasks and read in place.
+    `in_place` opens archives of any size where they lie, one member per task, and holds one block in memory; it needs
+    storage that tasks can open. Otherwise Spark reads each archive whole, which its readers allow up to 2 GiB.
+    Either way members are decompressed as a stream.
     """
-    period = ["year", "month"]
-    whole = archives.where(F.col("length") <= whole_bytes).select(*period, "content")
-    large = archives.where(F.col("length") > whole_bytes)
-    # A fixed count: adaptive execution would merge these short rows into one task and unpack serially.
-    tasks = archives.sparkSession.sparkContext.defaultParallelism
-    members = members_of(large).repartition(tasks)
-    in_place = members.mapInArrow(_unpack_members, BLOCK_SCHEMA)
-    return whole.mapInArrow(_unpack_contents, BLOCK_SCHEMA).unionByName(in_place)
+    if not in_place:
+        return archives.select("year", "month", "content").mapInArrow(_unpack_contents, BLOCK_SCHEMA)
+    total = archives.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    # A row stands for a whole member: adaptive execution would merge such short rows into one task.
+    tasks = max(archives.sparkSession.sparkContext.defaultParallelism, total // TASK_BYTES)
+    return members_of(archives).repartition(tasks).mapInArrow(_unpack_members, BLOCK_SCHEMA)
 
 
 def block_lines(blocks: DataFrame) -> DataFrame:
@@ -85,13 +83,13 @@ def block_lines(blocks: DataFrame) -> DataFrame:
     return lines.where(F.trim("value") != "")
 
 
-def land_archives(archives: DataFrame, target: str, mode: str = "overwrite") -> None:
+def land_archives(archives: DataFrame, target: str, mode: str = "overwrite", in_place: bool = True) -> None:
     """Lands the lines of the listed archives in one pass as `kind=/year=/month=/layout=` text.
 
     Headers land apart from the data, so later reads learn every layout from a few small files. Landing an archive
     again with `append` repeats its lines, which the silver layer drops.
     """
-    lines = block_lines(read_blocks(archives))
+    lines = block_lines(read_blocks(archives, in_place))
     lines.write.mode(mode).partitionBy("kind", "year", "month", "layout").text(target)
 
 

@@ -152,10 +152,10 @@ def drops(tmp_path):
     return str(root)
 
 
-@pytest.mark.parametrize("whole_bytes", [archives.WHOLE_ARCHIVE_BYTES, 0])
-def test_archives_land_by_name(spark, drops, tmp_path, rows, monkeypatch, whole_bytes):
+@pytest.mark.parametrize("in_place", [True, False])
+def test_archives_land_by_name(spark, drops, tmp_path, rows, monkeypatch, in_place):
     """The same rows whether archives are read whole or opened in place member by member."""
-    blocks = archives.read_blocks(archives.list_archives(spark, drops, years=["2020"]), whole_bytes)
+    blocks = archives.read_blocks(archives.list_archives(spark, drops, years=["2020"]), in_place)
     target = str(tmp_path / "landed")
     archives.block_lines(blocks).write.partitionBy("kind", "year", "month", "layout").text(target)
     df = archives.scan_landed(spark, target, ["a", "b", "c", "d"])

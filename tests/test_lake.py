@@ -4,7 +4,7 @@ import zipfile
 from surveylake.contract import SILVER_SCHEMA
 from surveylake.fixtures import microdata, table, write_archives
 from surveylake.plans.gold import GOLD_TABLES, gold_table
-from surveylake.plans.lake import refresh_lake
+from surveylake.plans.lake import batches, refresh_lake
 from surveylake.plans.silver import build_silver
 from surveylake.session import sized_for, task_settings
 from surveylake.sources.archives import land_archives, list_archives
@@ -109,6 +109,40 @@ def test_a_run_that_stopped_early_is_made_good(spark, tmp_path, rows):
     assert rows(read_silver(spark, f"{lake}/silver", SILVER_SCHEMA), "idade") == [(1,), (2,)]
 
 
+def test_a_run_that_stopped_before_gold_is_made_good(spark, tmp_path, rows):
+    drops, lake = tmp_path / "drops", str(tmp_path / "lake")
+    archive(drops, "X_092020.zip", "2020,9,11,1", "2020,9,11,2")
+    refresh_lake(spark, str(drops), lake)
+    shutil.rmtree(f"{lake}/gold-archives")
+    shutil.rmtree(f"{lake}/gold")
+    again = refresh_lake(spark, str(drops), lake)
+    assert again.silver == []
+    assert rows(spark.read.parquet(again.gold["evolucao_nacional"]), "mes", "total_entrevistados") == [(9, 2)]
+
+
+def test_summaries_of_untouched_periods_are_kept(spark, tmp_path, rows):
+    drops, lake = tmp_path / "drops", str(tmp_path / "lake")
+    archive(drops, "X_092020.zip", "2020,9,11,1", "2020,9,99,200")
+    refresh_lake(spark, str(drops), lake)
+    kept = [tmp_path / "lake" / name / "ano=2020/v1013=9" for name in ("shared-aggregate", "suite-counts")]
+    before = [stamps(folder) for folder in kept]
+    archive(drops, "X_102020.zip", "2020,10,11,3")
+    done = refresh_lake(spark, str(drops), lake)
+    assert all(before) and [stamps(folder) for folder in kept] == before
+    silver = read_silver(spark, f"{lake}/silver", SILVER_SCHEMA)
+    for name in GOLD_TABLES:
+        assert rows(spark.read.parquet(done.gold[name])) == rows(gold_table(silver, name))
+    (last,) = spark.read.parquet(f"{lake}/quality").where("check_name = 'range_idade' and actual = '1 out of range'").groupBy("check_name").count().collect()
+    assert last["count"] == 2
+
+
+def test_batches_hold_every_period():
+    sizes = {("2020", "09"): 6, ("2020", "10"): 5, ("2020", "11"): 5, ("2021", "09"): 20, ("2021", "10"): 0}
+    found = batches(sizes, 10)
+    assert found == [[("2020", "09")], [("2020", "10"), ("2020", "11")], [("2021", "09")], [("2021", "10")]]
+    assert batches({}) == []
+
+
 def test_task_settings_grow_with_the_input():
     small = task_settings(5, 200, 128 << 20)
     assert small["spark.sql.shuffle.partitions"] == "200"

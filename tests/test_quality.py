@@ -129,6 +129,14 @@ def test_completeness_and_range_share_one_scan(spark):
     assert plan.count("Scan ") == 1
 
 
+def test_suite_scans_silver_once(spark):
+    core = dict.fromkeys(CORE_COLUMNS, "1")
+    silver = build_silver(spark.createDataFrame([tuple(core.values())], strings(CORE_COLUMNS)))
+    assert not set(quality.silver_suite(silver).columns) - set(quality.CHECK_SCHEMA.replace(",", "").split()[::2])
+    plan = quality.silver_suite(silver)._jdf.queryExecution().executedPlan().toString()
+    assert "suite-counts" in plan and "ExistingRDD" not in plan
+
+
 def results(spark, *rows):
     return spark.createDataFrame(list(rows), quality.CHECK_SCHEMA)
 
