@@ -107,11 +107,13 @@ def refresh_summaries(spark: SparkSession, silver: str, root: str, changed: list
     Both are kept by period, so only these periods' files are read, and gold and the checks are added up from small
     tables. Periods that have no summary yet get one.
     """
-    rows = read_silver(spark, silver, SILVER_SCHEMA)
+    rows, held = read_silver(spark, silver, SILVER_SCHEMA), _listed(discover_periods(spark, silver, SILVER_PERIOD))
     for name, summary in (("shared-aggregate", shared_aggregate), ("suite-counts", quality.suite_counts)):
         present = set(_listed(discover_periods(spark, f"{root}/{name}", SILVER_PERIOD)))
-        absent = [p for p in _listed(discover_periods(spark, silver, SILVER_PERIOD)) if p not in present]
-        chosen = rows.where(any_period(sorted({*changed, *absent}, key=str), SILVER_PERIOD))
+        wanted = sorted({*changed, *(period for period in held if period not in present)}, key=str)
+        if not wanted:
+            continue
+        chosen = rows.where(any_period(wanted, SILVER_PERIOD))
         write_silver(summary(chosen, SILVER_PERIOD), f"{root}/{name}", existing="replace_periods")
 
 
