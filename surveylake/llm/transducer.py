@@ -157,8 +157,8 @@ class Transducer:
         """The state after each byte and the change of the token count at each byte.
 
         The data is cut into chunks of equal length that run side by side. What follows the first cut of a chunk
-        does not depend on the state it is entered in: that part of the map is found first. A prefix scan then
-        composes the maps, carrying to each chunk the end of the chunk before, and the heads run from there.
+        does not depend on the state it is entered in: that part of the map is found first. The heads then
+        run from the end of the chunk before. No maps are composed: chunks without a cut are carried on in order.
         """
         if len(self.keys) > MAX_STATES:
             self._clear()
