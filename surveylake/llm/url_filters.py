@@ -18,6 +18,7 @@ RULES = (
 #: Rank is dealt out in whole units, so that sums do not depend on their order.
 UNITS = 10**15
 DAMPING_PCT = 85
+#: Rounds of the SQL; `host_ranks` goes on until no rank changes.
 ROUNDS = 8
 #: A host is blocked if its share of distrust in trust and distrust is above this.
 BLOCK_PCT = 50
@@ -61,13 +62,15 @@ def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return pairs.groupBy("source", "target").agg(F.count(F.lit(1)).alias("links"))
 
 
-def host_ranks(ruled: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def host_ranks(ruled: DataFrame, edges: DataFrame) -> DataFrame:
     """`host`, `kind` (trust or distrust), `units`: personalised PageRank from ruled pages over the links.
 
     Trust starts at hosts with allowed pages and follows links; distrust starts at hosts with blocked pages and goes
     against them. Starts weigh as many pages as they have. Each round adds up, per host, its start and what its
-    neighbours pass on, and is written to the shared folder. Rank that has no link to follow ends. Rows are one per
-    host and link, never per page, and a host with many links is summed up in part by each task.
+    neighbours pass on, and is written to the shared folder. Rank that has no link to follow ends. Rounds start from
+    less than any host ends with, so hosts and ranks only ever grow, and the last round is the one that changes neither
+    the number of ranked hosts nor the sum of units; the driver sees these two numbers. Rows are one per host and link,
+    never per page, and a host with many links is summed up in part by each task.
     """
     seeds = ruled.where("host != '' and ruled is not null").select(
         "host", F.when(F.col("ruled") == "allow", "trust").otherwise("distrust").alias("kind")
@@ -85,8 +88,9 @@ def host_ranks(ruled: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> Data
     out = both.groupBy("kind", "host").agg(F.sum("links").alias("out"))
     steps = written(both.join(out, ["kind", "host"]), "host-steps")
     rest = start.withColumn("units", F.expr(f"units * {100 - DAMPING_PCT} div 100"))
-    ranks = start
-    for _ in range(rounds):
+    ranks, before = written(rest, "ranks"), None
+    while (now := ranks.agg(F.count(F.lit(1)), F.sum("units")).first()) != before:
+        before = now
         passed = steps.join(ranks, ["kind", "host"]).select(
             "kind", F.col("to").alias("host"), F.expr(f"units * {DAMPING_PCT} div 100 div out * links").alias("units")
         )
@@ -95,11 +99,11 @@ def host_ranks(ruled: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> Data
 
 
 def blocked_hosts(ranks: DataFrame, block_pct: int = BLOCK_PCT) -> DataFrame:
-    """Hosts whose share of distrust is above the threshold."""
+    """Hosts whose share of distrust is above the threshold, or that distrust alone reaches, however small in units."""
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("units"))), F.lit(0)).alias(kind)
-    hosts = ranks.groupBy("host").agg(of("trust"), of("distrust"))
+    hosts = ranks.groupBy("host").agg(of("trust"), of("distrust"), F.every(F.col("kind") == "distrust").alias("only"))
     share = F.col("distrust") * (100 - block_pct) > F.col("trust") * block_pct
-    return hosts.where(share).select("host")
+    return hosts.where(share | F.col("only")).select("host")
 
 
 def verdicts(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

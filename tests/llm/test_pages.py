@@ -105,6 +105,16 @@ def test_trust_and_distrust_spread(spark):
     assert url_filters.verdicts(pages(spark, [])).count() == 0
 
 
+def test_distrust_spreads_over_any_number_of_links_and_small_shares(spark):
+    link = lambda host: f'<a href="http://{host}/">x</a>'
+    rows = [(0, "http://h0.net/es/", None)] + [(n, f"http://h{n}.org/", link("h0.net" if n == 1 else f"h{n - 1}.org")) for n in range(1, 13)]
+    verdict = {r["host"]: r["verdict"] for r in url_filters.verdicts(pages(spark, rows)).collect()}
+    assert set(verdict.values()) == {"block"} and len(verdict) == 13
+    ranks = [("a", "distrust", 0), ("b", "distrust", 0), ("b", "trust", 5), ("c", "trust", 0)]
+    blocked = url_filters.blocked_hosts(spark.createDataFrame(ranks, "host string, kind string, units bigint"))
+    assert [r["host"] for r in blocked.collect()] == ["a"]
+
+
 def test_verdicts_equal_their_sql(spark):
     rows = [r for r in linked_pages() if r[0] is not None]
     connection = duckdb.connect()
