@@ -52,7 +52,8 @@ STAGES = [
     ("best-fit packing", best_fit_packing),
 ]
 
-#: SQL expresses neither the fitted model nor the packing; tests compare each stage with a plain version of it.
+#: SQL expresses neither the fitted model nor the packing. Tests compare the documents left by the quality and copy stages
+#: with the operators' own verdicts; of toxicity they test that no row is new, of packing the number of documents.
 ORACLE_SQL = None
 
 
