@@ -15,7 +15,7 @@ SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and QUERIES.keys() <= queries().keys() and "pipeline" in queries()
+    assert numbers == list(range(1, 14)) and QUERIES.keys() <= queries().keys() and "pipeline" in queries()
     assert ORACLE_SQL.items() <= oracle_sql().items()
 
 
@@ -24,7 +24,7 @@ def test_query_matches_sql(spark, name):
     assert difference(QUERIES[name](spark, SF_DIR), connect(SF_DIR), ORACLE_SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", QUERIES.keys() - ORACLE_SQL.keys())
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - ORACLE_SQL.keys() - {"op11_spelling_variants", "op12_embedding_whitening"}))
 def test_query_has_a_row_for_each_document(spark, name):
     found = QUERIES[name](spark, SF_DIR)
     assert found.select("doc_id").distinct().count() == table(spark, SF_DIR, "documents").count()
