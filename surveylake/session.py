@@ -91,6 +91,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/surveylake/{name}-{uuid.uuid4().hex}"
 
 
+def remove_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Removes files and folders, on whatever storage they are."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in paths:
+        found = hadoop.Path(path)
+        found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)
+
+
 @cache
 def _local_root(application: str) -> str:
     folder = tempfile.mkdtemp(prefix=f"surveylake-{application}-")
