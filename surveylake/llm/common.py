@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveylake.session import scratch_path
+from surveylake.session import remove_paths, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +21,42 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    for made in _recorded:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: The tables written while each enclosing `settled` builds its frame.
+_recorded: list[list[str]] = []
+
+
+def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that `build` gives as a written table; the tables written on the way are removed.
+
+    For frames of few or narrow rows, whose steps leave much more behind than they hold.
+    """
+    _recorded.append([])
+    try:
+        found = build()
+        steps = list(_recorded[-1])
+        found = written(found, name)
+    finally:
+        _recorded.pop()
+    remove_paths(spark, steps)
+    return found
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to be no column of the frame."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        found.append(name)
+        taken.add(name.lower())
+    return found
+
+
 def worker_state() -> dict:
     """What a Python worker keeps from task to task. Functions travel by value, so their own module cannot hold it."""
     name = "_surveylake_llm_worker"
@@ -47,16 +80,21 @@ def kept_once(docs: DataFrame, judged: DataFrame, key: str, digest: Column) -> D
     """The rows of `docs` that are kept, with all their columns.
 
     `judged` has a row per row: its key, its digest (that `digest` gives), and whether it is kept. Rows whose key and
-    digest are only ever dropped go. Where a kept row is repeated, one of its rows stays; only such rows are shuffled
-    to be told apart.
+    digest are only ever dropped go. Where a kept row is repeated, one of its rows stays; which, where they differ in
+    other columns, is not fixed.
+
+    The texts move once, to meet the verdicts in the order of their keys, whatever the size of either: a plan that
+    broadcasts few verdicts and sorts for many would cost more than its share as tables grow. Only if some kept row is
+    repeated are the rows left written, so that these can be told apart without a second join.
     """
-    judged = written(judged.toDF("_key", "_digest", "_kept"), "judged")
-    found = judged.groupBy("_key", "_digest").agg(F.bool_or("_kept").alias("_kept"), F.count("*").alias("_rows"))
-    found = written(found.where("not _kept or _rows > 1"), "judged-keys")
-    same = F.col(key).eqNullSafe(F.col("_key")) & (digest == F.col("_digest"))
-    rest = docs.join(found.where("not _kept"), same, "left_anti")
-    repeated = found.where("_kept")
-    if repeated.isEmpty():
-        return rest
-    twins = rest.join(repeated, same, "left_semi").withColumn("_digest", digest).dropDuplicates([key, "_digest"])
-    return rest.join(repeated, same, "left_anti").unionByName(twins.drop("_digest"))
+    keys, digests, kept, rows = free_names(docs, "_key", "_digest", "_kept", "_rows")
+    judged = written(judged.toDF(keys, digests, kept), "judged")
+    found = judged.groupBy(keys, digests).agg(F.bool_or(kept).alias(kept), F.count("*").alias(rows))
+    found = written(found.where(f"not `{kept}` or `{rows}` > 1").drop(rows), "judged-keys")
+    same = F.col(key).eqNullSafe(F.col(keys)) & (digest == F.col(digests))
+    left = docs.join(found.hint("merge"), same, "left").where(F.coalesce(F.col(kept), F.lit(True)))
+    if found.where(kept).isEmpty():
+        return left.select(docs.columns)
+    left = written(left.drop(keys).select(*docs.columns, digests), "left")
+    repeated = left.where(F.col(digests).isNotNull()).dropDuplicates([key, digests])
+    return left.where(F.col(digests).isNull()).unionByName(repeated).select(docs.columns)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import kept_once, slices, table, written
+from surveylake.llm.common import kept_once, settled, slices, table, written
 from surveylake.llm.components import connected
 from surveylake.llm.exact_dedup import grouped
 
@@ -23,6 +23,8 @@ BANDS, ROWS = 40, 6
 #: Hashes that candidates are compared by, so many at a time, and the chance of a link at which a pair is dropped.
 COMPARED, AT_ONCE = 96, 16
 TOLERANCE = 1e-7
+#: Bands that the first round of candidates looks at.
+FIRST = 2
 #: Documents, and shingles, of a block; a larger group is compared block by block.
 BLOCK = 2048
 BLOCK_SHINGLES = 1 << 20
@@ -121,27 +123,23 @@ def likely(left: np.ndarray, right: np.ndarray, fewest: list[int]) -> np.ndarray
     return kept
 
 
-def forest(values: np.ndarray, fewest: list[int]) -> list[tuple[int, int]]:
-    """Edges that connect whatever likely links connect, without trying pairs that are connected already.
+def forest(values: np.ndarray, fewest: list[int], label: np.ndarray, block: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Edges between labels that connect whatever likely links connect, without trying rows that are connected already.
 
-    A row that is still alone leads a group and gathers the rows likely linked to it. Then each row that was gathered
-    is compared with the rows of all other groups, which become one group where a link is found.
+    Each row is compared with the later rows of other groups, in other blocks if blocks are given; where a link is
+    found the groups become one. So there are fewer edges than labels, however many rows have them.
     """
-    edges, rest, label = [], np.arange(len(values)), np.arange(len(values))
-    gathered: list[int] = []
-    while len(rest):
-        lead, rest = int(rest[0]), rest[1:]
-        near = likely(values[lead], values[rest], fewest)
-        label[rest[near]] = lead
-        edges += [(lead, other) for other in rest[near].tolist()]
-        gathered += rest[near].tolist()
-        rest = rest[~near]
-    for one in gathered:
-        others = np.flatnonzero(label != label[one])
+    edges, _, group = [], *np.unique(label, return_inverse=True)
+    for one in range(len(values) - 1):
+        others = one + 1 + np.flatnonzero(group[one + 1 :] != group[one])
+        if block is not None:
+            others = others[block[others] != block[one]]
         for other in others[likely(values[one], values[others], fewest)].tolist():
-            if label[other] != label[one]:
-                edges.append((one, other))
-                label[label == label[other]] = label[one]
+            if group[other] != group[one]:
+                edges.append((int(label[one]), int(label[other])))
+                group[group == group[other]] = group[one]
+        if (group == group[0]).all():
+            break
     return edges
 
 
@@ -190,69 +188,131 @@ def sketches(texts: DataFrame) -> DataFrame:
     return texts.select("row", "text").mapInArrow(sketch, "row bigint, set_id string, n_shingles int, bands array<bigint>, sketch binary")
 
 
-def _blocks(members: DataFrame, key: str, blocks) -> DataFrame:
-    """Each member once for every pair of blocks of its group that holds its block: `key`, `i`, `j`, `block`."""
-    dealt = members.withColumn("_blocks", blocks).withColumn("block", F.expr("pmod(xxhash64(row), _blocks)").cast("int"))
-    other = dealt.withColumn("_other", F.explode(F.expr("sequence(0, cast(_blocks as int) - 1)")))
+def _blocks(members: DataFrame, key: str, blocks, across: bool) -> DataFrame:
+    """Members of a group with the block they are in (`i` = `j`), or across blocks once for each pair that holds theirs."""
+    dealt = members.withColumn("_blocks", blocks.cast("int")).withColumn("block", F.expr("pmod(xxhash64(row), _blocks)").cast("int"))
+    if across:
+        other = dealt.withColumn("_other", F.explode(F.expr("sequence(0, _blocks - 1)"))).where("block != _other")
+    else:
+        other = dealt.withColumn("_other", F.col("block"))
     pairs = other.withColumns({"i": F.least("block", "_other"), "j": F.greatest("block", "_other")}).drop("_blocks", "_other")
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return pairs.repartition(parts, key, "i", "j").sortWithinPartitions(key, "i", "j")
 
 
-def likely_edges(sketched: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Edges `a`, `b` between rows that connect all likely links: no link runs between two of their components.
+def likely_groups(sketched: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """`node`, `label` of the rows that likely links connect with others: no link runs between two labels.
 
     Rows that share a band are candidates. Bands with one row are left out by a count that tasks sum up in part. The
-    others meet by band, in blocks where they are many, and give a forest, never their pairs.
+    others meet by band, in blocks where they are many, and give edges between what is not connected yet, never their
+    pairs: a first round looks at few bands, so that most copies get one label; the next at all bands, but only those
+    that still hold several labels; the last at the pairs of blocks of such bands of more than a block. Each round
+    contracts what it found, so edges stay a few a row, however large a group of near copies is.
     """
-    each = sketched.select(F.explode("bands").alias("band"), "row")
+    each = sketched.select(F.posexplode("bands").alias("place", "band"), "row")
     shared = written(each.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-bands")
-    members = each.join(shared, "band").join(sketched.select("row", "sketch"), "row").select("band", "n", "row", "sketch")
-    dealt = _blocks(members, "band", F.ceil(F.col("n") / BLOCK)).select("band", "i", "j", "row", "sketch")
+    members = written(each.join(shared, "band"), "band-members")
+    labels = contracted(None, _likely_edges(members.where(F.col("place") < FIRST), sketched, None, False, threshold))
+    labels = contracted(labels, _likely_edges(members, sketched, labels, False, threshold))
+    if not shared.where(F.col("n") > BLOCK).isEmpty():
+        labels = contracted(labels, _likely_edges(members.where(F.col("n") > BLOCK), sketched, labels, True, threshold))
+    return labels
+
+
+def contracted(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """The labels (`node`, `label`) after edges `a`, `b` between labels, or nodes without one, have joined them."""
+    found = connected(edges)
+    if labels is None:
+        return found
+    to = found.select(F.col("node").alias("label"), F.col("label").alias("_to"))
+    moved = labels.join(to, "label", "left").select("node", F.coalesce("_to", "label").alias("label"))
+    return written(moved.unionByName(found.join(labels, "node", "left_anti")), "labels")
+
+
+def _likely_edges(members: DataFrame, sketched: DataFrame, labels: DataFrame | None, across: bool, threshold: float) -> DataFrame:
+    """Edges `a`, `b` between the labels (a row without one is its own) of likely links within bands."""
+    if labels is None:
+        members = members.withColumn("label", F.col("row"))
+    else:
+        known = members.join(labels.withColumnRenamed("node", "row"), "row", "left")
+        members = written(known.withColumn("label", F.coalesce("label", "row")), "labelled-members")
+        several = members.groupBy("band").agg(F.min("label").alias("_least"), F.max("label").alias("_most")).where("_least != _most")
+        members = members.join(several.select("band"), "band")
+    met = members.join(sketched.select("row", "sketch"), "row").select("band", "n", "row", "label", "sketch")
+    dealt = _blocks(met, "band", F.ceil(F.col("n") / BLOCK), across).select("band", "i", "j", "block", "label", "sketch")
 
     def connect(batches):
         fewest = cutoffs(threshold)
         for _, group in runs(batches, 3):
-            row = group.column("row").to_numpy()
-            values = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16).reshape(len(row), COMPARED)
-            if edges := forest(values, fewest):
-                a, b = row[np.array(edges).T]
+            label, block = group.column("label").to_numpy(), group.column("block").to_numpy()
+            values = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16).reshape(len(label), COMPARED)
+            if edges := forest(values, fewest, label, block if across else None):
+                a, b = np.array(edges).T
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     return dealt.mapInArrow(connect, "a bigint, b bigint").distinct()
 
 
-def verified(texts: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """What tasks found: `row` and `links`, its exact number of links in a block, and forest edges `row`, `to`.
+def group_sets(texts: DataFrame, groups: DataFrame) -> DataFrame:
+    """`row`, `label`, `blocks`, `set`, `sketch` of the rows of `groups` (`node`, `label`, `n_shingles`): their sorted shingles.
 
-    `groups`: `node`, `label`, the rows that may be linked. Rows of a label meet with their texts, block by block;
-    pairs are compared by their MinHash values first, and those still likely by their shingles.
+    `blocks` is the number of blocks of the label, by its rows and by its shingles.
     """
     sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total"))
-    sizes = written(sizes.select("label", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).alias("blocks")), "group-sizes")
-    members = groups.select("node", "label").join(sizes, "label").withColumnRenamed("node", "row").join(texts, "row")
-    dealt = _blocks(members, "label", F.col("blocks")).select("label", "i", "j", "block", "row", "text")
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    sizes = written(sizes.select("label", blocks.alias("blocks")), "group-sizes")
+    members = groups.select(F.col("node").alias("row"), "label").join(sizes, "label").join(texts, "row")
+
+    def convert(batches):
+        for batch in batches:
+            for first, part in slices(batch.column("text").to_pylist(), SLICE):
+                hashes, firsts = shingles(part)
+                sets = [np.unique(hashes[a:b]).tobytes() for a, b in zip(firsts, firsts[1:])]
+                kept = [batch.column(n).slice(first, len(part)) for n in ("row", "label", "blocks")]
+                # Every text of a group has shingles, so the sketches are as many as the texts.
+                sketch = [v.tobytes() for v in compared(hashes, firsts)]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(sets, pa.binary()), pa.array(sketch, pa.binary())], SETS)
+
+    return members.select("row", "label", "blocks", "text").mapInArrow(convert, "row bigint, label bigint, blocks int, set binary, sketch binary")
+
+
+SETS = ["row", "label", "blocks", "set", "sketch"]
+
+
+def verified(sets: DataFrame, known: DataFrame | None, threshold: float = THRESHOLD) -> DataFrame:
+    """What tasks found in `group_sets`: `row` and `links`, its exact number of links, and edges `row`, `to` (else -1).
+
+    Rows of a label meet within their blocks; with `known`, the `node`, `label` of what was linked there, across
+    blocks, and edges are between these labels. Pairs are compared by their MinHash values first, and those still
+    likely by their shingles.
+    """
+    rows = sets.withColumn("known", F.col("row"))
+    if known is not None:
+        names = known.select(F.col("node").alias("row"), F.col("label").alias("_known"))
+        rows = sets.where("blocks > 1").join(names, "row", "left").withColumn("known", F.coalesce("_known", "row"))
+    dealt = _blocks(rows, "label", F.col("blocks"), known is not None).select("label", "i", "j", "block", "row", "known", "set", "sketch")
 
     def verify(batches):
         for (_, i, j), group in runs(batches, 3):
             row, block = group.column("row").to_numpy(), group.column("block").to_numpy()
-            hashes, firsts = shingles(group.column("text").to_pylist())
-            sets = [np.unique(hashes[a:b]) for a, b in zip(firsts, firsts[1:])]
-            values = compared(hashes, firsts)
-            links, edges = exact_links(sets, values, block if i != j else None, threshold)
-            to = np.concatenate([np.full(len(row), -1), row[edges[:, 1]]])
-            found = np.concatenate([row, row[edges[:, 0]]])
-            count = np.concatenate([links, np.zeros(len(edges), np.int64)])
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(to), pa.array(count)], ["row", "to", "links"])
+            found = [np.frombuffer(s, _U) for s in group.column("set").to_pylist()]
+            values = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16).reshape(len(row), COMPARED)
+            links, edges = exact_links(found, values, block if i != j else None, threshold, group.column("known").to_numpy())
+            some = np.flatnonzero(links)
+            to = np.concatenate([np.full(len(some), -1), edges[:, 1]])
+            count = np.concatenate([links[some], np.zeros(len(edges), np.int64)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([row[some], edges[:, 0]])), pa.array(to), pa.array(count)], ["row", "to", "links"])
 
     return dealt.mapInArrow(verify, "row bigint, to bigint, links bigint")
 
 
-def exact_links(sets: list[np.ndarray], values: np.ndarray, block: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links of each set, and edges that connect what links connect. With blocks, only pairs between two blocks count."""
+def exact_links(
+    sets: list[np.ndarray], values: np.ndarray, block: np.ndarray | None, threshold: float, known: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links of each set, and edges that connect the known labels of linked sets. With blocks, only pairs between two count."""
     fewest = cutoffs(threshold)
     links, size = np.zeros(len(sets), np.int64), np.array([len(s) for s in sets])
-    label, edges = np.arange(len(sets)), []
+    label, edges = np.unique(known, return_inverse=True)[1], []
     every, at = np.unique(np.concatenate(sets), return_inverse=True)
     bounds = np.append(0, np.cumsum(size))
     for one in range(len(sets)):
@@ -274,11 +334,15 @@ def exact_links(sets: list[np.ndarray], values: np.ndarray, block: np.ndarray |
         links[linked] += 1
         for other in linked[label[linked] != label[one]].tolist():
             if label[other] != label[one]:
-                edges.append((one, other))
+                edges.append((known[one], known[other]))
                 label[label == label[other]] = label[one]
     return links, np.array(edges, np.int64).reshape(-1, 2)
 
 
+def _edges(found: DataFrame) -> DataFrame:
+    return found.where("to >= 0").select(F.col("row").alias("a"), F.col("to").alias("b"))
+
+
 def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """`doc_id`, `class_id`, `n_links`, `set_id`, `set_size`, `text_hash`, `kept` of every row.
 
@@ -286,7 +350,15 @@ def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", t
     equal sets are represented by the one with the smallest key (`set_id`); `n_links` counts the linked other sets.
     A class holds what links connect, and `class_id` is its smallest key. One row of each class is `kept`: that with
     this key. A text without words is a class of its own, and null keys come last; repeated rows belong to one set.
+    A text of any length is shingled whole, in slices of texts; one text is the least that a task holds.
+
+    The bands are made for similarities of `THRESHOLD` or more: a lower threshold finds fewer of the links below it.
+    The tables of the steps, the texts among them, are removed once the result is written.
     """
+    return settled(docs.sparkSession, "linked", lambda: _linked(docs, key, text, threshold))
+
+
+def _linked(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
     raw = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(F.col(key).alias("doc_id"), raw.alias("text"), F.monotonically_increasing_id().alias("row"))
     texts = written(texts, "texts")
@@ -297,11 +369,15 @@ def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", t
     sets = written(grouped(written(rows, "rows"), "set_id", ["no_key", "doc_id", "row"]), "sets")
     heads = sets.where("row = first.row").select("row", "no_key", "doc_id")
     alone = written(sketched.join(heads, "row", "left_semi"), "heads")
-    groups = connected(likely_edges(alone, threshold))
+    groups = likely_groups(alone, threshold)
     groups = written(groups.join(alone.select(F.col("row").alias("node"), "n_shingles"), "node"), "groups")
-    found = written(verified(texts.select("row", "text"), groups, threshold), "links")
+    held = written(group_sets(texts.select("row", "text"), groups), "group-sets")
+    found = written(verified(held, None, threshold), "links")
+    labels = connected(_edges(found))
+    if not held.where("blocks > 1").isEmpty():
+        across = written(verified(held, labels, threshold), "links")
+        labels, found = contracted(labels, _edges(across)), found.unionByName(across)
     links = found.groupBy("row").agg(F.sum("links").alias("n_links"))
-    labels = connected(found.where("to >= 0").select(F.col("row").alias("a"), F.col("to").alias("b")))
     named = labels.join(heads, labels["node"] == heads["row"])
     least = named.groupBy("label").agg(F.min(F.struct("no_key", "doc_id", "row")).alias("least"))
     classes = labels.join(written(least, "classes"), "label").select(F.col("node").alias("head"), "least")

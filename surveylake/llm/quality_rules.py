@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import table, written
+from surveylake.llm.common import free_names, table, written
 
 BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -125,17 +125,18 @@ def passing(
 
     Other lines stay as they are, in their order, and a text without frequent lines is not touched. A column `chars`
     gets the length of each shortened text. Rejected and shortened rows are a written table of one row for each key,
-    host and text, which carries no text; one join does both.
+    host and text, which carries no text; one join does both, by one plan at every size, and moves each text once.
     """
     names = ["doc_id", "host", "text_hash"]
     work = _judged(docs, limits, key, text, host).where("not kept or cut is not null").select(*names, "kept", "cut")
-    work = written(work.dropDuplicates(names).toDF("_doc_id", "_host", "_text_hash", "_kept", "_cut"), "rejected-or-shortened")
+    id_, home, hashed, kept, cut = free_names(docs, "_doc_id", "_host", "_text_hash", "_kept", "_cut")
+    work = written(work.dropDuplicates(names).toDF(id_, home, hashed, kept, cut), "rejected-or-shortened")
     raw = F.coalesce(F.col(text), F.lit(""))
-    same = F.col(key).eqNullSafe(F.col("_doc_id")) & (F.coalesce(F.col(host), F.lit("")) == F.col("_host"))
-    left = docs.join(work, same & (F.xxhash64(raw) == F.col("_text_hash")), "left").where("_kept is null or _kept")
-    rest = F.array_join(F.filter(F.split(raw, "\n"), lambda line: ~F.array_contains("_cut", _line_hash(line))), "\n")
+    same = F.col(key).eqNullSafe(F.col(id_)) & (F.coalesce(F.col(host), F.lit("")) == F.col(home))
+    left = docs.join(work.hint("merge"), same & (F.xxhash64(raw) == F.col(hashed)), "left").where(F.coalesce(F.col(kept), F.lit(True)))
+    rest = F.array_join(F.filter(F.split(raw, "\n"), lambda line: ~F.array_contains(cut, _line_hash(line))), "\n")
     new = {text: rest} | ({chars: F.length(rest).cast(docs.schema[chars].dataType)} if chars in docs.columns else {})
-    changed = lambda n: F.when(F.col("_cut").isNull(), F.col(n)).otherwise(new[n]).alias(n)
+    changed = lambda n: F.when(F.col(cut).isNull(), F.col(n)).otherwise(new[n]).alias(n)
     return left.select(*[changed(n) if n in new else F.col(n) for n in docs.columns])
 
 

@@ -7,7 +7,7 @@ from oracle import connect, difference
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from surveylake.llm.common import table
+from surveylake.llm.common import table, written
 from surveylake.llm.queries import ORACLE_SQL, QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
@@ -40,7 +40,7 @@ def test_pipeline_equals_its_stages_in_plain_form(spark):
         if name == "best-fit packing":
             assert out.select("doc_id").distinct().count() == docs.count()
             break
-        out = corpus_pipeline.written(out, "stage")
+        out = written(out, "stage")
         assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         left = {r["doc_id"] for r in out.select("doc_id").collect()}
         verdicts = {

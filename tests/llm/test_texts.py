@@ -170,6 +170,38 @@ def test_near_join_finds_every_link(spark, monkeypatch, block):
     assert kept.count() == len({find(s) for s in sets}) + empty
 
 
+@pytest.mark.parametrize("block", [64, 2048])
+def test_edges_of_a_group_of_near_copies_grow_with_its_rows(spark, monkeypatch, block):
+    """Every second word pair of the group is a link; a forest for each band and pair of blocks would grow faster."""
+    monkeypatch.setattr(near_join, "BLOCK", block)
+    counts = []
+    joined = lambda edges: counts.append(edges.count()) or connected(edges)
+    monkeypatch.setattr(near_join, "connected", joined)
+    rnd, base, each = np.random.default_rng(6), [f"w{n}" for n in range(200)], {}
+    for members in (200, 800):
+        rows = []
+        for n in range(members):
+            words = list(base)
+            for place in rnd.integers(0, 200, 2):
+                words[place] = f"x{rnd.integers(1000)}"
+            rows.append((n, " ".join(words), "en", "s", 0))
+        counts.clear()
+        found = near_join.linked_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+        assert len({r["class_id"] for r in found}) < members / 10
+        each[members] = sum(counts)
+    assert each[800] < 5 * each[200] and each[800] < 6 * 800
+
+
+def test_copies_are_told_apart_whatever_the_columns(spark):
+    rows = odd_rows()
+    docs = frame(spark, rows).selectExpr("*", "1 AS _key", "2 AS _digest", "3 AS _kept", "4 AS _rows", "5 AS _cut", "6 AS _doc_id", "7 AS _host")
+    for without in (exact_dedup.without_copies, near_join.without_near_copies, quality_rules.passing):
+        left = without(docs)
+        assert left.columns == docs.columns
+        assert Counter(tuple(r)[:5] for r in left.collect()) == Counter(tuple(r)[:5] for r in without(frame(spark, rows)).collect())
+    assert exact_dedup.without_copies(docs).count() == len({" ".join(BLANKS.split(r[1] or "")) if r[1] else "" for r in rows})
+
+
 def test_near_join_of_an_empty_table(spark):
     assert near_join.linked_documents(frame(spark, [])).count() == 0
     assert near_join.without_near_copies(frame(spark, [])).count() == 0
