@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surveylake.llm.common import table, written
+from surveylake.llm.common import settled, table
 from surveylake.llm.exact_dedup import without_copies
 from surveylake.llm.near_join import without_near_copies
 from surveylake.llm.packing import DIGEST, pack_documents
@@ -58,8 +58,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on `documents`, each written as Parquet and read again by the next."""
+    """All stages on `documents`, each written as Parquet and read again by the next.
+
+    A stage's own tables are removed once its output is written.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = settled(spark, name.replace(" ", "-"), lambda: stage(spark, docs, sf_dir))
     return docs
