@@ -17,7 +17,7 @@ from surveylake.operators import conform, dedup, periods, quality
 from surveylake.plans import gold, reports
 from surveylake.plans.lake import refresh_lake
 from surveylake.plans.silver import build_silver, filter_months
-from surveylake.session import scratch_path
+from surveylake.session import remove_paths, scratch_path
 from surveylake.sources import archives, catalog, delimited, layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,15 +164,24 @@ def gold_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def lake_refresh(spark: SparkSession, d: str) -> DataFrame:
-    """Silver rows after three refreshes: most of two periods, late archives of the first, a third period."""
+    """Silver rows after three refreshes, of which the last two also replace and withdraw archives.
+
+    First most of two periods, with wrong rows of the first in archives that are replaced later, and rows of the third
+    that are withdrawn; then late archives of the first; then the third period.
+    """
     drops, lake = scratch_path(spark, "drops"), scratch_path(spark, "lake")
     rows = bronze(spark, d)
     late = (F.col("v1013") == "9") & (F.col("a003") == "1")
-    write_archives(rows.where((F.col("v1013") != "11") & ~late), f"{drops}/first")
+    wrong = rows.where("v1013 = '9'").withColumn("a002", F.lit("999"))
+    write_archives(rows.where((F.col("v1013") == "10") & ~late), f"{drops}/first")
+    write_archives(wrong, f"{drops}/second")
+    write_archives(rows.where("v1013 = '11'").withColumn("uf", F.lit("99")), f"{drops}/withdrawn")
     refresh_lake(spark, f"{drops}/*", lake)
-    write_archives(rows.where(late), f"{drops}/second")
+    remove_paths(spark, [f"{drops}/withdrawn", f"{drops}/second"])
+    write_archives(rows.where((F.col("v1013") == "9") & ~late), f"{drops}/second")
+    write_archives(rows.where(late), f"{drops}/third")
     refresh_lake(spark, f"{drops}/*", lake)
-    write_archives(rows.where(F.col("v1013") == "11"), f"{drops}/third")
+    write_archives(rows.where("v1013 = '11'"), f"{drops}/fourth")
     refresh_lake(spark, f"{drops}/*", lake)
     return layers.read_silver(spark, f"{lake}/silver", SILVER_SCHEMA)
 

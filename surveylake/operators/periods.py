@@ -15,6 +15,9 @@ from surveylake.sources.layers import load_if_present, write_silver
 # The months read unless others are asked for.
 ALLOWED_MONTHS = ("09", "10", "11")
 
+# Every month of a year, for callers that want no month left out.
+ALL_MONTHS = tuple(f"{month:02}" for month in range(1, 13))
+
 # The directory Spark writes for a NULL key.
 NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
 
@@ -25,7 +28,7 @@ def period_allowlist(
     years: Iterable[str] | None = None,
     keys: Sequence[str] = BRONZE_PERIOD,
 ) -> DataFrame:
-    """Rows of the allowed periods. `months=None` means the default months; `years=None` means any year."""
+    """Rows of the allowed periods. `months=None` means the default months, `ALL_MONTHS` all; `years=None` means any year."""
     year, month = keys
     kept = df.where(F.col(month).isin(*(ALLOWED_MONTHS if months is None else months)))
     return kept if years is None else kept.where(F.col(year).isin(*years))

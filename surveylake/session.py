@@ -57,7 +57,13 @@ def task_settings(input_bytes: int, shuffle_partitions: int, scan_bytes: int) ->
 @contextmanager
 def sized_for(spark: SparkSession, files: DataFrame) -> Iterator[dict[str, str]]:
     """Runs its block with task sizes that suit the given files (column `length`), then restores the session's."""
-    total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    with sized_for_bytes(spark, files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]) as settings:
+        yield settings
+
+
+@contextmanager
+def sized_for_bytes(spark: SparkSession, total: int) -> Iterator[dict[str, str]]:
+    """Runs its block with task sizes that suit an input of so many bytes, then restores the session's."""
     scan_bytes = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b")
     present = int(spark.conf.get("spark.sql.shuffle.partitions"))
     settings = task_settings(total, present, int(scan_bytes) if scan_bytes.isdigit() else 0)

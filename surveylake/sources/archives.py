@@ -8,20 +8,31 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from surveylake.contract import BRONZE_PERIOD, CORE_COLUMNS, strings
 from surveylake.operators.conform import conform_union, header_names, missing_columns
 from surveylake.operators.periods import ALLOWED_MONTHS, any_period
 from surveylake.sources.files import decode_lines, open_in_place
+from surveylake.sources.layers import load_if_present
 
 BLOCK_BYTES = 1 << 20
 # Compressed bytes that one task should unpack.
 TASK_BYTES = 128 << 20
 
-MEMBER_SCHEMA = "year string, month string, path string, member string"
-BLOCK_SCHEMA = "year string, month string, member string, header string, block string"
+MEMBER_SCHEMA = "year string, month string, path string, version string, member string"
+BLOCK_SCHEMA = "year string, month string, version string, member string, header string, block string"
+
+# The directory levels above the lines of an archive that is landed by version.
+LANDING = ("landing_run", "archive_version")
+PIECES = f"{', '.join(f'{c} string' for c in (*LANDING, *BRONZE_PERIOD, 'layout', 'header'))}, bytes bigint"
+
+
+def with_version(archives: DataFrame, run: str) -> DataFrame:
+    """Adds `version`, which names an archive as it is now, as landed by one run: by path, length and time."""
+    parts = [F.col("path"), F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string"), F.lit(run)]
+    return archives.withColumn("version", F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, 20))
 
 
 def with_period(df: DataFrame, path: str = "path") -> DataFrame:
@@ -60,20 +71,21 @@ def read_blocks(archives: DataFrame, in_place: bool = True) -> DataFrame:
     Either way members are decompressed as a stream.
     """
     if not in_place:
-        return archives.select("year", "month", "content").mapInArrow(_unpack_contents, BLOCK_SCHEMA)
+        return archives.select("year", "month", _version(archives), "content").mapInArrow(_unpack_contents, BLOCK_SCHEMA)
     total = archives.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     # A row stands for a whole member: adaptive execution would merge such short rows into one task.
     tasks = max(archives.sparkSession.sparkContext.defaultParallelism, total // TASK_BYTES)
     return members_of(archives).repartition(tasks).mapInArrow(_unpack_members, BLOCK_SCHEMA)
 
 
-def block_lines(blocks: DataFrame) -> DataFrame:
-    """One row per line: kind (`header` or `data`), year, month, layout, value. Blank lines are left out.
+def block_lines(blocks: DataFrame, *more: str) -> DataFrame:
+    """One row per line: kind (`header` or `data`), year, month, layout, value, and `more` columns. Blank lines are left out.
 
     `layout` fingerprints the header, so lines with the same columns share a layout.
     """
     keyed = blocks.withColumn("layout", F.md5("header"))
     lines = keyed.select(
+        *more,
         F.when(F.col("block").isNull(), "header").otherwise("data").alias("kind"),
         "year",
         "month",
@@ -93,10 +105,58 @@ def land_archives(archives: DataFrame, target: str, mode: str = "overwrite", in_
     lines.write.mode(mode).partitionBy("kind", "year", "month", "layout").text(target)
 
 
+def land_versions(archives: DataFrame, target: str, run: str, in_place: bool = True) -> DataFrame:
+    """Lands archives that have a `version` below `target`, each in directories of its own; returns its pieces.
+
+    A piece is what an archive holds of one layout: run, version, period, layout, header, and the bytes of its data
+    lines (0 where it has a header only). An archive without CSV members lands nothing. Lists the files of this run
+    only; what a run that stopped has left is in no piece and never read.
+    """
+    lines = block_lines(read_blocks(archives, in_place), "version").withColumnRenamed("version", LANDING[1])
+    place = f"{target}/{LANDING[0]}={run}"
+    lines.write.mode("overwrite").partitionBy(LANDING[1], "kind", *BRONZE_PERIOD, "layout").text(place)
+    spark, keys = archives.sparkSession, [LANDING[1], *BRONZE_PERIOD, "layout"]
+    schema = ", ".join(f"{name} string" for name in ("value", LANDING[1], "kind", *BRONZE_PERIOD, "layout"))
+    reader = spark.read.format("text").schema(schema).option("basePath", place)
+    headers = load_if_present(reader, f"{place}/{LANDING[1]}=*/kind=header")
+    if headers is None:
+        return spark.createDataFrame([], PIECES)
+    headers = headers.select(*keys, F.col("value").alias("header")).distinct()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(place).where(F.col("path").contains("/kind=data/"))
+    held = files.select(*[F.regexp_extract("path", f"/{key}=([^/]*)/", 1).alias(key) for key in keys], "length")
+    held = held.groupBy(*keys).agg(F.sum("length").alias("bytes"))
+    pieces = headers.join(held, keys, "left").withColumn("bytes", F.coalesce("bytes", F.lit(0).cast("long")))
+    return pieces.select(F.lit(run).alias(LANDING[0]), *keys, "header", "bytes")
+
+
+def scan_pieces(spark: SparkSession, target: str, pieces: Sequence, required: Iterable[str] = (), delimiter: str = ",") -> DataFrame:
+    """The data lines of the given pieces (rows of `land_versions`) as strings, matched by name, with `archive_version`.
+
+    Each layout is read once, from the directories of its pieces and no others.
+    """
+    frames, layouts = [], {}
+    for piece in pieces:
+        layouts.setdefault((piece.layout, piece.header), []).append(piece)
+    for (layout, header), own in sorted(layouts.items(), key=lambda item: item[0]):
+        levels = ["kind", *BRONZE_PERIOD, "layout"]
+        schema = strings([*header_names(header, delimiter), *LANDING, *levels])
+        found = sorted(
+            f"{target}/{LANDING[0]}={p[LANDING[0]]}/{LANDING[1]}={p[LANDING[1]]}/kind=data/year={p.year}/month={p.month}/layout={layout}"
+            for p in own
+            if p.bytes
+        )
+        reader = spark.read.schema(schema).option("sep", delimiter).option("basePath", target)
+        part = reader.csv(found) if found else spark.createDataFrame([], schema)
+        frames.append(part.drop(LANDING[0], *levels))
+    return conform_union(frames, required)
+
+
 def landed_layouts(spark: SparkSession, target: str) -> DataFrame:
     """The layouts of each landed period: year, month, layout, header."""
     schema = "value string, kind string, year string, month string, layout string"
-    headers = spark.read.schema(schema).option("basePath", target).text(f"{target}/kind=header")
+    headers = load_if_present(spark.read.format("text").schema(schema).option("basePath", target), f"{target}/kind=header")
+    if headers is None:  # archives without CSV members land nothing
+        return spark.createDataFrame([], strings([*BRONZE_PERIOD, "layout", "header"]))
     return headers.select("year", "month", "layout", F.col("value").alias("header")).distinct()
 
 
@@ -114,7 +174,12 @@ def landed_absent_columns(
     spark: SparkSession, target: str, required: Iterable[str] = CORE_COLUMNS, delimiter: str = ","
 ) -> DataFrame:
     """Required columns that some file of a period lacks: year, month, absent (sorted array). Reads headers only."""
-    layouts, required = landed_layouts(spark, target), list(required)
+    return absent_columns(landed_layouts(spark, target), required, delimiter)
+
+
+def absent_columns(layouts: DataFrame, required: Iterable[str] = CORE_COLUMNS, delimiter: str = ",") -> DataFrame:
+    """The same from a table of the layouts (`year`, `month`, `layout`, `header`) of each period."""
+    spark, required = layouts.sparkSession, list(required)
     headers = layouts.select("layout", "header").distinct().collect()
     rows = [(row.layout, missing_columns(header_names(row.header, delimiter), required)) for row in headers]
     per_layout = spark.createDataFrame(rows, "layout string, absent array<string>")
@@ -150,8 +215,12 @@ def scan_landed(
 
 
 def members_of(archives: DataFrame) -> DataFrame:
-    """The CSV members: year, month, path, member. Reads the archives' own directories, not their data."""
-    return archives.select("year", "month", "path").mapInArrow(_list_members, MEMBER_SCHEMA)
+    """The CSV members: year, month, path, version, member. Reads the archives' own directories, not their data."""
+    return archives.select("year", "month", "path", _version(archives)).mapInArrow(_list_members, MEMBER_SCHEMA)
+
+
+def _version(archives: DataFrame) -> Column:
+    return F.col("version") if "version" in archives.columns else F.lit(None).cast("string").alias("version")
 
 
 def _one_of(choices: Iterable[str]) -> str:
@@ -164,47 +233,47 @@ def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             with open_in_place(row["path"]) as stream, zipfile.ZipFile(stream) as archive:
                 found = [{**row, "member": name} for name in _csv_members(archive)]
             if found:
-                yield pa.RecordBatch.from_pylist(found)
+                yield pa.RecordBatch.from_pylist(found, pa.schema([(name, pa.string()) for name in found[0]]))
 
 
 def _unpack_contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for year, month, content in zip(*batch.columns):
-            period = year.as_py(), month.as_py()
+        for year, month, version, content in zip(*batch.columns):
+            origin = year.as_py(), month.as_py(), version.as_py()
             with zipfile.ZipFile(io.BytesIO(content.as_buffer())) as archive:
                 for name in _csv_members(archive):
-                    yield from _blocks(archive, name, *period)
+                    yield from _blocks(archive, name, *origin)
 
 
 def _unpack_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             with open_in_place(row["path"]) as stream, zipfile.ZipFile(stream) as archive:
-                yield from _blocks(archive, row["member"], row["year"], row["month"])
+                yield from _blocks(archive, row["member"], row["year"], row["month"], row["version"])
 
 
 def _csv_members(archive: zipfile.ZipFile) -> list[str]:
     return [entry.filename for entry in archive.infolist() if entry.filename.endswith(".csv")]
 
 
-def _blocks(archive: zipfile.ZipFile, name: str, year: str, month: str) -> Iterator[pa.RecordBatch]:
+def _blocks(archive: zipfile.ZipFile, name: str, year: str, month: str, version: str | None) -> Iterator[pa.RecordBatch]:
     """One row with the header alone (NULL block), then one row per block of whole lines."""
     base = name.rsplit("/", 1)[-1]
     with archive.open(name) as member:
         header = decode_lines(member.readline()).strip("\ufeff\n")
-        yield _block_row(year, month, base, header, None)
+        yield _block_row(year, month, version, base, header, None)
         rest = b""
         while chunk := member.read(BLOCK_BYTES):
             lines, newline, tail = chunk.rpartition(b"\n")
             if newline:
-                yield _block_row(year, month, base, header, decode_lines(rest + lines))
+                yield _block_row(year, month, version, base, header, decode_lines(rest + lines))
                 rest = tail
             else:
                 rest += chunk
         if rest:
-            yield _block_row(year, month, base, header, decode_lines(rest))
+            yield _block_row(year, month, version, base, header, decode_lines(rest))
 
 
-def _block_row(year: str, month: str, member: str, header: str, block: str | None) -> pa.RecordBatch:
-    row = {"year": year, "month": month, "member": member, "header": header, "block": block}
+def _block_row(year: str, month: str, version: str | None, member: str, header: str, block: str | None) -> pa.RecordBatch:
+    row = {"year": year, "month": month, "version": version, "member": member, "header": header, "block": block}
     return pa.RecordBatch.from_arrays([pa.array([v], pa.string()) for v in row.values()], names=list(row))

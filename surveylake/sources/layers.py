@@ -33,6 +33,18 @@ def read_silver(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def period_directory(spark: SparkSession, path: str, period: tuple, keys=SILVER_PERIOD) -> str:
+    """The directory in which Spark writes a period; NULL has one of its own."""
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join([path, *[names.getPartitionPathString(key, value) for key, value in zip(keys, period)]])
+
+
+def read_periods(spark: SparkSession, path: str, schema, periods) -> DataFrame:
+    """The given periods of a silver layer, all of which it has: only their directories are listed."""
+    found = [period_directory(spark, path, period) for period in periods]
+    return spark.read.schema(schema).option("basePath", path).parquet(*found)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Unpartitioned Parquet. Adaptive execution already merges the few rows of an aggregate into one file."""
     df.write.mode(mode).parquet(path)

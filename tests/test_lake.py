@@ -2,6 +2,7 @@ import shutil
 import zipfile
 
 from surveylake.contract import SILVER_SCHEMA
+from surveylake.operators.periods import ALL_MONTHS
 from surveylake.fixtures import microdata, table, write_archives
 from surveylake.plans.gold import GOLD_TABLES, gold_table
 from surveylake.plans.lake import batches, refresh_lake
@@ -136,6 +137,113 @@ def test_summaries_of_untouched_periods_are_kept(spark, tmp_path, rows):
     assert last["count"] == 2
 
 
+def silver_rows(spark, lake, rows, *columns):
+    return rows(read_silver(spark, f"{lake}/silver", SILVER_SCHEMA), *columns)
+
+
+def test_a_corrected_archive_takes_its_old_rows_out(spark, tmp_path, rows):
+    drops, lake = tmp_path / "drops", str(tmp_path / "lake")
+    archive(drops, "P_092020.zip", "2020,9,11,20", "2020,9,12,30", "2020,10,13,7")
+    archive(drops, "Q_092020.zip", "2020,9,12,30")
+    archive(drops, "R_112020.zip", "2020,11,14,1")
+    refresh_lake(spark, str(drops), lake)
+    untouched = stamps(tmp_path / "lake/silver/ano=2020/v1013=11")
+    archive(drops, "P_092020.zip", "2020,9,11,21")
+    done = refresh_lake(spark, str(drops), lake)
+    assert [p.rsplit("/", 1)[1] for p in done.retracted] == [p.rsplit("/", 1)[1] for p in done.archives] == ["P_092020.zip"]
+    # The row that another archive holds too stays; the misfiled one goes, and with it the only row of its period.
+    assert silver_rows(spark, lake, rows, "v1013", "uf", "idade") == [("11", "14", 1), ("9", "11", 21), ("9", "12", 30)]
+    assert untouched and stamps(tmp_path / "lake/silver/ano=2020/v1013=11") == untouched
+    assert rows(spark.read.parquet(done.gold["evolucao_nacional"]), "mes", "total_entrevistados") == [(11, 1), (9, 2)]
+    assert refresh_lake(spark, str(drops), lake).retracted == []
+
+
+def test_a_withdrawn_archive_takes_its_rows_out(spark, tmp_path, rows):
+    drops, other, lake = tmp_path / "drops", tmp_path / "other", str(tmp_path / "lake")
+    archive(drops, "P_092020.zip", "2020,9,11,20")
+    archive(drops, "Q_092020.zip", "2020,9,12,30")
+    archive(other, "S_102020.zip", "2020,10,12,40")
+    refresh_lake(spark, str(drops), lake)
+    # Archives of other drops, and of months not asked for, are not withdrawn.
+    assert refresh_lake(spark, str(other), lake, months=["10"]).retracted == []
+    assert refresh_lake(spark, str(drops), lake, months=["11"]).retracted == []
+    (drops / "Q_092020.zip").unlink()
+    assert refresh_lake(spark, str(drops), lake, withdraw=False).retracted == []
+    done = refresh_lake(spark, str(drops), lake)
+    assert [p.rsplit("/", 1)[1] for p in done.retracted] == ["Q_092020.zip"] and done.silver == [("2020", "09")]
+    assert silver_rows(spark, lake, rows, "uf", "idade") == [("11", 20), ("12", 40)]
+    (drops / "P_092020.zip").unlink()
+    (other / "S_102020.zip").unlink()
+    refresh_lake(spark, str(drops), lake)
+    gold = refresh_lake(spark, str(other), lake).gold
+    assert all(spark.read.parquet(path).count() == 0 for path in gold.values())
+    # The same archive may come back.
+    archive(drops, "P_092020.zip", "2020,9,11,20")
+    refresh_lake(spark, str(drops), lake)
+    assert silver_rows(spark, lake, rows, "uf", "idade") == [("11", 20)]
+
+
+def test_drops_without_data_lines(spark, tmp_path, rows):
+    drops, lake = tmp_path / "drops", str(tmp_path / "lake")
+    drops.mkdir()
+    assert refresh_lake(spark, str(drops), lake).archives == []
+    with zipfile.ZipFile(drops / "A_092020.zip", "w") as packed:
+        packed.writestr("leia-me.txt", "no data")
+    assert refresh_lake(spark, str(drops), lake).landed == [("2020", "09")]
+    archive(drops, "B_102020.zip")
+    done = refresh_lake(spark, str(drops), lake)
+    assert done.silver == [("2020", "10")] and all(spark.read.parquet(path).count() == 0 for path in done.gold.values())
+    checks = spark.read.parquet(f"{lake}/quality").where("check_name = 'columns_2020_10'")
+    assert checks.count() == 1
+    archive(drops, "C_102020.zip", "2020,10,11,1")
+    refresh_lake(spark, str(drops), lake)
+    assert silver_rows(spark, lake, rows, "idade") == [(1,)]
+
+
+def test_all_months_and_periods_of_any_text(spark, tmp_path, rows):
+    drops, lake = tmp_path / "drops", str(tmp_path / "lake")
+    archive(drops, "A_052020.zip", "2020,5,11,1", '2020,"",11,2', "2020,,11,3", "2020,a/b =c%,11,4")
+    archive(drops, "A_122021.zip", "2021,12,11,5")
+    (drops / "other.zip").write_bytes((drops / "A_052020.zip").read_bytes())
+    done = refresh_lake(spark, str(drops), lake, ALL_MONTHS)
+    assert [p.rsplit("/", 1)[1] for p in done.skipped] == ["other.zip"] and len(done.archives) == 2
+    assert silver_rows(spark, lake, rows, "v1013", "idade") == [("12", 5), ("5", 1), ("a/b =c%", 4), (None, 2), (None, 3)]
+    archive(drops, "A_052020.zip", "2020,a/b =c%,11,6")
+    refresh_lake(spark, str(drops), lake, ALL_MONTHS)
+    assert silver_rows(spark, lake, rows, "v1013", "idade") == [("12", 5), ("a/b =c%", 6)]
+
+
+def test_a_run_that_stopped_after_landing_a_correction_is_made_good(spark, tmp_path, rows):
+    drops, lake = tmp_path / "drops", str(tmp_path / "lake")
+    archive(drops, "P_092020.zip", "2020,9,11,20")
+    refresh_lake(spark, str(drops), lake)
+    archive(drops, "P_092020.zip", "2020,9,11,21", "2020,9,11,22")
+    kept = tmp_path / "kept"
+    shutil.copytree(f"{lake}/silver-archives", kept)
+    refresh_lake(spark, str(drops), lake)
+    for name in ("silver-archives", "gold-archives"):
+        shutil.rmtree(f"{lake}/{name}")
+    shutil.copytree(kept, f"{lake}/silver-archives")
+    assert refresh_lake(spark, str(drops), lake).silver == [("2020", "09")]
+    assert silver_rows(spark, lake, rows, "idade") == [(21,), (22,)]
+
+
+def test_a_refresh_reads_only_the_versions_that_carry_touched_periods(spark, tmp_path):
+    drops, lake = tmp_path / "drops", str(tmp_path / "lake")
+    for month in ("09", "10"):
+        archive(drops, f"P_{month}2020.zip", f"2020,{int(month)},11,20")
+    refresh_lake(spark, str(drops), lake)
+    # Neither the landed lines nor the silver rows of the other periods can be read any more.
+    for folder in [*(tmp_path / "lake/landed").rglob("month=*"), *(tmp_path / "lake/silver").rglob("v1013=*")]:
+        for file in folder.rglob("part-*"):
+            file.write_bytes(b"broken")
+        for file in folder.rglob(".part-*"):
+            file.unlink()
+    archive(drops, "P_112020.zip", "2020,11,11,30")
+    done = refresh_lake(spark, str(drops), lake)
+    assert spark.read.parquet(done.gold["evolucao_nacional"]).count() == 3
+
+
 def test_batches_hold_every_period():
     sizes = {("2020", "09"): 6, ("2020", "10"): 5, ("2020", "11"): 5, ("2021", "09"): 20, ("2021", "10"): 0}
     found = batches(sizes, 10)
