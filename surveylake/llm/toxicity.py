@@ -15,6 +15,8 @@ from surveylake.llm.common import slices, table, worker_state
 
 SLICE = 1 << 22
 KNOWN_WORDS = 400_000
+#: Directions in which pairs are looked for, and products to find them.
+DIRECTIONS, PRODUCTS = 6, 8
 _words = r"[^\W_]+"
 
 
@@ -24,14 +26,19 @@ class Settings:
 
     `bits`: of the hashed terms. `stems`: letters of the word beginnings that count as terms besides whole words.
     `evidence`: the likelihood ratio (G) by which a term has to tell the classes apart in the sample, as most terms
-    of a text are noise to the model. `factors`: of the pairwise interactions. `epochs` and `steps`: passes over the
-    sample and gradient steps at least.
+    of a text are noise to the model. Terms that do so only in pairs are admitted by `interactions`: `rare` is the
+    least number of documents that one needs for it, `clear` how far a direction of such terms has to stand out from
+    what shuffled labels give, and `wide` the most terms that it may be spread over. `factors`: of the pairwise interactions; every second one counts negatively, so that
+    pairs may speak for a class or against it. `epochs` and `steps`: passes over the sample and gradient steps at least.
     """
 
     sample: int = 3000
     bits: int = 18
     stems: tuple[int, ...] = (4, 5, 6)
     evidence: float = 11.0
+    rare: int = 8
+    clear: float = 1.25
+    wide: int = 200
     factors: int = 4
     epochs: int = 6
     steps: int = 1000
@@ -62,7 +69,11 @@ def terms(text: str | None, settings: Settings) -> np.ndarray:
 
 @dataclass
 class Model:
-    """score = logistic(bias + sum of weights + half of (square of summed factors - sum of squares), per factor)."""
+    """score = logistic(bias + sum of weights + sum over pairs of terms of the products of their factors).
+
+    The pairs of a factor are half of (square of its sum - sum of its squares); every second factor counts negatively,
+    as products of equal signs alone could not say that two terms of a kind speak against a class.
+    """
 
     bias: float
     weights: np.ndarray
@@ -75,7 +86,11 @@ class Model:
     def _pairs(self, ids: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         own = self.factors[ids]
         total = _sums(own, firsts)
-        return 0.5 * (total**2 - _sums(own**2, firsts)).sum(1), total
+        return 0.5 * (total**2 - _sums(own**2, firsts)) @ signs(own.shape[1]), total
+
+
+def signs(factors: int) -> np.ndarray:
+    return np.where(np.arange(factors) % 2, -1.0, 1.0)
 
 
 def _sums(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
@@ -102,16 +117,74 @@ def telling(documents: list[np.ndarray], labels: np.ndarray, size: int) -> np.nd
     return total
 
 
+def interactions(documents: list[np.ndarray], labels: np.ndarray, settings: Settings) -> np.ndarray:
+    """Factors to begin with (a row a hashed term), not 0 for terms that matter in pairs.
+
+    The terms' second moments, with terms scaled to equal variance, are taken in each class; their difference without
+    its diagonal is what pairs say of the class beyond single terms. Its leading directions come from products with
+    the sparse documents alone. A direction counts if it is `clear` times as strong as the strongest with shuffled
+    labels and its weight lies on few terms, as one of many tells what documents are about and not what pairs say. So
+    do the terms that weigh in it more than chance would have it; the sign of its eigenvalue picks a
+    factor that counts positively or negatively.
+    """
+    size = 1 << settings.bits
+    start = np.zeros((size, settings.factors))
+    ids = np.concatenate([np.zeros(0, np.int32), *documents])
+    count = np.bincount(ids, minlength=size)
+    usable = np.flatnonzero((count >= settings.rare) & (count <= len(documents) - settings.rare))
+    if not len(usable) or not 0 < labels.sum() < len(labels):
+        return start
+    place = np.full(size, -1)
+    place[usable] = np.arange(len(usable))
+    column, row = place[ids], np.repeat(np.arange(len(documents)), [len(d) for d in documents])
+    row, column = row[column >= 0], column[column >= 0]
+    mean = count[usable] / len(documents)
+    scale = 1 / np.sqrt(mean * (1 - mean) * len(usable))
+    random = np.random.default_rng(settings.seed)
+
+    def leading(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        side = np.where(y > 0, 1 / max(1, (y > 0).sum()), -1 / max(1, (y <= 0).sum()))
+        # The diagonal: the difference of each term's own variance.
+        with_term = np.bincount(column, side[row], minlength=len(usable))
+        diagonal = scale**2 * with_term * (1 - 2 * mean)
+
+        def times(v: np.ndarray) -> np.ndarray:
+            scaled, out = v * scale[:, None], np.empty_like(v)
+            for k in range(v.shape[1]):
+                seen = (np.bincount(row, scaled[:, k][column], minlength=len(y)) - mean @ scaled[:, k]) * side
+                out[:, k] = np.bincount(column, seen[row], minlength=len(usable)) - mean * seen.sum()
+            return out * scale[:, None] - diagonal[:, None] * v
+
+        v = np.linalg.qr(random.normal(size=(len(usable), min(DIRECTIONS, len(usable)))))[0]
+        for _ in range(PRODUCTS):
+            v = np.linalg.qr(times(v))[0]
+        values, turn = np.linalg.eigh(v.T @ times(v))
+        return values, v @ turn
+
+    values, vectors = leading(labels)
+    chance = np.abs(leading(random.permutation(labels))[0]).max()
+    free = {1.0: list(range(0, settings.factors, 2)), -1.0: list(range(1, settings.factors, 2))}
+    for k in np.argsort(-np.abs(values)):
+        factor = free[1.0 if values[k] > 0 else -1.0]
+        weight = vectors[:, k]
+        if abs(values[k]) >= settings.clear * chance and factor and 1 / (weight**4).sum() <= settings.wide:
+            heavy = np.abs(weight) > 2 / np.sqrt(len(usable)) if len(usable) > 100 else np.abs(weight) > 0.5 / np.sqrt(len(usable))
+            start[usable[heavy], factor.pop(0)] = weight[heavy] / np.abs(weight).max()
+    return start
+
+
 def fit(documents: list[np.ndarray], labels: np.ndarray, weight: np.ndarray, settings: Settings) -> Model:
     """Fits weights and factors by gradient steps on small batches, each parameter with a rate of its own."""
     size, random = 1 << settings.bits, np.random.default_rng(settings.seed)
-    active = telling(documents, labels, size) >= settings.evidence
+    start = interactions(documents, labels, settings)
+    active = (telling(documents, labels, size) >= settings.evidence) | (start != 0).any(1)
     documents = [d[active[d]] for d in documents]
     share = np.clip(np.average(labels, weights=weight) if len(labels) else 0.0, 1e-3, 1 - 1e-3)
     model = Model(float(np.log(share / (1 - share))), np.zeros(size), np.zeros((size, settings.factors)))
     model.factors[active] = random.normal(0, 0.01, (int(active.sum()), settings.factors))
+    model.factors += 0.3 * start
     seen_w, seen_v, seen_b = np.full(size, 1e-6), np.full((size, settings.factors), 1e-6), 1e-6
-    batches = -(-len(documents) // settings.batch)
+    batches, sign = -(-len(documents) // settings.batch), signs(settings.factors)
     for _ in range(max(settings.epochs, -(-settings.steps // max(1, batches)))):
         order = random.permutation(len(documents))
         for part in np.array_split(order, batches) if batches else []:
@@ -130,7 +203,7 @@ def fit(documents: list[np.ndarray], labels: np.ndarray, weight: np.ndarray, set
             seen_w[used] += step**2
             model.weights[used] -= settings.rate * step / np.sqrt(seen_w[used])
             for f in range(settings.factors):
-                step = np.bincount(at, error[own] * (total[own, f] - model.factors[ids, f]))
+                step = sign[f] * np.bincount(at, error[own] * (total[own, f] - model.factors[ids, f]))
                 step += settings.decay * model.factors[used, f] / len(part)
                 seen_v[used, f] += step**2
                 model.factors[used, f] -= 0.1 * settings.rate * step / np.sqrt(seen_v[used, f])

@@ -273,6 +273,78 @@ def test_toxicity_learns_pairs_and_ignores_held_out_labels(spark):
     assert {r["doc_id"] for r in below.collect()} == {n for n, s in scores.items() if s < settings.threshold}
 
 
+def equal_marginals(seed, noise, kinds=10, size=3000):
+    """Toxic: one word of each kind. Clean: two of one. Every word is as frequent in both classes."""
+    rnd = np.random.default_rng(seed)
+    one, two = [f"a{k}" for k in range(kinds)], [f"b{k}" for k in range(kinds)]
+    texts, labels = [], np.arange(size) % 2
+    for toxic in labels:
+        words = [rnd.choice(one), rnd.choice(two)] if toxic else list(rnd.choice(one if rnd.random() < 0.5 else two, 2, replace=False))
+        texts.append(" ".join(words + [f"n{k}" for k in rnd.choice(100, noise, replace=False)]))
+    return texts, labels.astype(float)
+
+
+def area(scores, labels):
+    above = scores[labels == 1][:, None] - scores[labels == 0]
+    return ((above > 0) + 0.5 * (above == 0)).mean()
+
+
+def joined(documents):
+    return np.concatenate(documents), np.append(0, np.cumsum([len(d) for d in documents]))
+
+
+@pytest.mark.parametrize("noise", [0, 20])
+def test_toxicity_learns_what_only_pairs_say(noise):
+    settings = toxicity.Settings(steps=3000)
+    texts, labels = equal_marginals(1, noise)
+    model = toxicity.fit([toxicity.terms(t, settings) for t in texts], labels, np.ones(len(labels)), settings)
+    texts, labels = equal_marginals(2, noise)
+    ids, firsts = joined([toxicity.terms(t, settings) for t in texts])
+    assert area(model.raw(ids, firsts), labels) > 0.95
+    assert abs(area(toxicity.Model(model.bias, model.weights, 0 * model.factors).raw(ids, firsts), labels) - 0.5) < 0.1
+
+
+def test_no_pairs_are_found_where_labels_are_chance():
+    settings = toxicity.Settings()
+    texts, labels = equal_marginals(3, 20)
+    shuffled = np.random.default_rng(0).permutation(labels)
+    assert not toxicity.interactions([toxicity.terms(t, settings) for t in texts], shuffled, settings).any()
+
+
+def test_scores_and_steps_equal_the_sum_over_all_pairs():
+    """`raw`, and one gradient step of each parameter, against the model's sum written out pair by pair."""
+    settings = toxicity.Settings(bits=6, evidence=-1.0, steps=1, epochs=1, batch=50, factors=3)
+    rnd = np.random.default_rng(4)
+    documents = [np.unique(rnd.integers(0, 64, rnd.integers(0, 9))).astype(np.int32) for _ in range(40)]
+    model = toxicity.Model(0.3, rnd.normal(size=64), rnd.normal(size=(64, 3)))
+    sign = [1, -1, 1]
+
+    def written_out(m, d):
+        pairs = sum(sign[f] * m.factors[i, f] * m.factors[j, f] for f in range(3) for i, j in combinations(d, 2))
+        return m.bias + sum(m.weights[i] for i in d) + pairs
+
+    want = np.array([written_out(model, d.tolist()) for d in documents])
+    assert np.allclose(model.raw(*joined(documents)), want)
+    labels, weight = rnd.integers(0, 2, 40).astype(float), rnd.uniform(1, 3, 40)
+    random = np.random.default_rng(settings.seed)
+    share = np.average(labels, weights=weight)
+    start = toxicity.Model(np.log(share / (1 - share)), np.zeros(64), random.normal(0, 0.01, (64, 3)))
+    assert not toxicity.interactions(documents, labels, settings).any()
+    part = weight / weight.sum()
+    error = [1 / (1 + np.exp(-written_out(start, d.tolist()))) - y for d, y in zip(documents, labels)]
+    slope_w, slope_v = np.zeros(64), np.zeros((64, 3))
+    for d, e, p in zip(documents, error, part):
+        for i in d:
+            slope_w[i] += e * p
+            for f in range(3):
+                slope_v[i, f] += e * p * sign[f] * sum(start.factors[j, f] for j in d if j != i)
+    slope_v += settings.decay * start.factors / 40
+    found = toxicity.fit(documents, labels, weight, settings)
+    used = np.unique(np.concatenate(documents))
+    assert np.allclose(found.weights[used], -settings.rate * (slope_w / np.sqrt(1e-6 + slope_w**2))[used])
+    assert np.allclose(found.factors[used], (start.factors - 0.1 * settings.rate * slope_v / np.sqrt(1e-6 + slope_v**2))[used])
+
+
 def test_toxicity_of_odd_rows_and_without_labels(spark):
     docs, labels = labelled(spark, 60)
     model = toxicity.learn(docs, labels)
