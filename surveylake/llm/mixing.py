@@ -13,7 +13,7 @@ SHARE = 1.5
 EPOCHS = 2
 SEED = "mix"
 #: Rows of a range of keys, and ranges whose sums are added up together.
-RANGE_ROWS = 100_000
+RANGE_ROWS = 1 << 12
 BLOCK = 1024
 WORD = r"[^\x20\x09-\x0D]+"
 
