@@ -309,6 +309,10 @@ ORACLE_SQL |= {
         SELECT c_custkey, c_nationkey, COALESCE(n_name, 'Desconhecido') AS nation,
           COALESCE(nome, 'Desconhecido') AS state
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN states ON c_nationkey = code""",
+    "label_from_ranges": """
+        SELECT l.*, coalesce(o.o_orderpriority, 'none') AS priority
+        FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_orderkey * 1000 + l_partkey % 1000 AS code FROM lineitem) l
+        LEFT JOIN orders o ON code >= o_orderkey * 1000 AND code <= o_orderkey * 1000 + o_custkey % 990""",
     "range_label": """
         SELECT p_partkey, p_size, CASE WHEN p_size BETWEEN 1 AND 10 THEN 'pequeno'
           WHEN p_size BETWEEN 11 AND 20 THEN 'medio' WHEN p_size BETWEEN 31 AND 50 THEN 'grande'

@@ -243,6 +243,16 @@ def code_label(spark: SparkSession, d: str) -> DataFrame:
     return named.withColumn("state", labels.state_name(F.col("c_nationkey")))
 
 
+@query
+def label_from_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """Priorities by ranges of codes, one an order and of any length up to 990."""
+    low = F.col("o_orderkey") * 1000
+    ranges = table(spark, d, "orders").select(low.alias("low"), (low + F.col("o_custkey") % 990).alias("high"), "o_orderpriority")
+    code = F.col("l_orderkey") * 1000 + F.col("l_partkey") % 1000
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", code.alias("code"))
+    return labels.label_from_ranges(rows, "code", ranges, "low", "high", "o_orderpriority", "priority", "none")
+
+
 @query
 def range_label(spark: SparkSession, d: str) -> DataFrame:
     sizes = [(1, 10, "pequeno"), (11, 20, "medio"), (31, 50, "grande")]

@@ -67,11 +67,11 @@ def code_label(code: Column, book: Mapping, default: str | Column) -> Column:
     """Label of an exactly matching code; any other code and NULL get the default.
 
     Where the book's keys are integers, codes of any type count as the whole number they are: `"11"` and 11.0 match
-    11, while 11.7, malformed text and numbers beyond the keys match nothing. A book is held as a literal that Spark
+    11, while 11.7, 11.9999999, malformed text and numbers beyond the keys match nothing (of text, 18 decimals count). A book is held as a literal that Spark
     searches linearly: beyond a few dozen entries use `label_from_table`.
     """
     if all(isinstance(key, int) for key in book):
-        number = code.try_cast("decimal(38,6)")
+        number = code.try_cast("decimal(38,18)")
         code = F.when(number == F.floor(number), number).try_cast("bigint")
         keys = F.array(*[F.lit(key).cast("bigint") for key in book])
         place = F.nullif(F.array_position(keys, code), F.lit(0).cast("bigint")).cast("int")
@@ -102,6 +102,36 @@ def label_from_table(
     return joined.select(*df.columns, F.coalesce("_book_value", F.lit(default)).alias(label))
 
 
+def label_from_ranges(
+    df: DataFrame, code: str, ranges: DataFrame, low: str, high: str, value: str, label: str, default: str
+) -> DataFrame:
+    """Label of the inclusive whole-number range of a table that holds the code; other codes and NULL get the default.
+
+    Ranges that hold a number twice are an error; those with a NULL end, or that end before they begin, hold none.
+    A range is filed under its size class, the power of two above its length, in the one or two buckets of that width
+    that it touches. A code looks into one bucket for every size class there is, 64 at most, and finds at most three
+    ranges there; so this is a join on equal keys, however many ranges there are and however long some of them.
+    Distinct codes are looked up, so a frequent code is no hot key there, and then joined to their rows.
+    """
+    filed = ranges.select(F.col(low).cast("bigint").alias("_low"), F.col(high).cast("bigint").alias("_high"), F.col(value).alias("_value"))
+    filed = filed.where("_low <= _high").withColumn("_class", F.length(F.bin(F.col("_high") - F.col("_low"))))
+    buckets = F.expr("sequence(shiftright(_low, _class), shiftright(_high, _class))")
+    filed = filed.withColumn("_bucket", F.explode(buckets))
+    classes = F.array(*[F.lit(row[0]) for row in filed.select("_class").distinct().orderBy("_class").collect()]).cast("array<int>")
+
+    def found(codes: DataFrame) -> DataFrame:
+        probes = codes.select("_code", F.explode(classes).alias("_class")).withColumn("_bucket", F.expr("shiftright(_code, _class)"))
+        return probes.join(filed, ["_class", "_bucket"]).where("_code BETWEEN _low AND _high").select("_code", "_value")
+
+    begins = ranges.select(F.col(low).cast("bigint").alias("_code")).where(F.col("_code") <= F.col(high))
+    twice = found(begins.distinct()).groupBy("_code").count().where("count > 1").orderBy("_code").take(1)
+    if twice:
+        raise ValueError(f"ranges overlap at {twice[0]['_code']}")
+    known = found(df.select(F.col(code).cast("bigint").alias("_code")).where("_code IS NOT NULL").distinct())
+    joined = df.join(known, F.col(code).cast("bigint") == F.col("_code"), "left")
+    return joined.select(*df.columns, F.coalesce("_value", F.lit(default)).alias(label))
+
+
 def fold_name(name: Column) -> Column:
     """Lower case without accents, for comparing names."""
     return F.translate(F.lower(name), ACCENTED, UNACCENTED)

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,3 +136,38 @@ def test_mean_of_rates_is_not_ratio_of_sums(spark):
 def test_filter_months_on_text_and_numbers(spark):
     df = spark.createDataFrame([("9", 9), ("10", 10), ("12", 12)], "v1013 string, mes int")
     assert filter_months(df, [9, 10]).count() == filter_months(df, [9, 10], "mes").count() == 2
+
+
+@pytest.mark.parametrize("code", ["11.9999999", "12.0000001", "11.999999999999999999"])
+def test_codes_are_not_rounded(spark, code):
+    frame = spark.createDataFrame([(code, float(code))], "text string, number double")
+    found = frame.select(labels.code_label(F.col("text"), {11: "a", 12: "b"}, "none")).first()[0]
+    assert found == "none"
+    if len(code) < 12:
+        assert frame.select(labels.code_label(F.col("number"), {11: "a", 12: "b"}, "none")).first()[0] == "none"
+
+
+def test_label_from_ranges(spark):
+    rnd, at, ranges = random.Random(1), -5000, []
+    for n in range(300):
+        at += rnd.choice([0, 0, 1, 7, 900])
+        end = at + rnd.choice([0, 1, 5, 60, 3000, 1 << 30 if n == 299 else 2])
+        ranges.append((at, end, f"r{n}"))
+        at = end + 1
+    table = spark.createDataFrame(ranges + [(9, 8, "empty"), (None, 5, "no low"), (5, None, "no high")], "low bigint, high bigint, name string")
+    codes = [None, -(1 << 62), (1 << 62)] + [e + k for a, b, _ in ranges for e in (a, b) for k in (-1, 0, 1)] * 2
+    rows = spark.createDataFrame([(c,) for c in codes], "code bigint")
+    found = labels.label_from_ranges(rows, "code", table, "low", "high", "name", "label", "none")
+    want = [(c, next((n for a, b, n in ranges if c is not None and a <= c <= b), "none")) for c in codes]
+    assert sorted(map(str, (tuple(r) for r in found.collect()))) == sorted(map(str, want))
+    plan = found._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    none = labels.label_from_ranges(rows, "code", table.limit(0), "low", "high", "name", "label", "none")
+    assert none.where("label = 'none'").count() == len(codes)
+
+
+@pytest.mark.parametrize("ranges", [[(1, 5), (5, 9)], [(0, 1 << 40), (77, 78)], [(3, 3), (3, 3)]])
+def test_overlapping_ranges_are_an_error(spark, ranges):
+    table = spark.createDataFrame([(a, b, "x") for a, b in ranges], "low bigint, high bigint, name string")
+    with pytest.raises(ValueError, match="overlap"):
+        labels.label_from_ranges(spark.createDataFrame([(1,)], "code bigint"), "code", table, "low", "high", "name", "label", "none")
