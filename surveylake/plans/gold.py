@@ -8,6 +8,7 @@ its filter and the measures it adds up; both paths end in the same final project
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
 
@@ -248,10 +249,13 @@ def write_gold(spark: SparkSession, silver: DataFrame, root: str) -> dict[str, s
 
 
 def write_gold_from_shared(shared: DataFrame, root: str) -> dict[str, str]:
-    """Writes the six tables below `root`, added up from the shared aggregate at whatever grain; returns their paths."""
+    """Writes the six tables below `root`, added up from the shared aggregate at whatever grain; returns their paths.
+
+    The jobs are small and independent, so they are submitted side by side; if one fails, so does the call.
+    """
     paths = {name: f"{root}/{name}" for name in GOLD_TABLES}
-    for name, path in paths.items():
-        write_table(gold_from_shared(shared, name), path)
+    with ThreadPoolExecutor(len(paths)) as jobs:
+        list(jobs.map(lambda name: write_table(gold_from_shared(shared, name), paths[name]), paths))
     return paths
 
 
