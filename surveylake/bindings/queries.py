@@ -52,6 +52,16 @@ profile = partial(gold_frame, "perfil_sintomaticos")
 tests = partial(gold_frame, "testes_uf")
 
 
+def longer_silver(spark: SparkSession, d: str) -> DataFrame:
+    """Silver with a month, of the groups of September, that the reports on the analysis months have to leave out."""
+    rows = bronze(spark, d)
+    return build_silver(rows.unionByName(rows.where("v1013 = '9'").withColumn("v1013", F.lit("8"))))
+
+
+def longer(name: str, spark: SparkSession, d: str) -> DataFrame:
+    return gold.gold_table(longer_silver(spark, d), name)
+
+
 # Sources, ingest and catalog
 
 
@@ -412,17 +422,17 @@ def distinct_values(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def period_totals(spark: SparkSession, d: str) -> DataFrame:
-    return reports.period_totals(reports.of_months(national(spark, d)))
+    return reports.period_totals(reports.of_months(longer("evolucao_nacional", spark, d)))
 
 
 @query
 def symptoms_by_state(spark: SparkSession, d: str) -> DataFrame:
-    return reports.symptoms_by_state(reports.of_months(symptoms(spark, d)))
+    return reports.symptoms_by_state(reports.of_months(longer("sintomas_uf_mes", spark, d)))
 
 
 @query
 def absence_by_region(spark: SparkSession, d: str) -> DataFrame:
-    return reports.absence_by_region(reports.of_months(work(spark, d)))
+    return reports.absence_by_region(reports.of_months(longer("trabalho_regiao_mes", spark, d)))
 
 
 @query
@@ -457,7 +467,7 @@ def table_count(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def table_shapes(spark: SparkSession, d: str) -> DataFrame:
-    paths = gold.write_gold(spark, silver(spark, d), scratch_path(spark, "shapes"))
+    paths = gold.write_gold(spark, longer_silver(spark, d), scratch_path(spark, "shapes"))
     tables = {name: spark.read.parquet(path) for name, path in paths.items()}
     monthly = ("sintomas_uf_mes", "trabalho_regiao_mes", "evolucao_nacional")
     return reports.table_shapes({n: reports.of_months(df) if n in monthly else df for n, df in tables.items()})
@@ -478,7 +488,7 @@ def report_top_states(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def report_evolution_months(spark: SparkSession, d: str) -> DataFrame:
-    return reports.evolution_of_months(national(spark, d))
+    return reports.evolution_of_months(longer("evolucao_nacional", spark, d))
 
 
 @query
@@ -493,7 +503,7 @@ def positivity_ranked(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def mean_pct_by_region(spark: SparkSession, d: str) -> DataFrame:
-    return reports.mean_pct_by_region(reports.of_months(symptoms(spark, d)))
+    return reports.mean_pct_by_region(reports.of_months(longer("sintomas_uf_mes", spark, d)))
 
 
 # Data quality
