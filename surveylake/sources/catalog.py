@@ -62,15 +62,18 @@ def register_partitions(
 ) -> list[tuple]:
     """Adds the partitions found below `path` that the catalog lacks; returns (keys..., status) for each found.
 
-    Running it again adds nothing.
+    One statement adds them all; running it again adds nothing.
     """
     status = period_status(discover_periods(spark, path, keys), registered_periods(spark, name, keys), keys)
     found = sorted((tuple(row) for row in status.collect()), key=str)
     added = [row for row in found if row[-1] == "added"]
+    parts = []
     for row in added:
         spec = ", ".join(f"{key}='{value}'" for key, value in zip(keys, row))
         where = "/".join(f"{key}={value}" for key, value in zip(keys, row))
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{path}/{where}'")
+        parts.append(f"PARTITION ({spec}) LOCATION '{path}/{where}'")
+    if parts:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(parts)}")
     return found
 
 
