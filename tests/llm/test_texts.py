@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 from llm.cases import SCHEMA, frame, odd_rows, prose
+from pyspark.sql import functions as F
 
 from surveylake.llm import exact_dedup, near_join, quality_rules, sharding, toxicity
 from surveylake.llm.components import connected
@@ -235,6 +236,34 @@ def test_shards_are_even_and_hold_every_row(spark, shards):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+@pytest.mark.parametrize("clash", [False, True])
+def test_written_shards_hold_every_row_once(spark, tmp_path, clash):
+    """A folder per shard, with rows by slot; columns of the input that are named like the new ones keep their values."""
+    docs = frame(spark) if clash else spark.createDataFrame(odd_rows(), SCHEMA)
+    sharding.write_shards(docs, str(tmp_path / "shards"), shards=4, bucket_bytes=3000)
+    size, shard, slot = ("_size", "_shard", "slot") if clash else sharding.NEW
+    assert {p.name for p in (tmp_path / "shards").glob("*=*")} == {f"{shard}={n}" for n in range(4)}
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert Counter(map(tuple, back.select(docs.columns).collect())) == Counter(map(tuple, docs.collect()))
+    for n in range(4):
+        assert sorted(r[0] for r in back.where(f"{shard} = {n}").select(slot).collect()) == list(range(back.where(f"{shard} = {n}").count()))
+    for part in (tmp_path / "shards").glob("*=*/*.parquet"):
+        slots = [r[0] for r in spark.read.parquet(str(part)).select(slot).collect()]
+        assert slots == sorted(slots)
+    assert {r[0] for r in back.select((F.col(size) - F.octet_length(F.coalesce("text", F.lit("")))).alias("d")).collect()} == {1}
+
+
+def test_shards_of_an_input_that_differs_when_read_again(spark):
+    """Rows are numbered once: slots have no gaps even if another evaluation would give other rows."""
+    docs = spark.range(4000).selectExpr("id AS doc_id", "repeat('x', 40) AS text").where("rand() < 0.5")
+    found = sharding.sharded(docs, 5, bucket_bytes=5000).collect()
+    slots = defaultdict(list)
+    for r in found:
+        slots[r["shard"]].append(r["slot"])
+    assert len({r["doc_id"] for r in found}) == len(found) and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_shards_depend_on_the_seed_and_mix_rows(spark):
     docs = spark.range(2000).selectExpr("id AS doc_id", "'x' AS text").coalesce(1)
     order = lambda seed: [r["doc_id"] for r in sharding.sharded(docs, 1, seed).orderBy("slot").collect()]
