@@ -107,18 +107,18 @@ def member(data: bytearray, at: int, more) -> tuple[bytes, int] | None:
     adds to the data what follows it in the file and says whether there was any.
     """
     try:
-        unpack, content, fed = zlib.decompressobj(31), b"", at
+        unpack, content, fed = zlib.decompressobj(31), bytearray(), at
         while not unpack.eof:
             if fed >= len(data) and not more():
                 return None
             part = data[fed : fed + _STEP]
             content += unpack.decompress(part)
             fed += len(part)
-            if not b"WARC/".startswith(content[:5]):
+            if not b"WARC/".startswith(bytes(content[:5])):
                 return None
     except zlib.error:
         return None
-    return (content, fed - len(unpack.unused_data) - at) if content.startswith(b"WARC/") else None
+    return (bytes(content), fed - len(unpack.unused_data) - at) if content.startswith(b"WARC/") else None
 
 
 def parsed(content: bytes) -> dict | None:
@@ -154,12 +154,13 @@ def records_between(path: str, start: int, end: int):
             at = buffer.find(MAGIC, at + found[1])
 
 
-READ = "path string, begins bigint, ends bigint, type string, record string, refers string, url string, digest string, payload_bytes bigint, payload binary"
+READ = "path string, start bigint, begins bigint, ends bigint, type string, record string, refers string, url string, digest string, payload_bytes bigint, payload binary"
 
 
 def scan_warc(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """The records of the files (`path`, `bytes`), by tasks that each scan byte ranges and own what begins there.
 
+    `start` is that of the range. What a range holds never overlaps, as a task goes on behind each record it finds.
     `payload` is null in a revisit, whose `payload_bytes` and `digest` are those that its headers state; in a
     response both are those of the payload read.
     """
@@ -178,7 +179,7 @@ def scan_warc(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
                     if kind == "revisit":
                         stated = dict(line.split(b": ", 1) for line in http.split(b"\r\n")[1:] if b": " in line)
                         size, digest = int(stated.get(b"Content-Length", -1)), fields.get("warc-payload-digest", "").removeprefix("sha256:")
-                    row = [path, begins, ends, kind, fields.get("warc-record-id"), fields.get("warc-refers-to"), fields.get("warc-target-uri")]
+                    row = [path, start, begins, ends, kind, fields.get("warc-record-id"), fields.get("warc-refers-to"), fields.get("warc-target-uri")]
                     columns = [*row, digest, size, payload if kind != "revisit" else None]
                     yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(columns, _TYPES)], _NAMES)
 
@@ -192,15 +193,23 @@ _TYPES = [{"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}[f
 def outermost(records: DataFrame) -> DataFrame:
     """Without records that begin inside another of their file.
 
-    A payload may itself hold archives, and a range may begin inside it, so that its records are found as well.
+    A payload may itself hold archives, and a range may begin inside it, so that its records are found as well. Within
+    a range records do not overlap, so a row for each range tells how far the ranges before it reach; only ranges
+    whose first record begins before that are joined back. The records are read twice: give a written table unless
+    it is cheaper to scan the files again than to keep them.
     """
-    before = Window.partitionBy("path").orderBy("begins").rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.col("begins") < F.coalesce(F.max("ends").over(before), F.lit(0))
-    return records.withColumn("_inside", inside).where(~F.col("_inside")).drop("_inside")
+    ranges = records.groupBy("path", "start").agg(F.min("begins").alias("_first"), F.max("ends").alias("_last"))
+    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    reached = ranges.withColumn("_reach", F.max("_last").over(before)).where("_first < _reach").select("path", "start", "_reach")
+    found = records.join(written(reached, "overlapping-ranges"), ["path", "start"], "left")
+    return found.where("_reach is null or begins >= _reach").select(records.columns)
 
 
 def read_warc(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """All records of the files, each once, with their payloads."""
+    """All records of the files, each once, with their payloads, which move only where many ranges overlap.
+
+    Every file is scanned twice, first for the places of its records.
+    """
     return outermost(scan_warc(files, range_bytes))
 
 
@@ -209,10 +218,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = write_warc(pages, scratch_path(spark, "warc"))
     page = lambda c: F.expr(f"try_cast(regexp_extract({c}, '<urn:page:(.*)>', 1) as {pages.schema['page_id'].dataType.simpleString()})")
     found = scan_warc(files).select(
-        "path", "begins", "ends", page("record").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
+        "path", "start", "begins", "ends", page("record").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
         F.col("type").alias("record_type"), page("refers").alias("refers_to"),
     )
-    return outermost(found).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return outermost(written(found, "warc-records")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 OP4_SQL = f"""
