@@ -15,6 +15,10 @@ from surveylake.llm.pretokens import cut
 CHUNK = 256
 #: States beyond which the compiled part is dropped and begun anew, so that memory stays bounded.
 MAX_STATES = 1 << 19
+#: Pairs of tokens beyond which what is known of them is dropped as well.
+MAX_FITS = 1 << 21
+#: Rounds of entry states that are tried for the chunks of a long piece before the rest is carried on in order.
+ROUNDS = 32
 _ID = 20  # bits of a token id or a trie node
 _REL = 512  # more than the tokens that a state looks back over
 _NEVER = 1 << 60
@@ -50,6 +54,8 @@ class Transducer:
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             self.pairs[names[left] << _ID | names[right]] = (rank, names[left + right])
         self.bytes = {i: bytes(as_byte[c] for c in n) for n, i in names.items()}
+        if max(map(len, self.bytes.values()), default=0) >= _REL or max(self.bytes, default=0) + 1 >= 1 << _ID:
+            raise ValueError("the vocabulary's tokens are too long or too many for the packed states")
         self.parts = {token: (*divmod(key, 1 << _ID), rank) for key, (rank, token) in self.pairs.items()}
         self.edges: dict[int, list[tuple[int, int]]] = {}
         self.child: dict[int, int] = {}
@@ -65,10 +71,10 @@ class Transducer:
                     self.inner.append(False)
                 node = self.child[key]
             self.token[node] = number
-        self.fits: dict[int, bool] = {}
         self._clear()
 
     def _clear(self) -> None:
+        self.fits: dict[int, bool] = {}
         self.numbers: dict[bytes, int] = {}
         self.keys: list[bytes] = []
         self.ends: list[int] = []
@@ -157,10 +163,11 @@ class Transducer:
         """The state after each byte and the change of the token count at each byte.
 
         The data is cut into chunks of equal length that run side by side. What follows the first cut of a chunk
-        does not depend on the state it is entered in: that part of the map is found first. The heads then
-        run from the end of the chunk before. No maps are composed: chunks without a cut are carried on in order.
+        does not depend on the state it is entered in: that part of the map is found first. The heads then run
+        from the end of the chunk before. Where chunks without a cut follow each other, inside a long piece, their
+        maps are composed by `_entries`, and the chunks run from the states found.
         """
-        if len(self.keys) > MAX_STATES:
+        if len(self.keys) > MAX_STATES or len(self.fits) > MAX_FITS:
             self._clear()
         size = len(data)
         chunks = -(-size // CHUNK)
@@ -179,33 +186,80 @@ class Transducer:
             else:  # a chunk without a cut so far runs from its wrong state, and is done again below
                 steps[place] = self._advance(now, grid[place])
                 now = steps[place] >> 16
-        # The scan: a chunk is entered in the end state of the chunk before; chunks without a cut carry it on in order.
         known = head < CHUNK
         entered, ready = np.append(0, now[:-1]), np.append(True, known[:-1])
         lanes = np.flatnonzero(ready & (head > 0))
         ends = self._heads(lanes, entered[lanes], head, grid, steps)
         now[lanes] = np.where(known[lanes], now[lanes], ends)
-        for lane in np.flatnonzero(~ready & (head > 0)).tolist():
-            end = self._one(lane, now[lane - 1], head[lane], grid, steps)
-            now[lane] = now[lane] if known[lane] else end
+        inner = np.flatnonzero(~ready & ~known)
+        if len(inner):
+            self._entries(inner, now, grid, steps)
+        lanes = np.flatnonzero(~ready & known & (head > 0))
+        self._heads(lanes, now[lanes - 1], head, grid, steps)
         steps = steps.T.reshape(-1)[:size]
         return steps >> 16, (steps & 0xFFFF) - _REL
 
-    def _heads(self, lanes, now, head, grid, steps) -> np.ndarray:
+    def _heads(self, lanes, now, head, grid, steps=None) -> np.ndarray:
+        """Runs the heads of chunks from the given states, which it returns at their ends."""
+        now = now.copy()
         active = np.arange(len(lanes))
         for place in range(CHUNK):
             active = active[head[lanes[active]] > place]
             if not len(active):
                 break
             rows = lanes[active]
-            steps[place, rows] = found = self._advance(now[active], grid[place, rows])
+            found = self._advance(now[active], grid[place, rows])
+            if steps is not None:
+                steps[place, rows] = found
             now[active] = found >> 16
         return now
 
-    def _one(self, lane: int, now: int, length: int, grid, steps) -> int:
-        """A head that can only run once the chunk before is done: it lies in a piece longer than a chunk."""
+    def _entries(self, inner, now, grid, steps) -> None:
+        """Runs the chunks without a cut that follow one such, and puts the state at the end of each into `now`.
+
+        The map of a chunk is built for the states that can reach it: first the one in which the chunk before ends
+        when begun anywhere, then those in which it ends from the states found for it, until no new one turns up.
+        Ends soon no longer depend on the beginning, and chunks of equal bytes share their map, so this takes few
+        rounds. The maps, as links from a state of a chunk to one of the next, are then composed by doubling, from the
+        chunks whose entry is known. Chunks that this does not reach after `ROUNDS` are carried on in order.
+        """
+        whole = np.full(grid.shape[1], CHUNK)
+        is_inner = np.zeros(grid.shape[1] + 1, bool)
+        is_inner[inner] = True
+        alike = np.zeros(grid.shape[1], np.int64)  # a chunk of the same bytes
+        alike[inner] = inner[_first_equal(np.ascontiguousarray(grid[:, inner].T.astype(np.uint8)))]
+        tried, ends = np.zeros(0, np.int64), np.zeros(0, np.int64)  # the maps: chunk and entry, packed, and the end
+        nodes, new = np.zeros(0, np.int64), np.unique(inner << 32 | now[inner - 1])
+        for _ in range(ROUNDS):
+            nodes = np.union1d(nodes, new)
+            lane, entry = new >> 32, new & 0xFFFFFFFF
+            wanted = np.setdiff1d(alike[lane] << 32 | entry, tried)
+            got = self._heads(wanted >> 32, wanted & 0xFFFFFFFF, whole, grid)
+            order = np.argsort(np.append(tried, wanted))
+            tried, ends = np.append(tried, wanted)[order], np.append(ends, got)[order]
+            after = lane + 1 << 32 | ends[np.searchsorted(tried, alike[lane] << 32 | entry)]
+            new = np.setdiff1d(after[is_inner[lane + 1]], nodes)
+            if not len(new):
+                break
+        lane, entry = nodes >> 32, nodes & 0xFFFFFFFF
+        end = ends[np.searchsorted(tried, alike[lane] << 32 | entry)]
+        follows = lane + 1 << 32 | end
+        jump = np.minimum(np.searchsorted(nodes, follows), len(nodes) - 1)
+        jump = np.append(np.where(nodes[jump] == follows, jump, len(nodes)), len(nodes))  # the last leads nowhere
+        reached = np.append(~is_inner[lane - 1] & (entry == now[lane - 1]), False)
+        for _ in range(len(inner).bit_length()):
+            reached[jump[np.flatnonzero(reached)]] = True
+            jump = jump[jump]
+        found = np.flatnonzero(reached[:-1])
+        now[lane[found]] = end[found]
+        self._heads(lane[found], entry[found], whole, grid, steps)
+        for number in np.setdiff1d(inner, lane[found]).tolist():
+            now[number] = self._one(number, now[number - 1], grid, steps)
+
+    def _one(self, lane: int, now: int, grid, steps) -> int:
+        """A chunk whose entry is only known once the chunk before is done."""
         now = int(now)
-        for place, byte in enumerate(grid[:length, lane].tolist()):
+        for place, byte in enumerate(grid[:, lane].tolist()):
             key = now << 8 | byte
             if key not in self.hops:
                 state, change = self.step(now, byte)
@@ -269,6 +323,13 @@ class Transducer:
         return np.full(sum(t.count(name) for t in texts), number, np.uint32)
 
 
+def _first_equal(rows: np.ndarray) -> np.ndarray:
+    """For each row of bytes the place of the first that equals it."""
+    whole = rows.view(np.dtype((np.void, rows.shape[1]))).ravel()
+    _, first, same = np.unique(whole, return_index=True, return_inverse=True)
+    return first[same]
+
+
 def compiled(file: bytes) -> Transducer:
     """The vocabulary's transducer, which a worker keeps from task to task."""
     state = worker_state()

@@ -61,6 +61,58 @@ def test_transducer_on_every_character_and_long_pieces():
     assert compiled(read(JSON)).counts(texts).tolist() == list(map(len, library_ids(texts)))
 
 
+@pytest.mark.parametrize("rounds, chunk", [(1, 8), (32, 8), (32, 256)])
+def test_maps_of_chunks_within_a_long_piece_are_composed(monkeypatch, rounds, chunk):
+    """Pieces of a megabyte take a number of array steps that does not grow with them; too few rounds are made good."""
+    from surveylake.llm import transducer
+
+    machine = transducer.Transducer(read(JSON))
+    monkeypatch.setattr(transducer, "ROUNDS", rounds)
+    monkeypatch.setattr(transducer, "CHUNK", chunk)
+    steps, in_order = [], []
+    advance, one = machine._advance, machine._one
+    machine._advance = lambda *a: steps.append(1) or advance(*a)
+    machine._one = lambda *a: in_order.append(1) or one(*a)
+    rnd = random.Random(4)
+    size = 1_000_000 if chunk == 256 else 20_000
+    texts = ["z" * size, "abcabd" * (size // 6), "".join(rnd.choice("abcdefghij") for _ in range(size)), " " * (size // 4)]
+    texts.append(("z" * 3000 + " " + "the" * 1000 + "\n") * 3)
+    for text, want in zip(texts, library_ids(texts)):
+        steps.clear()
+        assert machine.counts([text])[0] == len(want)
+        assert chunk == 8 or (len(steps) < 20 * chunk and not in_order)
+        ids, _ = machine.ids([text])
+        assert ids.tolist() == want
+    assert rounds > 1 or in_order
+
+
+def test_transducer_refuses_vocabularies_that_its_states_cannot_hold(monkeypatch):
+    from surveylake.llm import transducer
+
+    longest = max(map(len, compiled(read(JSON)).bytes.values()))
+    monkeypatch.setattr(transducer, "_REL", longest)
+    with pytest.raises(ValueError):
+        transducer.Transducer(read(JSON))
+
+
+def test_what_is_known_of_token_pairs_is_bounded(monkeypatch):
+    from surveylake.llm import transducer
+
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [" ".join("".join(random.Random(50 * n + k).choices(letters, k=7)) for k in range(20)) for n in range(20)]
+
+    def held(machine):
+        sizes = []
+        for text, want in zip(texts, library_ids(texts)):
+            assert machine.counts([text])[0] == len(want)
+            sizes.append(len(machine.fits))
+        return max(sizes)
+
+    free = held(transducer.Transducer(read(JSON)))
+    monkeypatch.setattr(transducer, "MAX_FITS", 50)
+    assert held(transducer.Transducer(read(JSON))) < free / 4
+
+
 def test_transducer_begins_anew_at_its_bound(monkeypatch):
     from surveylake.llm import transducer
 
