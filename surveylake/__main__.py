@@ -9,7 +9,7 @@ from surveylake.operators.periods import ALL_MONTHS, ALLOWED_MONTHS
 from surveylake.operators.quality import render_report, silver_suite
 from surveylake.plans.lake import refresh_lake
 from surveylake.session import build_session
-from surveylake.sources.catalog import ensure_database, register_layer
+from surveylake.sources.catalog import ensure_database, register_published
 from surveylake.sources.layers import read_silver
 
 
@@ -30,7 +30,7 @@ def main() -> None:
     print(f"landed: {done.landed}\nretracted: {done.retracted}\nbrought into silver: {done.silver}")
     if args.database:
         ensure_database(spark, args.database)
-        print(f"registered: {register_layer(spark, args.database, f'{args.lake}/gold', 'gold_')}")
+        print(f"registered: {register_published(spark, args.database, f'{args.lake}/gold', 'gold_')}")
     print(render_report(silver_suite(read_silver(spark, f"{args.lake}/silver", SILVER_SCHEMA))))
 
 

@@ -290,6 +290,7 @@ ORACLE_SQL |= {
     "gold_roundtrip": survey(SIX_TABLES),
     "lake_refresh": survey("SELECT * FROM silver"),
     "lake_gold": survey(SIX_TABLES),
+    "lake_published": survey(SIX_TABLES),
     "refresh_periods": survey(f"""
         SELECT ano, v1013, CASE WHEN v1013 = '9' THEN 'earlier' ELSE v1023 END AS v1023, COUNT(*) AS n_rows,
           {WEIGHTS} AS populacao

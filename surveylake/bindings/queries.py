@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import suppress
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from surveylake.plans.lake import refresh_lake
 from surveylake.plans.silver import build_silver, filter_months
 from surveylake.session import remove_paths, scratch_path
 from surveylake.sources import archives, catalog, delimited, layers
+from surveylake.sources.published import publish, published
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -206,6 +208,27 @@ def lake_gold(spark: SparkSession, d: str) -> DataFrame:
     return _six_tables(spark, done.gold)
 
 
+@query
+def lake_published(spark: SparkSession, d: str) -> DataFrame:
+    """What readers of a lake's gold find after a refresh, a correction, and a writer that stopped between two tables."""
+    drops, lake = scratch_path(spark, "drops"), scratch_path(spark, "lake")
+    rows = bronze(spark, d)
+    write_archives(rows.withColumn("uf", F.lit("99")).where("v1013 = '9'"), f"{drops}/first")
+    write_archives(rows.where("v1013 <> '9'"), f"{drops}/second")
+    refresh_lake(spark, f"{drops}/*", lake)
+    remove_paths(spark, [f"{drops}/first"])
+    write_archives(rows.where("v1013 = '9'"), f"{drops}/first")
+    refresh_lake(spark, f"{drops}/*", lake)
+
+    def stops(folder: str) -> dict[str, str]:
+        layers.write_table(rows.select("uf"), f"{folder}/{min(gold.GOLD_TABLES)}")
+        raise InterruptedError
+
+    with suppress(InterruptedError):
+        publish(spark, f"{lake}/gold", stops)
+    return _six_tables(spark, published(spark, f"{lake}/gold"))
+
+
 @query
 def refresh_periods(spark: SparkSession, d: str) -> DataFrame:
     path, rows = scratch_path(spark, "refreshed"), bronze(spark, d)

@@ -20,6 +20,7 @@ from surveylake.sources.archives import (
 )
 from surveylake.sources.files import can_open_in_place
 from surveylake.sources.layers import load_if_present, period_directory, read_periods, write_silver
+from surveylake.sources.published import publish
 
 # What a ledger says of an archive: that a version of it was landed, or that one was retracted.
 LEDGER = "version string, event string, drops string, path string, length bigint, modificationTime timestamp, year string, month string"
@@ -66,7 +67,8 @@ def refresh_lake(
     one that this same `drops` once offered and has no longer. Silver periods that a landed or retracted version
     carries are built anew from the landed lines of all live versions that carry them, so silver is what a full
     rebuild of the live archives would give; the other periods keep their files. Gold tables and check results are
-    added up from summaries of which only the changed periods are computed.
+    added up from summaries of which only the changed periods are computed; the six gold tables are published together,
+    and `published` names those shown.
 
     Landing, silver and gold have a ledger each, written after their work, so the next run makes good whatever one
     that stopped early has left. Drops without data lines, or without archives, are brought in like others.
@@ -102,7 +104,8 @@ def refresh_lake(
 
     unreported = _not_in(_ledger(spark, f"{root}/silver-archives", LEDGER), _ledger(spark, f"{root}/gold-archives", LEDGER))
     if unreported:
-        done.gold = write_gold_from_shared(_summary(spark, root, "shared-aggregate"), f"{root}/gold")
+        shared = _summary(spark, root, "shared-aggregate")
+        done.gold = publish(spark, f"{root}/gold", lambda folder: write_gold_from_shared(shared, folder))
         pieces = _pieces(spark, root, {v.version for v in _live(history)})
         layouts = spark.createDataFrame([(p.year, p.month, p.layout, p.header) for p in pieces], "year string, month string, layout string, header string")
         checks = quality.suite_of_counts(_summary(spark, root, "suite-counts"))

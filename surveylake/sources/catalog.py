@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from surveylake.contract import BRONZE_PERIOD
 from surveylake.operators.periods import discover_periods, period_status
+from surveylake.sources.published import published
 
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> bool:
@@ -94,6 +95,30 @@ def register_layer(spark: SparkSession, database: str, root: str, prefix: str =
     return created
 
 
+def register_published(spark: SparkSession, database: str, root: str, prefix: str = "") -> list[str]:
+    """External Parquet tables over the published version below `root`; returns the names that are new or were moved.
+
+    A table that shows an earlier version is pointed to this one; only its location changes. The folder of the version
+    before stays until the next but one is published, so register after each.
+    """
+    changed = []
+    for table, path in sorted(published(spark, root).items()):
+        name = f"{database}.{prefix}{table}"
+        if not spark.catalog.tableExists(name):
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+        elif not _location(spark, name).endswith(path.rsplit("/", 2)[1] + f"/{table}"):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(name)
+        else:
+            continue
+        changed.append(f"{prefix}{table}")
+    return changed
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    return spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+
+
 def run_sql(spark: SparkSession, query: str, database: str | None = None, limit: int | None = None) -> DataFrame:
     """An ad-hoc query as a frame, with typed columns; errors are raised, rows are capped only if asked."""
     before = spark.catalog.currentDatabase()

@@ -1,5 +1,8 @@
 import shutil
 import zipfile
+from pathlib import Path
+
+import pytest
 
 from surveylake.contract import SILVER_SCHEMA
 from surveylake.operators.periods import ALL_MONTHS
@@ -9,7 +12,9 @@ from surveylake.plans.lake import batches, refresh_lake
 from surveylake.plans.silver import build_silver
 from surveylake.session import sized_for, task_settings
 from surveylake.sources.archives import land_archives, list_archives
+from surveylake.sources.catalog import ensure_database, register_published
 from surveylake.sources.layers import read_silver
+from surveylake.sources.published import published
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -137,6 +142,58 @@ def test_summaries_of_untouched_periods_are_kept(spark, tmp_path, rows):
     assert last["count"] == 2
 
 
+def test_gold_tables_are_shown_together(spark, tmp_path, rows, monkeypatch):
+    from surveylake.plans import gold
+
+    drops, lake = tmp_path / "drops", str(tmp_path / "lake")
+    assert published(spark, f"{lake}/gold") == {}
+    archive(drops, "X_092020.zip", "2020,9,11,1")
+    first = refresh_lake(spark, str(drops), lake).gold
+    assert published(spark, f"{lake}/gold") == first and first.keys() == GOLD_TABLES.keys()
+    total = lambda path: rows(spark.read.parquet(path), "mes", "total_entrevistados")
+
+    # A writer that stops between two tables changes nothing for readers, and the next one makes it good.
+    write, count = gold.write_table, []
+
+    def stops(df, path, mode="overwrite"):
+        count.append(path)
+        if len(count) == 3:
+            raise InterruptedError
+        write(df, path, mode)
+
+    monkeypatch.setattr(gold, "write_table", stops)
+    archive(drops, "X_102020.zip", "2020,10,11,1")
+    with pytest.raises(InterruptedError):
+        refresh_lake(spark, str(drops), lake)
+    assert len(count) >= 3 and published(spark, f"{lake}/gold") == first and total(first["evolucao_nacional"]) == [(9, 1)]
+    monkeypatch.undo()
+    second = refresh_lake(spark, str(drops), lake).gold
+    assert published(spark, f"{lake}/gold") == second and total(second["evolucao_nacional"]) == [(10, 1), (9, 1)]
+
+    # Who reads the version before may go on; what the stopped writer left is gone, and so are older versions later.
+    assert total(first["evolucao_nacional"]) == [(9, 1)]
+    versions = lambda: {p.name for p in (tmp_path / "lake/gold").iterdir()}
+    assert versions() == {Path(p).parent.name for p in [*first.values(), *second.values()]}
+    archive(drops, "X_112020.zip", "2020,11,11,1")
+    third = refresh_lake(spark, str(drops), lake).gold
+    assert versions() == {Path(p).parent.name for p in [*second.values(), *third.values()]}
+
+
+def test_registered_gold_follows_the_published_version(spark, tmp_path):
+    drops, lake = tmp_path / "drops", str(tmp_path / "lake")
+    ensure_database(spark, "followed", str(tmp_path / "database"))
+    archive(drops, "X_092020.zip", "2020,9,11,1")
+    refresh_lake(spark, str(drops), lake)
+    register = lambda: register_published(spark, "followed", f"{lake}/gold", "gold_")
+    months = lambda: spark.table("followed.gold_evolucao_nacional").count()
+    assert len(register()) == len(GOLD_TABLES) and register() == [] and months() == 1
+    archive(drops, "X_102020.zip", "2020,10,11,1")
+    refresh_lake(spark, str(drops), lake)
+    assert months() == 1
+    assert len(register()) == len(GOLD_TABLES) and months() == 2
+    spark.sql("DROP DATABASE followed CASCADE")
+
+
 def silver_rows(spark, lake, rows, *columns):
     return rows(read_silver(spark, f"{lake}/silver", SILVER_SCHEMA), *columns)
 
