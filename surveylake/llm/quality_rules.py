@@ -17,13 +17,16 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Limits:
-    """A text of fewer words, or with more of them in repeated windows (percent), fails. A line in more documents of
-    its host than `line_documents` is removed; a document that loses more than `removed_pct` percent of its words
-    that way is rejected. The measures are those of the text as given."""
+    """A text of fewer words, or with more of them in repeated windows (percent), fails. A line in more than
+    `line_pct` percent of the texts of its host, and in more than `line_documents` of them, is removed; a document
+    that loses more than `removed_pct` percent of its words that way is rejected. The share makes a host judged alike
+    at every size; the number only keeps a line of a few texts of a small host. The measures are those of the text as
+    given."""
 
     words: int = 50
     repeat_pct: int = 50
-    line_documents: int = 50
+    line_pct: int = 1
+    line_documents: int = 20
     removed_pct: int = 80
 
 
@@ -90,16 +93,21 @@ def judged(docs: DataFrame, limits: Limits = Limits(), key: str = "doc_id", text
 def _judged(docs: DataFrame, limits: Limits, key: str, text: str, host: str) -> DataFrame:
     """The judged rows with `cut`, the hashes of a row's frequent lines (null: none).
 
-    Every text is read once: its measures and line hashes go to a table in the shared folder. Lines are counted per
-    host in distinct texts, so that copies of one text count once; a null host is the empty one. Rows are told apart
-    by key, host and text, so repeated rows and null keys are judged alike and all returned. A hot line or host is
-    counted in part by each task; the frequent lines are a table of their own, so that a join that does not broadcast
-    them can split a hot line.
+    Every text is read once: its measures and line hashes go to a table in the shared folder. Documents are counted per
+    host in distinct texts: with documents themselves, every line of a clean text that has many copies would be
+    frequent, and the copy that de-duplication keeps would be lost here. A null host is the empty one. Rows are told
+    apart by key, host and text, so repeated rows and null keys are judged alike and all returned. A hot line or host is
+    counted in part by each task, and only lines above the number meet the sizes of their hosts; the frequent lines are
+    a table of their own, so that a join that does not broadcast them can split a hot line. A very long text is one row
+    of its task, with 8 bytes a window of words; an empty one has no lines and fails.
     """
     profile = written(measures(docs, key, text, host), "profile")
     lines = profile.select("doc_id", "host", "text_hash", F.inline("lines"))
     seen = lines.groupBy("host", "line").agg(F.count_distinct("text_hash").alias("documents"))
-    frequent = written(seen.where(F.col("documents") > limits.line_documents).select("host", "line"), "frequent-lines")
+    hosts = profile.groupBy("host").agg(F.count_distinct("text_hash").alias("texts"))
+    common = seen.where(F.col("documents") > limits.line_documents).join(hosts, "host")
+    frequent = common.where(100 * F.col("documents") > limits.line_pct * F.col("texts")).select("host", "line")
+    frequent = written(frequent, "frequent-lines")
     removed = lines.join(frequent, ["host", "line"]).groupBy("doc_id", "host", "text_hash")
     removed = removed.agg(F.sum("words").alias("lost"), F.collect_set("line").alias("cut"))
     copies = profile.groupBy("doc_id", "host", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
@@ -163,8 +171,10 @@ repeats AS (SELECT r, sum(least(3, coalesce(next_i - i, 3))) AS n FROM places GR
 lines AS (
   SELECT r, host, raw, array_to_string(ws, ' ').lower() AS line, len(ws) AS words
   FROM (SELECT r, host, raw, regexp_extract_all(unnest(lines), '{word}') AS ws FROM split)),
+hosts AS (SELECT host, count(DISTINCT raw) AS texts FROM texts GROUP BY host),
 frequent AS (
-  SELECT host, line FROM lines GROUP BY ALL HAVING count(DISTINCT raw) > {limits.line_documents}),
+  SELECT host, line FROM lines JOIN hosts USING (host) GROUP BY host, line, texts
+  HAVING count(DISTINCT raw) > {limits.line_documents} AND 100 * count(DISTINCT raw) > {limits.line_pct} * texts),
 removed AS (SELECT r, sum(words) AS lost FROM lines JOIN frequent USING (host, line) GROUP BY r),
 measured AS (
   SELECT t.*, len(s.words)::BIGINT AS n_words, length(array_to_string(s.words, ''))::BIGINT AS word_chars,

@@ -77,6 +77,29 @@ def test_copies_of_one_text_count_once(spark):
     assert all(not r["removed_words"] for r in quality_rules.judged(frame(spark, rows)).collect())
 
 
+def test_a_line_is_frequent_by_its_share_of_the_host(spark):
+    template = "terms of use and privacy notice of this site"
+    own = lambda host, n: " ".join(f"{host}{n}x{k}" for k in range(60))
+    sizes = {"small": (25, 20), "template": (30, 21), "large": (2300, 22), "broad": (2300, 24)}
+    rows = [
+        (n, f"{template}\n{own(host, n)}" if n < shared else own(host, n), "en", host, 0)
+        for host, (texts, shared) in sizes.items()
+        for n in range(texts)
+    ]
+    mostly = f"{template}\n" * 50  # depleted where the template is frequent
+    rows += [(9000, f"{mostly}{own('z', 1)}", "en", "broad", 0), (9001, f"{mostly}{own('z', 2)}", "en", "large", 0), (None, None, None, None, 0)]
+    limits = quality_rules.Limits(repeat_pct=100)
+    docs = frame(spark, rows)
+    found = quality_rules.judged(docs, limits).select("host", "doc_id", "removed_words", "kept").collect()
+    assert {r["host"] for r in found if r["removed_words"]} == {"template", "broad"}  # 21 of 30, 25 of 2301
+    assert {r["doc_id"]: r["kept"] for r in found if r["doc_id"] in (9000, 9001)} == {9000: False, 9001: True}
+    given = docs.select("doc_id", "text", "source").toPandas()  # noqa: F841
+    sql = duckdb.sql(f"SELECT doc_id, n_words, removed_words, kept FROM ({quality_rules.sql('given', limits)})")
+    judged = quality_rules.judged(docs, limits).select("doc_id", "n_words", "removed_words", "kept").collect()
+    same = lambda rows: Counter((None if r[0] is None or r[0] != r[0] else int(r[0]), *r[1:]) for r in rows)
+    assert same(map(tuple, judged)) == same(sql.fetchall())
+
+
 @pytest.mark.parametrize("build", ["judged", "passing"])
 def test_quality_of_an_empty_table(spark, build):
     assert getattr(quality_rules, build)(frame(spark, [])).count() == 0
