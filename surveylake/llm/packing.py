@@ -19,8 +19,9 @@ from surveylake.llm.transducer import compiled
 CAPACITY = 2048
 END_ID = 0
 SLICE = 1 << 21
-#: Parts into which the pieces of one length are dealt to be numbered; raise it with the cluster.
-PARTS = 256
+#: Parts into which the pieces of one length are dealt to be numbered: so many, and more where a part would get more
+#: pieces of a length than that, so that no task numbers many.
+PARTS, PART_PIECES = 256, 1 << 17
 
 
 def tokenised_pieces(
@@ -142,16 +143,18 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return found
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, parts: int = PARTS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, parts: int = PARTS, part_pieces: int = PART_PIECES) -> DataFrame:
     """Every piece with `sequence_id` and `offset`; no sequence holds more than the capacity.
 
     `pieces` is read three times and has to be a written table. The driver sees the number of pieces of each length
     (at most `capacity` rows) and sends back the plan, a few rows per length: both are broadcast whole. Pieces of a
-    length are numbered in `parts` dealt parts, so that one frequent length is no single task. Only numbers are
-    shuffled with the columns that the caller goes on to use.
+    length are numbered in `parts` dealt parts, or as many more as keep the parts of the commonest length near
+    `part_pieces`, so that one frequent length is no single task. Only numbers are shuffled with the columns that the
+    caller goes on to use.
     """
     spark = pieces.sparkSession
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    parts = max(parts, -(-max(counts.values(), default=0) // part_pieces))
     schema = "_length bigint, _rank bigint, _bins bigint, _each bigint, _bin bigint, _offset bigint"
     runs = spark.createDataFrame(plan(counts, capacity), schema)
 

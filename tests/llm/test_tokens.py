@@ -215,6 +215,8 @@ def test_packed_documents(spark):
     assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in found) == want
     total = sum(r["length"] for r in found)
     assert count <= -(-total // 2048) + 1
+    dealt = packing.pack(pieces, parts=1, part_pieces=3).collect()
+    assert check_packed(dealt, 2048) == count and len(dealt) == len(found)
     whole = packing.sequences(packed).collect()
     assert len(whole) == count and all(len(r["ids"]) == 4 * r["length"] for r in whole)
     assert packing.pack_documents(frame(spark, []), JSON).count() == 0
