@@ -20,13 +20,14 @@ def main() -> None:
     parser.add_argument("--months", nargs="+", default=ALLOWED_MONTHS, help="two-digit months to read, or `all`")
     parser.add_argument("--years", nargs="+", help="years to read (default: any)")
     parser.add_argument("--delimiter", default=",")
+    parser.add_argument("--unique", nargs="+", default=(), help="silver columns that no two rows should share")
     parser.add_argument("--database", help="register the gold tables in this database as gold_*")
     args = parser.parse_args()
 
     months = ALL_MONTHS if args.months == ["all"] else args.months
 
     spark = build_session()
-    done = refresh_lake(spark, args.drops, args.lake, months, args.years, args.delimiter)
+    done = refresh_lake(spark, args.drops, args.lake, months, args.years, args.delimiter, unique=args.unique)
     print(f"landed: {done.landed}\nretracted: {done.retracted}\nbrought into silver: {done.silver}")
     if args.database:
         ensure_database(spark, args.database)

@@ -187,6 +187,16 @@ def checks(*rows: tuple[str, str, str, str, str]) -> str:
     )
 
 
+def duplicates(keys: str) -> str:
+    """The duplicate check of the rows that a SELECT of the keys alone gives."""
+    return f"""
+        SELECT 'no_duplicates' AS check_name, d = 0 AS passed, '0 duplicates' AS expected,
+          d || ' duplicates' AS actual,
+          'Encontradas ' || d || ' linhas duplicadas (' || {share_text("d", "n", 2)} || '%)' AS message
+        FROM (SELECT n - k AS d, n FROM (
+          SELECT (SELECT COUNT(*) FROM ({keys})) AS n, (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM ({keys}))) AS k))"""
+
+
 def completeness(column: str) -> tuple[str, ...]:
     share = share_text(f"COUNT({column})", "COUNT(*)", 1)
     return (
@@ -446,13 +456,12 @@ ORACLE_SQL |= {
         )
     ),
     "check_domain": survey(checks(UF_VALIDITY)),
-    "check_duplicates": f"""
-        SELECT 'no_duplicates' AS check_name, d = 0 AS passed, '0 duplicates' AS expected,
-          d || ' duplicates' AS actual,
-          'Encontradas ' || d || ' linhas duplicadas (' || {share_text("d", "n", 2)} || '%)' AS message
-        FROM (SELECT n - k AS d, n FROM (
-          SELECT (SELECT COUNT(*) FROM lineitem) AS n,
-                 (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS k))""",
+    "check_duplicates": duplicates("SELECT l_orderkey, l_linenumber FROM lineitem"),
+    "check_duplicates_by_period": duplicates("SELECT l_partkey, l_suppkey FROM lineitem")
+    + " UNION ALL "
+    + duplicates("SELECT l_orderkey, year(l_shipdate), month(l_shipdate) FROM lineitem"),
+    "lake_duplicates": survey(duplicates("SELECT uf, a002, v1032 FROM silver")),
+    "noted_partitions": survey("SELECT ano, v1013, COUNT(*) AS n_rows FROM silver WHERE v1013 <> '9' GROUP BY ALL"),
     "check_range": checks(outside("p_size", 1, 40, "part"), outside("l_quantity", 1, 50, "lineitem")),
     "check_expected_set": """
         WITH found AS (SELECT DISTINCT CAST(month(ts) AS INTEGER) AS value FROM events),

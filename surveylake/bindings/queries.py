@@ -19,7 +19,7 @@ from surveylake.plans import gold, reports
 from surveylake.plans.lake import refresh_lake
 from surveylake.plans.silver import build_silver, filter_months
 from surveylake.session import remove_paths, scratch_path
-from surveylake.sources import archives, catalog, delimited, layers
+from surveylake.sources import archives, catalog, delimited, layers, manifest
 from surveylake.sources.published import publish, published
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -547,6 +547,54 @@ def check_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return quality.check_duplicates(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query
+def check_duplicates_by_period(spark: SparkSession, d: str) -> DataFrame:
+    """Repeats among all rows from counts kept per shipping month, with keys that months share and with the month itself."""
+    period = ["ano", "v1013"]
+    rows = table(spark, d, "lineitem").select(
+        "*", F.year("l_shipdate").cast("string").alias("ano"), F.month("l_shipdate").cast("string").alias("v1013")
+    )
+    checks = []
+    for keys in (["l_partkey", "l_suppkey"], ["l_orderkey", "v1013", "ano"]):
+        path = scratch_path(spark, "key-counts")
+        counts = quality.key_counts(rows, keys, period)
+        layers.write_silver(counts, path)
+        checks.append(quality.duplicates_of_counts(spark.read.schema(counts.schema).parquet(path), keys, period))
+    return quality.union_checks(*checks)
+
+
+@query
+def lake_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    """The duplicate check of a lake that grew and had a period corrected, as its last refresh wrote it."""
+    drops, lake = scratch_path(spark, "drops"), scratch_path(spark, "lake")
+    rows, keys = bronze(spark, d), ["uf", "a002", "v1032"]
+    write_archives(rows.withColumn("uf", F.lit("99")).where("v1013 = '9'"), f"{drops}/first")
+    write_archives(rows.where("v1013 = '10'"), f"{drops}/second")
+    refresh_lake(spark, f"{drops}/*", lake, unique=keys)
+    remove_paths(spark, [f"{drops}/first"])
+    write_archives(rows.where("v1013 = '9'"), f"{drops}/first")
+    write_archives(rows.where("v1013 = '11'"), f"{drops}/third")
+    refresh_lake(spark, f"{drops}/*", lake, unique=keys)
+    runs = spark.read.parquet(f"{lake}/quality").where("check_name = 'no_duplicates'")
+    last = spark.read.parquet(f"{lake}/quality").where("check_name = 'columns_2020_11'").select("run_id")
+    return runs.join(last, "run_id", "left_semi").drop("run_id")
+
+
+@query
+def noted_partitions(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per partition of a table that is registered from the notes of a layer, after months came, changed and went."""
+    root, database = scratch_path(spark, "noted"), _database(spark)
+    rows = silver(spark, d)
+    layers.write_silver(rows.where("v1013 <> '11'"), f"{root}/silver")
+    manifest.repair_notes(spark, root, "silver")
+    catalog.register_noted(spark, database, root, {"silver": SILVER_SCHEMA})
+    layers.write_silver(rows.where("v1013 = '11'"), f"{root}/silver", existing="replace_periods")
+    remove_paths(spark, [layers.period_directory(spark, f"{root}/silver", ("2020", "9"))])
+    manifest.note_periods(spark, root, {"silver": [("2020", "11")]}, {"silver": [("2020", "9")]})
+    catalog.register_noted(spark, database, root, {"silver": SILVER_SCHEMA})
+    return spark.table(f"{database}.silver").groupBy("ano", "v1013").agg(metrics.row_count().alias("n_rows"))
+
+
 @query
 def check_range(spark: SparkSession, d: str) -> DataFrame:
     parts = quality.check_range(table(spark, d, "part"), "p_size", 1, 40)

@@ -48,7 +48,7 @@ def discover_periods(
         return spark.createDataFrame([], strings(keys))
     found = files.select(*[F.regexp_extract("path", f"/{key}=([^/]*)/", 1).alias(key) for key in keys])
     named = found.where(reduce(and_, [F.col(key) != "" for key in keys])).distinct()
-    return named.select(*[_key_value(F.col(key)).alias(key) for key in keys])
+    return named.select(*[key_value(F.col(key)).alias(key) for key in keys])
 
 
 def missing_periods(discovered: DataFrame, registered: DataFrame, keys: Sequence[str] = BRONZE_PERIOD) -> DataFrame:
@@ -94,7 +94,7 @@ def any_period(periods: Sequence[tuple], keys: Sequence[str]) -> Column:
     return reduce(or_, [reduce(and_, [_is(F.col(k), v) for k, v in zip(keys, p)]) for p in periods])
 
 
-def _key_value(name: Column) -> Column:
+def key_value(name: Column) -> Column:
     """The value behind a directory name, which Spark percent-encodes."""
     return F.url_decode(F.replace(F.nullif(name, F.lit(NULL_DIRECTORY)), F.lit("+"), F.lit("%2B")))
 

@@ -86,9 +86,42 @@ def check_domain(
 def check_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """No two rows share the keys; NULL keys are equal. Rows are counted per key before they are shuffled."""
     per_key = df.groupBy(*keys).agg(row_count().alias("n"))
-    totals = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), row_count().alias("n_keys")
-    ).withColumn("n", F.col("n_rows") - F.col("n_keys"))
+    return _duplicates_row(per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), row_count().alias("n_keys")))
+
+
+def key_counts(df: DataFrame, keys: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows per distinct keys within each group of `by`: these columns, `_hash` of the keys, and `_n`.
+
+    Kept per period, such counts take the place of the rows when repeats are looked for across periods.
+    """
+    columns = [*by, *[key for key in keys if key not in by]]
+    counted = df.groupBy(*columns).agg(row_count().alias("_n"))
+    return counted.select(*columns, F.xxhash64(*keys).alias("_hash"), "_n")
+
+
+def duplicates_of_counts(counts: DataFrame, keys: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """What `check_duplicates` gives for the rows behind `key_counts`, exactly.
+
+    Groups whose columns are among the keys share none, so their counts add up without a shuffle. Otherwise hashes
+    alone are shuffled; the keys themselves are compared only where a hash is found more than once, be it by the same
+    keys in two groups or by other keys of equal hash.
+    """
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"), row_count().alias("n_keys"))
+    if set(by) <= set(keys):
+        return _duplicates_row(total)
+    per_hash = counts.groupBy("_hash").agg(row_count().alias("_entries"))
+    alone = per_hash.agg(count_where(F.col("_entries") == 1).alias("n"))
+    again = counts.join(per_hash.where("_entries > 1").select("_hash"), "_hash", "left_semi")
+    compared = again.groupBy(*keys).agg(row_count().alias("_entries")).agg(row_count().alias("n"))
+    distinct = alone.unionByName(compared).agg(F.sum("n").alias("n_keys"))
+    rows = total.select("n_rows", F.lit(None).cast("bigint").alias("n_keys"))
+    both = rows.unionByName(distinct.select(F.lit(None).cast("bigint").alias("n_rows"), "n_keys"))
+    return _duplicates_row(both.agg(F.max("n_rows").alias("n_rows"), F.max("n_keys").alias("n_keys")))
+
+
+def _duplicates_row(totals: DataFrame) -> DataFrame:
+    """The check row from one row of `n_rows` and `n_keys`."""
+    totals = totals.withColumn("n", F.col("n_rows") - F.col("n_keys"))
     count = F.col("n").cast("string")
     share = F.coalesce(_percent_text(F.col("n"), F.col("n_rows"), 2), F.lit("0.00"))
     message = F.concat(F.lit("Encontradas "), count, F.lit(" linhas duplicadas ("), share, F.lit("%)"))

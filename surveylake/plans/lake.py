@@ -20,6 +20,7 @@ from surveylake.sources.archives import (
 )
 from surveylake.sources.files import can_open_in_place
 from surveylake.sources.layers import load_if_present, period_directory, read_periods, write_silver
+from surveylake.sources.manifest import note_periods, noted_periods, read_noted, stale_periods
 from surveylake.sources.published import publish
 
 # What a ledger says of an archive: that a version of it was landed, or that one was retracted.
@@ -59,6 +60,7 @@ def refresh_lake(
     years: Iterable[str] | None = None,
     delimiter: str = ",",
     withdraw: bool = True,
+    unique: Sequence[str] = (),
 ) -> LakeRefresh:
     """Brings the lake below `root` up to date with the archives in `drops`; `ALL_MONTHS` takes every month.
 
@@ -68,7 +70,9 @@ def refresh_lake(
     carries are built anew from the landed lines of all live versions that carry them, so silver is what a full
     rebuild of the live archives would give; the other periods keep their files. Gold tables and check results are
     added up from summaries of which only the changed periods are computed; the six gold tables are published together,
-    and `published` names those shown.
+    and `published` names those shown. With `unique`, silver columns that no two rows should share, the checks say how
+    many rows do, in the whole lake; rows per distinct keys are kept by period for that, and counted for all periods
+    the first time. The periods of silver and of the summaries are noted as they change (`noted_periods`).
 
     Landing, silver and gold have a ledger each, written after their work, so the next run makes good whatever one
     that stopped early has left. Drops without data lines, or without archives, are brought in like others.
@@ -111,6 +115,9 @@ def refresh_lake(
         checks = quality.suite_of_counts(_summary(spark, root, "suite-counts"))
         if pieces:
             checks = quality.union_checks(quality.check_columns(absent_columns(layouts, delimiter=delimiter)), checks)
+        if unique:
+            counts = _up_to_date_key_counts(spark, root, unique)
+            checks = quality.union_checks(checks, quality.duplicates_of_counts(counts, unique, SILVER_PERIOD))
         quality.save_results(checks, f"{root}/quality", run)
         _append(spark, unreported, LEDGER, f"{root}/gold-archives")
     return done
@@ -163,6 +170,8 @@ def _bring_into_silver(spark: SparkSession, root: str, live: Sequence[Row], pend
         gone = [period for period in periods if period not in holds]
         remove_paths(spark, [period_directory(spark, f"{root}/{layer}", p) for p in gone for layer in ("silver", *SUMMARIES)])
         refresh_summaries(spark, f"{root}/silver", root, held)
+        layers = ("silver", *SUMMARIES)
+        note_periods(spark, root, {layer: held for layer in layers}, {layer: gone for layer in layers})
         finished.update(periods)
         ready = [e for e in pending if (e.version, e.event) not in entered and carries.get(e.version, set()) <= finished]
         _append(spark, ready, LEDGER, f"{root}/silver-archives")
@@ -201,6 +210,26 @@ def refresh_summaries(spark: SparkSession, silver: str, root: str, changed: Sequ
         write_silver(summary(rows, SILVER_PERIOD), f"{root}/{name}", existing="replace_periods")
 
 
+def _up_to_date_key_counts(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+    """Rows per distinct keys of all silver periods, of which only those written since they were last counted are read.
+
+    Counts by other keys have a layer of their own. A lake whose silver was never noted is noted from its ledger first.
+    """
+    layer = f"key-counts-{'-'.join(keys)}"
+    if noted_periods(spark, root, "silver").isEmpty():
+        versions = {v.version for v in _live(_ledger(spark, f"{root}/silver-archives", LEDGER))}
+        carried = _ledger(spark, f"{root}/carried", CARRIED)
+        note_periods(spark, root, {"silver": sorted({(c.ano, c.v1013) for c in carried if c.version in versions}, key=str)})
+    changed, gone = stale_periods(spark, root, "silver", layer)
+    if changed:
+        rows = read_periods(spark, f"{root}/silver", SILVER_SCHEMA, changed)
+        write_silver(quality.key_counts(rows, keys, SILVER_PERIOD), f"{root}/{layer}", existing="replace_periods")
+    remove_paths(spark, [period_directory(spark, f"{root}/{layer}", period) for period in gone])
+    note_periods(spark, root, {layer: changed}, {layer: gone})
+    schema = quality.key_counts(spark.createDataFrame([], SILVER_SCHEMA), keys, SILVER_PERIOD).schema
+    return read_noted(spark, root, layer, schema)
+
+
 def _summary(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A summary of all periods; without rows where silver has none."""
     schema = SUMMARIES[name](spark.createDataFrame([], SILVER_SCHEMA), SILVER_PERIOD).schema

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveylake.contract import BRONZE_PERIOD
-from surveylake.operators.periods import discover_periods, period_status
+from surveylake.operators.periods import discover_periods, key_value, missing_periods, period_status
+from surveylake.sources.layers import period_directory
+from surveylake.sources.manifest import noted_layers, noted_periods
 from surveylake.sources.published import published
 
 
@@ -59,13 +61,15 @@ def registered_periods(spark: SparkSession, name: str, keys: Sequence[str] = BRO
 
 
 def register_partitions(
-    spark: SparkSession, name: str, path: str, keys: Sequence[str] = BRONZE_PERIOD
+    spark: SparkSession, name: str, path: str, keys: Sequence[str] = BRONZE_PERIOD, periods: DataFrame | None = None
 ) -> list[tuple]:
     """Adds the partitions found below `path` that the catalog lacks; returns (keys..., status) for each found.
 
-    One statement adds them all; running it again adds nothing.
+    `periods` are those that the layer is known to hold (`noted_periods`); without them its files are listed. One
+    statement adds them all; running it again adds nothing.
     """
-    status = period_status(discover_periods(spark, path, keys), registered_periods(spark, name, keys), keys)
+    found = discover_periods(spark, path, keys) if periods is None else periods.select(*keys)
+    status = period_status(found, registered_periods(spark, name, keys), keys)
     found = sorted((tuple(row) for row in status.collect()), key=str)
     added = [row for row in found if row[-1] == "added"]
     parts = []
@@ -95,6 +99,40 @@ def register_layer(spark: SparkSession, database: str, root: str, prefix: str =
     return created
 
 
+def register_noted(spark: SparkSession, database: str, root: str, schemas: Mapping[str, T.StructType], prefix: str = "") -> dict[str, list[tuple]]:
+    """External Parquet tables over noted layers of a lake, with the partitions that they hold and no other.
+
+    `schemas` has the layers to register, with their columns. Nothing is listed: partitions come from the notes, those
+    that the layer no longer holds are dropped from the table, and running it again changes nothing. Returns the
+    partitions added to each table.
+    """
+    changed = {}
+    for layer, keys in noted_layers(spark, root):
+        if layer not in schemas:
+            continue
+        table, path = f"{prefix}{layer}".replace("-", "_"), f"{root}/{layer}"
+        name = f"{database}.{table}"
+        if not spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas[layer].fields if f.name not in keys)
+            columns += "".join(f", `{key}` string" for key in keys)
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(keys)}) LOCATION '{path}'")
+        held = noted_periods(spark, root, layer, keys).select(*keys)
+        known = registered_periods(spark, name, keys).select(*[key_value(F.col(key)).alias(key) for key in keys])
+        added, gone = [sorted(map(tuple, df.collect()), key=str) for df in (missing_periods(held, known, keys), missing_periods(known, held, keys))]
+        if added:
+            parts = [f"PARTITION ({_spec(keys, p)}) LOCATION '{period_directory(spark, path, p, keys)}'" for p in added]
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(parts)}")
+        if gone:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(f'PARTITION ({_spec(keys, p)})' for p in gone)}")
+        spark.catalog.refreshTable(name)
+        changed[table] = added
+    return changed
+
+
+def _spec(keys: Sequence[str], period: tuple) -> str:
+    return ", ".join(f"`{key}`=" + ("null" if value is None else f"'{value}'") for key, value in zip(keys, period))
+
+
 def register_published(spark: SparkSession, database: str, root: str, prefix: str = "") -> list[str]:
     """External Parquet tables over the published version below `root`; returns the names that are new or were moved.
 
