@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # State code, name as the silver layer writes it, name with accents.
@@ -63,6 +63,10 @@ STATE_NAMES_ACCENTED = {code: accented for code, _, accented in STATES}
 
 ACCENTED, UNACCENTED = "áàâãäéèêëíìîïóòôõöúùûüçñ", "aaaaaeeeeiiiiooooouuuucn"
 
+# Numbers in a bucket, as a power of two, in which codes meet ranges: what one group of a window may hold.
+BUCKET_BITS = 12
+
+
 def code_label(code: Column, book: Mapping, default: str | Column) -> Column:
     """Label of an exactly matching code; any other code and NULL get the default.
 
@@ -108,30 +112,78 @@ def label_from_ranges(
     """Label of the inclusive whole-number range of a table that holds the code; other codes and NULL get the default.
 
     Ranges that hold a number twice are an error; those with a NULL end, or that end before they begin, hold none.
-    A range is filed under its size class, the power of two above its length, in the one or two buckets of that width
-    that it touches. A code looks into one bucket for every size class there is, 64 at most, and finds at most three
-    ranges there; so this is a join on equal keys, however many ranges there are and however long some of them.
+    Numbers are dealt into buckets of a fixed width. A range is cut into its piece in the bucket where it begins, its
+    piece in the bucket where it ends, and the whole buckets between, which are a range of bucket numbers and are looked
+    up by the same means, six times at most. As ranges share no number, a code is held by the piece that begins last
+    before it in its bucket or by none, so codes and pieces are shuffled once each, however many ranges there are and
+    however long some of them, and a bucket never holds more codes and pieces than its width.
     Distinct codes are looked up, so a frequent code is no hot key there, and then joined to their rows.
     """
     filed = ranges.select(F.col(low).cast("bigint").alias("_low"), F.col(high).cast("bigint").alias("_high"), F.col(value).alias("_value"))
-    filed = filed.where("_low <= _high").withColumn("_class", F.length(F.bin(F.col("_high") - F.col("_low"))))
-    buckets = F.expr("sequence(shiftright(_low, _class), shiftright(_high, _class))")
-    filed = filed.withColumn("_bucket", F.explode(buckets))
-    classes = F.array(*[F.lit(row[0]) for row in filed.select("_class").distinct().orderBy("_class").collect()]).cast("array<int>")
-
-    def found(codes: DataFrame) -> DataFrame:
-        probes = codes.select("_code", F.explode(classes).alias("_class")).withColumn("_bucket", F.expr("shiftright(_code, _class)"))
-        return probes.join(filed, ["_class", "_bucket"]).where("_code BETWEEN _low AND _high").select("_code", "_value")
-
-    begins = ranges.select(F.col(low).cast("bigint").alias("_code")).where(F.col("_code") <= F.col(high))
-    twice = found(begins.distinct()).groupBy("_code").count().where("count > 1").orderBy("_code").take(1)
+    levels = [filed.where("_low <= _high")]
+    while not (inner := _whole_buckets(levels[-1])).isEmpty():
+        levels.append(inner)
+    twice = _held_twice(levels).orderBy("_code").take(1)
     if twice:
         raise ValueError(f"ranges overlap at {twice[0]['_code']}")
-    known = found(df.select(F.col(code).cast("bigint").alias("_code")).where("_code IS NOT NULL").distinct())
-    joined = df.join(known, F.col(code).cast("bigint") == F.col("_code"), "left")
+    codes = df.select(F.col(code).cast("bigint").alias("_code")).where("_code IS NOT NULL").distinct()
+    joined = df.join(_held(codes, levels), F.col(code).cast("bigint") == F.col("_code"), "left")
     return joined.select(*df.columns, F.coalesce("_value", F.lit(default)).alias(label))
 
 
+def _bucket(number: str) -> Column:
+    return F.shiftright(number, BUCKET_BITS)
+
+
+def _bucket_start(bucket: str | Column) -> Column:
+    return F.shiftleft(bucket, BUCKET_BITS)
+
+
+def _bucket_end(bucket: str | Column) -> Column:
+    return _bucket_start(bucket).bitwiseOR(F.lit((1 << BUCKET_BITS) - 1).cast("bigint"))
+
+
+def _whole_buckets(ranges: DataFrame) -> DataFrame:
+    """The buckets between the ends of each range, as ranges of bucket numbers."""
+    inner = ranges.select((_bucket("_low") + 1).alias("_low"), (_bucket("_high") - 1).alias("_high"), "_value")
+    return inner.where("_low <= _high")
+
+
+def _pieces(ranges: DataFrame) -> DataFrame:
+    """Each range in the bucket where it begins and in the one where it ends; a piece lies in one bucket."""
+    begins = F.struct(F.col("_low"), F.least("_high", _bucket_end(_bucket("_low"))).alias("_high"), "_value")
+    ends = F.struct(_bucket_start(_bucket("_high")).alias("_low"), F.col("_high"), "_value")
+    apart = _bucket("_low") < _bucket("_high")
+    return ranges.select(F.inline(F.when(apart, F.array(begins, ends)).otherwise(F.array(begins))))
+
+
+def _held(codes: DataFrame, levels: Sequence[DataFrame]) -> DataFrame:
+    """The codes, which are distinct, that a range of the first level holds: `_code`, `_value`."""
+    pieces = _pieces(levels[0])
+    if len(levels) > 1:
+        buckets = _held(codes.select(_bucket("_code").alias("_code")).distinct(), levels[1:])
+        pieces = pieces.unionByName(buckets.select(_bucket_start("_code").alias("_low"), _bucket_end("_code").alias("_high"), "_value"))
+    begins = pieces.select(F.col("_low").alias("_code"), F.struct("_high", "_value").alias("_piece"))
+    points = begins.unionByName(codes, allowMissingColumns=True)
+    order = Window.partitionBy(_bucket("_code")).orderBy("_code", F.col("_piece").isNull())
+    last = F.last("_piece", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = points.withColumn("_last", last).where("_piece IS NULL AND _code <= _last._high")
+    return found.select("_code", F.col("_last._value").alias("_value"))
+
+
+def _held_twice(levels: Sequence[DataFrame]) -> DataFrame:
+    """Numbers (`_code`) that two ranges of the first level hold, the smallest among them; no row if there is none."""
+    pieces = _pieces(levels[0])
+    next_low = F.lead("_low").over(Window.partitionBy(_bucket("_low")).orderBy("_low"))
+    twice = pieces.withColumn("_code", next_low).where("_code <= _high").select("_code")
+    if len(levels) > 1:
+        buckets = pieces.select("_low", _bucket("_low").alias("_code"))
+        covered = _held(buckets.select("_code").distinct(), levels[1:])
+        twice = twice.unionByName(buckets.join(covered, "_code", "left_semi").select(F.col("_low").alias("_code")))
+        twice = twice.unionByName(_held_twice(levels[1:]).select(_bucket_start("_code").alias("_code")))
+    return twice
+
+
 def fold_name(name: Column) -> Column:
     """Lower case without accents, for comparing names."""
     return F.translate(F.lower(name), ACCENTED, UNACCENTED)

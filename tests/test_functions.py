@@ -171,3 +171,26 @@ def test_overlapping_ranges_are_an_error(spark, ranges):
     table = spark.createDataFrame([(a, b, "x") for a, b in ranges], "low bigint, high bigint, name string")
     with pytest.raises(ValueError, match="overlap"):
         labels.label_from_ranges(spark.createDataFrame([(1,)], "code bigint"), "code", table, "low", "high", "name", "label", "none")
+
+
+def test_range_lookup_meets_a_code_once_whatever_the_lengths_of_the_ranges(spark):
+    rnd, at, ranges = random.Random(2), -(1 << 62), []
+    for bits in [*range(61), 3, 13, 25]:
+        end = at + rnd.randrange(1 << bits)
+        ranges.append((at, end, f"r{bits}"))
+        at = end + 1 + rnd.choice([0, 5000])
+    table = spark.createDataFrame(ranges, "low bigint, high bigint, name string")
+    codes = [c for a, b, _ in ranges for c in (a - 1, a, (a + b) // 2, b, b + 1, rnd.randint(a, b))]
+    rows = spark.createDataFrame([(c,) for c in codes], "code bigint")
+    found = labels.label_from_ranges(rows, "code", table, "low", "high", "name", "label", "none")
+    want = [(c, next((n for a, b, n in ranges if a <= c <= b), "none")) for c in codes]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    # A row per code and size class is what the lookup must not shuffle.
+    assert "explode(" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("ranges, smallest", [([(0, 1 << 40), (9000, 9001), (1 << 39, 1 << 41)], 9000), ([(-9, 1 << 30), (8192, 1 << 29), (1 << 30, 1 << 31)], 8192)])
+def test_the_smallest_number_that_ranges_share_is_named(spark, ranges, smallest):
+    table = spark.createDataFrame([(a, b, "x") for a, b in ranges], "low bigint, high bigint, name string")
+    with pytest.raises(ValueError, match=f"overlap at {smallest}$"):
+        labels.label_from_ranges(spark.createDataFrame([(1,)], "code bigint"), "code", table, "low", "high", "name", "label", "none")
