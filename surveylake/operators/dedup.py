@@ -2,16 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Marks of packed rows: between texts, and in the place of NULL. Rows whose texts hold one are kept as they are.
+SEPARATOR, NULL = "\x1f", "\x00"
+PACKED, MARKED = "_packed_texts", "_marked_texts"
+
+# Text columns from which on packing pays.
+FEWEST_PACKED = 4
+
 
 def dedup_rows(df: DataFrame) -> DataFrame:
     """Distinct rows over every column.
 
-    Copies within a task collapse before the shuffle, so a row that is repeated very often is not a hot key.
+    Copies within a task collapse before the shuffle, so a row that is repeated very often is not a hot key. Tasks hold
+    their distinct rows for that: text columns are packed into one, as of many short codes each would take 16 bytes.
     """
-    return df.dropDuplicates()
+    texts = [name for name, kind in df.dtypes if kind == "string"]
+    if len(texts) < FEWEST_PACKED or len(set(df.columns)) < len(df.columns) or {PACKED, MARKED} & set(df.columns):
+        return df.dropDuplicates()
+    others = [F.col(_quoted(name)) for name in df.columns if name not in texts]
+    packed = df.select(*others, *_packed([F.col(_quoted(name)) for name in texts])).dropDuplicates()
+    parts = packed.withColumn(PACKED, F.coalesce(MARKED, F.split(PACKED, SEPARATOR)))
+    return parts.select(*[_unpacked(texts.index(c)).alias(c) if c in texts else F.col(_quoted(c)) for c in df.columns])
+
+
+def _packed(texts: list[Column]) -> list[Column]:
+    """The texts as one, or as an array where one of them holds a mark or no valid text."""
+    whole = F.concat_ws("", *texts)
+    marked = ~F.is_valid_utf8(whole) | whole.contains(SEPARATOR) | whole.contains(NULL)
+    plain = F.concat_ws(SEPARATOR, *[F.coalesce(text, F.lit(NULL)) for text in texts])
+    return [F.when(~marked, plain).alias(PACKED), F.when(marked, F.array(*texts)).alias(MARKED)]
+
+
+def _unpacked(place: int) -> Column:
+    text = F.get(F.col(PACKED), F.lit(place))
+    return F.when(F.col(MARKED).isNotNull() | (text != NULL), text)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def dedup_rows_by_hash(df: DataFrame) -> DataFrame:

@@ -127,6 +127,24 @@ def test_dedup_of_a_row_that_is_a_third_of_the_data(spark):
     assert dedup.dedup_rows(df).count() == dedup.dedup_rows_by_hash(df).count() == 20001
 
 
+def test_packed_rows_come_back_as_they_were(spark):
+    values = [None, "", "a", "\x00", "\x1f", "a\x1f", "\x00\x1f", "é"]
+    found = [(x, y, z, "same", n) for x in values for y in values for z in values for n in (1, None)]
+    kind = "x string, y string, `z.z` string, w string, n int"
+    distinct = dedup.dedup_rows(spark.createDataFrame(found * 2, kind))
+    assert sorted(map(repr, map(tuple, distinct.collect()))) == sorted(map(repr, found))
+    assert distinct.columns == ["x", "y", "z.z", "w", "n"]
+    broken = spark.range(6).select(*[F.expr(f"cast(unhex(element_at(array('ff', 'fe', '41'), cast(id % 3 as int) + 1)) as string) AS c{i}") for i in range(5)])
+    assert sorted(bytes(r[0]) for r in dedup.dedup_rows(broken).select(F.col("c4").cast("binary")).collect()) == [b"A", b"\xfe", b"\xff"]
+
+
+def test_rows_of_many_short_texts_are_compared_as_one_text(spark):
+    df = spark.range(10).select(*[F.col("id").cast("string").alias(f"c{i}") for i in range(20)])
+    plan = dedup.dedup_rows(df)._jdf.queryExecution().executedPlan().toString()
+    partial = next(line for line in plan.splitlines() if "HashAggregate(keys=[" in line)
+    assert partial.count("c1") == 0 and partial.split("keys=[")[1].split("]")[0].count(",") == 1
+
+
 def make_archive(path, members):
     path.parent.mkdir(parents=True, exist_ok=True)
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
