@@ -24,7 +24,7 @@ def dedup_rows(df: DataFrame) -> DataFrame:
         return df.dropDuplicates()
     others = [F.col(_quoted(name)) for name in df.columns if name not in texts]
     packed = df.select(*others, *_packed([F.col(_quoted(name)) for name in texts])).dropDuplicates()
-    parts = packed.withColumn(PACKED, F.coalesce(MARKED, F.split(PACKED, SEPARATOR)))
+    parts = packed.withColumn(PACKED, F.coalesce(MARKED, F.transform(F.split(PACKED, SEPARATOR), lambda text: F.when(text != NULL, text))))
     return parts.select(*[_unpacked(texts.index(c)).alias(c) if c in texts else F.col(_quoted(c)) for c in df.columns])
 
 
@@ -37,8 +37,7 @@ def _packed(texts: list[Column]) -> list[Column]:
 
 
 def _unpacked(place: int) -> Column:
-    text = F.get(F.col(PACKED), F.lit(place))
-    return F.when(F.col(MARKED).isNotNull() | (text != NULL), text)
+    return F.get(F.col(PACKED), F.lit(place))
 
 
 def _quoted(name: str) -> str:
