@@ -31,8 +31,8 @@ def dedup_rows(df: DataFrame) -> DataFrame:
 def _packed(texts: list[Column]) -> list[Column]:
     """The texts as one, or as an array where one of them holds a mark or no valid text."""
     whole = F.concat_ws("", *texts)
-    marked = ~F.is_valid_utf8(whole) | whole.contains(SEPARATOR) | whole.contains(NULL)
     plain = F.concat_ws(SEPARATOR, *[F.coalesce(text, F.lit(NULL)) for text in texts])
+    marked = ~F.is_valid_utf8(plain) | whole.contains(SEPARATOR) | whole.contains(NULL)
     return [F.when(~marked, plain).alias(PACKED), F.when(marked, F.array(*texts)).alias(MARKED)]
 
 

@@ -136,6 +136,8 @@ def test_packed_rows_come_back_as_they_were(spark):
     assert distinct.columns == ["x", "y", "z.z", "w", "n"]
     broken = spark.range(6).select(*[F.expr(f"cast(unhex(element_at(array('ff', 'fe', '41'), cast(id % 3 as int) + 1)) as string) AS c{i}") for i in range(5)])
     assert sorted(bytes(r[0]) for r in dedup.dedup_rows(broken).select(F.col("c4").cast("binary")).collect()) == [b"A", b"\xfe", b"\xff"]
+    halves = spark.range(1).selectExpr("cast(unhex('C3') as string) a", "cast(unhex('A9') as string) b", "'' c", "'' d")
+    assert bytes(dedup.dedup_rows(halves).select(F.col("b").cast("binary")).first()[0]) == b"\xa9"
 
 
 def test_rows_of_many_short_texts_are_compared_as_one_text(spark):
