@@ -7,12 +7,16 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveylake.contract import CORE_COLUMNS
 from surveylake.sources.files import open_for_writing
 
+# Bytes of lines that a task gathers before it writes them as archives.
+ARCHIVE_BYTES = 128 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -53,11 +57,35 @@ def with_bronze_period(bronze: DataFrame) -> DataFrame:
     return bronze.withColumns({"year": F.col("ano"), "month": F.lpad("v1013", 2, "0")})
 
 
+class Packing:
+    """An archive of one period that grows in memory by lines, compressed."""
+
+    def __init__(self, period: str, header: str):
+        self.n_rows, self._packed = 0, io.BytesIO()
+        self._archive = zipfile.ZipFile(self._packed, "w", zipfile.ZIP_DEFLATED, compresslevel=1)
+        self._member = self._archive.open(f"dados/{period}.csv", "w")
+        self._member.write(f"{header}\r\n".encode())
+
+    def add(self, lines: pa.Array) -> int:
+        """Returns how many bytes the lines have."""
+        raw = pc.binary_join(pa.ListArray.from_arrays([0, len(lines)], lines), "\r\n")[0].as_buffer()
+        self._member.write(raw)
+        self._member.write(b"\r\n")
+        self.n_rows += len(lines)
+        return raw.size + 2
+
+    def close(self) -> bytes:
+        self._member.close()
+        self._archive.writestr("dados/leia-me.txt", "not data\n")
+        self._archive.close()
+        return self._packed.getvalue()
+
+
 def write_archives(bronze: DataFrame, root: str) -> None:
     """Zips the rows of each task as monthly archives below `root`, each with one CSV member and one other file.
 
     A row's columns are upper-case in the file. Archive names hold the task's number, so a retried task
-    writes the same files again.
+    writes the same files again. A task holds at most `ARCHIVE_BYTES` of lines, compressed, before it writes them.
     """
     lines = with_bronze_period(bronze).select(
         F.concat("month", "year").alias("period"),
@@ -67,17 +95,25 @@ def write_archives(bronze: DataFrame, root: str) -> None:
     header = ",".join(bronze.columns).upper()
 
     def zip_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, batch in enumerate(batches):
-            frame = batch.to_pandas()
-            for period, rows in frame.groupby("period"):
-                name = f"{root}/MICRODADOS_{int(rows.task.iloc[0])}_{number}_{period}.zip"
-                packed = io.BytesIO()
-                with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-                    archive.writestr(f"dados/{period}.csv", "\r\n".join([header, *rows.line]) + "\r\n")
-                    archive.writestr("dados/leia-me.txt", "not data\n")
-                with open_for_writing(name) as stream:
-                    stream.write(packed.getvalue())
-                yield pa.RecordBatch.from_pydict({"path": [name], "n_rows": [len(rows)]})
+        held, size, number = {}, 0, 0
+        for batch in batches:
+            task = batch.column("task")[0].as_py() if batch.num_rows else 0
+            for period in batch.column("period").unique().drop_null().to_pylist():
+                rows = batch.filter(pc.equal(batch.column("period"), period)).column("line")
+                packed = held.setdefault(period, Packing(period, header))
+                size += packed.add(rows)
+            if size >= ARCHIVE_BYTES:
+                yield written(held, task, number)
+                held, size, number = {}, 0, number + 1
+        if held:
+            yield written(held, task, number)
+
+    def written(held: dict[str, Packing], task: int, number: int) -> pa.RecordBatch:
+        names = [f"{root}/MICRODADOS_{task}_{number}_{period}.zip" for period in held]
+        for name, packed in zip(names, held.values()):
+            with open_for_writing(name) as stream:
+                stream.write(packed.close())
+        return pa.RecordBatch.from_pydict({"path": names, "n_rows": [packed.n_rows for packed in held.values()]})
 
     lines.mapInArrow(zip_rows, "path string, n_rows long").write.format("noop").mode("overwrite").save()
 

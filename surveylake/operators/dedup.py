@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,21 +15,26 @@ PACKED, MARKED = "_packed_texts", "_marked_texts"
 FEWEST_PACKED = 4
 
 
-def dedup_rows(df: DataFrame) -> DataFrame:
+def dedup_rows(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Distinct rows over every column.
 
     Copies within a task collapse before the shuffle, so a row that is repeated very often is not a hot key. Tasks hold
     their distinct rows for that: text columns are packed into one, as of many short codes each would take 16 bytes.
+    With `by`, names of columns, the distinct rows are rebalanced by these while they are packed.
     """
-    texts = [name for name, kind in df.dtypes if kind == "string"]
+    texts = [name for name, kind in df.dtypes if kind == "string" and name not in by]
     if len(texts) < FEWEST_PACKED or len(set(df.columns)) < len(df.columns) or {PACKED, MARKED} & set(df.columns):
-        return df.dropDuplicates()
+        return _rebalanced(df.dropDuplicates(), by)
     others = [F.col(_quoted(name)) for name in df.columns if name not in texts]
     packed = df.select(*others, *_packed([F.col(_quoted(name)) for name in texts])).dropDuplicates()
-    parts = packed.withColumn(PACKED, F.coalesce(MARKED, F.transform(F.split(PACKED, SEPARATOR), lambda text: F.when(text != NULL, text))))
+    parts = _rebalanced(packed, by).withColumn(PACKED, F.coalesce(MARKED, F.transform(F.split(PACKED, SEPARATOR), lambda text: F.when(text != NULL, text))))
     return parts.select(*[_unpacked(texts.index(c)).alias(c) if c in texts else F.col(_quoted(c)) for c in df.columns])
 
 
+def _rebalanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    return df.hint("rebalance", *by) if by else df
+
+
 def _packed(texts: list[Column]) -> list[Column]:
     """The texts as one, or as an array where one of them holds a mark or no valid text."""
     whole = F.concat_ws("", *texts)

@@ -5,12 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from surveylake.contract import BRONZE_PERIOD, CORE_COLUMNS, SILVER_PERIOD, SILVER_SCHEMA
 from surveylake.operators import quality
+from surveylake.operators.dedup import dedup_rows
 from surveylake.operators.periods import ALLOWED_MONTHS, any_period
 from surveylake.plans.gold import shared_aggregate, write_gold_from_shared
 from surveylake.plans.silver import build_silver
@@ -156,7 +158,7 @@ def _bring_into_silver(spark: SparkSession, root: str, live: Sequence[Row], pend
     touched = {period for event in pending for period in carries.get(event.version, ())}
     sources = {version for period in touched for version in holds.get(period, ())}
     pieces = _pieces(spark, root, sources)
-    size = {v: sum(p.bytes for p in pieces if p[LANDING[1]] == v) for v in sources}
+    size = dict.fromkeys(sources, 0) | version_bytes(pieces)
     # A version of several periods weighs as much as all of them: rows per period are known, bytes are not.
     sizes = {period: sum(size[v] for v in holds.get(period, ())) for period in touched}
     finished: set[tuple] = set()
@@ -178,6 +180,14 @@ def _bring_into_silver(spark: SparkSession, root: str, live: Sequence[Row], pend
         entered.update((e.version, e.event) for e in ready)
 
 
+def version_bytes(pieces: Iterable[Row]) -> dict[str, int]:
+    """The bytes of each version, from one pass over the pieces."""
+    size: dict[str, int] = {}
+    for piece in pieces:
+        size[piece[LANDING[1]]] = size.get(piece[LANDING[1]], 0) + piece.bytes
+    return size
+
+
 def batches(sizes: dict[tuple, int], most: int = BATCH_BYTES) -> list[list[tuple]]:
     """All the periods, in order, in runs of at most so many bytes; a larger period is a run of its own."""
     runs, held = [], 0
@@ -196,9 +206,11 @@ def refresh_silver(
     """Builds the given silver periods from the landed pieces that hold their rows; other periods keep their files.
 
     Neither the old rows of these periods nor any other are read, so a repeated or interrupted run changes nothing.
+    Rows are rebalanced by period before the derived columns are added, so both shuffles carry packed rows.
     """
     found = _with_period_keys(scan_pieces(spark, landed, pieces, CORE_COLUMNS, delimiter)).drop(LANDING[1])
-    write_silver(build_silver(found.where(any_period(periods, SILVER_PERIOD))), silver, existing="replace_periods")
+    rows = build_silver(found.where(any_period(periods, SILVER_PERIOD)), partial(dedup_rows, by=SILVER_PERIOD))
+    write_silver(rows, silver, existing="replace_periods", rebalance=False)
 
 
 def refresh_summaries(spark: SparkSession, silver: str, root: str, changed: Sequence[tuple]) -> None:

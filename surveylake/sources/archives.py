@@ -14,12 +14,17 @@ from pyspark.sql import functions as F
 from surveylake.contract import BRONZE_PERIOD, CORE_COLUMNS, strings
 from surveylake.operators.conform import conform_union, header_names, missing_columns
 from surveylake.operators.periods import ALLOWED_MONTHS, any_period
+from surveylake.session import open_files
 from surveylake.sources.files import decode_lines, open_in_place
 from surveylake.sources.layers import load_if_present
 
 BLOCK_BYTES = 1 << 20
-# Compressed bytes that one task should unpack.
-TASK_BYTES = 128 << 20
+# Compressed bytes that one task should unpack, and archives that it should not exceed: it keeps their files open.
+TASK_BYTES = 32 << 20
+TASK_ARCHIVES = 32
+
+# Directories a landing task writes to without sorting its blocks: of headers and of data, with some to spare.
+OPEN_PLACES = 4 * TASK_ARCHIVES
 
 MEMBER_SCHEMA = "year string, month string, path string, version string, member string"
 BLOCK_SCHEMA = "year string, month string, version string, member string, header string, block string"
@@ -72,9 +77,9 @@ def read_blocks(archives: DataFrame, in_place: bool = True) -> DataFrame:
     """
     if not in_place:
         return archives.select("year", "month", _version(archives), "content").mapInArrow(_unpack_contents, BLOCK_SCHEMA)
-    total = archives.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    total, n = archives.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first()
     # A row stands for a whole member: adaptive execution would merge such short rows into one task.
-    tasks = max(archives.sparkSession.sparkContext.defaultParallelism, total // TASK_BYTES)
+    tasks = max(archives.sparkSession.sparkContext.defaultParallelism, total // TASK_BYTES, n // TASK_ARCHIVES)
     return members_of(archives).repartition(tasks).mapInArrow(_unpack_members, BLOCK_SCHEMA)
 
 
@@ -95,14 +100,28 @@ def block_lines(blocks: DataFrame, *more: str) -> DataFrame:
     return lines.where(F.trim("value") != "")
 
 
+def block_texts(blocks: DataFrame, *more: str) -> DataFrame:
+    """The lines of `block_lines`, those of a block as one text with newlines between: written as text, they are the same.
+
+    Blocks are taken apart only where a line may be blank.
+    """
+    text = F.coalesce("block", "header")
+    suspect = text.contains("\n\n") | text.contains("\n ") | text.endswith("\n") | text.startswith("\n") | text.startswith(" ")
+    filled = F.array_join(F.filter(F.split(text, "\n"), lambda line: F.trim(line) != ""), "\n")
+    kind = F.when(F.col("block").isNull(), "header").otherwise("data")
+    texts = blocks.select(*more, kind.alias("kind"), "year", "month", F.md5("header").alias("layout"), F.when(suspect, filled).otherwise(text).alias("value"))
+    return texts.where("value != ''")
+
+
 def land_archives(archives: DataFrame, target: str, mode: str = "overwrite", in_place: bool = True) -> None:
     """Lands the lines of the listed archives in one pass as `kind=/year=/month=/layout=` text.
 
     Headers land apart from the data, so later reads learn every layout from a few small files. Landing an archive
     again with `append` repeats its lines, which the silver layer drops.
     """
-    lines = block_lines(read_blocks(archives, in_place))
-    lines.write.mode(mode).partitionBy("kind", "year", "month", "layout").text(target)
+    texts = block_texts(read_blocks(archives, in_place))
+    with open_files(archives.sparkSession, OPEN_PLACES):
+        texts.write.mode(mode).partitionBy("kind", "year", "month", "layout").text(target)
 
 
 def land_versions(archives: DataFrame, target: str, run: str, in_place: bool = True) -> DataFrame:
@@ -112,9 +131,10 @@ def land_versions(archives: DataFrame, target: str, run: str, in_place: bool = T
     lines (0 where it has a header only). An archive without CSV members lands nothing. Lists the files of this run
     only; what a run that stopped has left is in no piece and never read.
     """
-    lines = block_lines(read_blocks(archives, in_place), "version").withColumnRenamed("version", LANDING[1])
+    texts = block_texts(read_blocks(archives, in_place), "version").withColumnRenamed("version", LANDING[1])
     place = f"{target}/{LANDING[0]}={run}"
-    lines.write.mode("overwrite").partitionBy(LANDING[1], "kind", *BRONZE_PERIOD, "layout").text(place)
+    with open_files(archives.sparkSession, OPEN_PLACES):
+        texts.write.mode("overwrite").partitionBy(LANDING[1], "kind", *BRONZE_PERIOD, "layout").text(place)
     spark, keys = archives.sparkSession, [LANDING[1], *BRONZE_PERIOD, "layout"]
     schema = ", ".join(f"{name} string" for name in ("value", LANDING[1], "kind", *BRONZE_PERIOD, "layout"))
     reader = spark.read.format("text").schema(schema).option("basePath", place)

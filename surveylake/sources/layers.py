@@ -6,6 +6,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
 from surveylake.contract import BRONZE_PERIOD, SILVER_PERIOD, strings
+from surveylake.session import open_files
+
+# Periods that a task writes without sorting its rows; each open Parquet file holds up to a row group in memory.
+OPEN_PERIODS = 4
 
 
 def write_bronze(df: DataFrame, path: str, delimiter: str = ",", mode: str = "overwrite") -> None:
@@ -25,7 +29,8 @@ def write_silver(df: DataFrame, path: str, existing: str = "replace", rebalance:
     rows = df.hint("rebalance", *SILVER_PERIOD) if rebalance else df
     writer = rows.write.mode("append" if existing == "keep" else "overwrite")
     writer = writer.option("partitionOverwriteMode", "dynamic" if existing == "replace_periods" else "static")
-    writer.partitionBy(*SILVER_PERIOD).parquet(path)
+    with open_files(df.sparkSession, OPEN_PERIODS):
+        writer.partitionBy(*SILVER_PERIOD).parquet(path)
 
 
 def read_silver(spark: SparkSession, path: str, schema) -> DataFrame:

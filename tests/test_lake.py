@@ -1,17 +1,21 @@
 import shutil
 import zipfile
+from functools import partial
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from surveylake.contract import SILVER_SCHEMA
 from surveylake.operators.periods import ALL_MONTHS
 from surveylake.fixtures import microdata, table, write_archives
 from surveylake.plans.gold import GOLD_TABLES, gold_table
-from surveylake.plans.lake import batches, refresh_lake
+from surveylake.operators.dedup import dedup_rows
+from surveylake.plans.lake import batches, refresh_lake, version_bytes
 from surveylake.plans.silver import build_silver
-from surveylake.session import sized_for, task_settings
-from surveylake.sources.archives import land_archives, list_archives
+from surveylake.session import open_files, sized_for, task_settings
+from surveylake.sources.archives import block_lines, block_texts, land_archives, list_archives, scan_landed
 from surveylake.sources.catalog import ensure_database, register_published
 from surveylake.sources.layers import read_silver
 from surveylake.sources.published import published
@@ -324,3 +328,57 @@ def test_task_sizes_are_restored(spark):
     with sized_for(spark, spark.createDataFrame([(10 << 30,), (5,)], "length long")):
         assert spark.conf.get(keys[0]) == "41"
     assert [spark.conf.get(key) for key in keys] == before
+
+
+def test_bytes_of_versions_take_one_pass():
+    pieces = [Row(archive_version=v, bytes=n) for v, n in (("a", 1), ("b", 2), ("a", 4), ("c", 0))]
+    assert version_bytes(iter(pieces)) == {"a": 5, "b": 2, "c": 0}
+
+
+def test_a_task_packs_its_rows_into_one_archive_a_period(spark, tmp_path, rows, monkeypatch):
+    from surveylake import fixtures
+
+    names = ("ano", "v1013", "a002", "a003")
+    odd = F.when(F.col("id") % 7 == 0, 'a "b", c').when(F.col("id") % 7 == 1, "").when(F.col("id") % 7 != 2, "x")
+    values = [F.lit("2020"), (9 + F.col("id") % 2).cast("string"), F.col("id").cast("string"), odd]
+    many = spark.range(0, 25_000, 1, 1).select(*[value.alias(name) for name, value in zip(names, values)])
+    write_archives(many.unionByName(many.limit(1).withColumn("v1013", F.lit(None).cast("string"))).coalesce(1), str(tmp_path / "few"))
+    assert len(list((tmp_path / "few").iterdir())) == 2  # rows without a period are in no archive
+    monkeypatch.setattr(fixtures, "ARCHIVE_BYTES", 1)
+    write_archives(many, str(tmp_path / "many"))
+    assert len(list((tmp_path / "many").iterdir())) > 2
+    for folder in ("few", "many"):
+        land_archives(list_archives(spark, str(tmp_path / folder)), f"{tmp_path}/landed-{folder}")
+        found = scan_landed(spark, f"{tmp_path}/landed-{folder}")
+        assert rows(found, "v1013", "a002", "a003") == rows(many, "v1013", "a002", F.when(F.col("a003") != "", F.col("a003")))
+
+
+def test_blocks_land_the_lines_that_are_not_blank(spark, tmp_path, rows):
+    texts = [None, "1,2", "", "   ", "\n1,2\n\n", " 1,2\n 3,4", "1,2\n  \n3,4\n", "1,2\n\t\n3,4", "1,2\n3,4", "1\r\n \r\n2"]
+    blocks = spark.createDataFrame([("2020", "09", h, t) for h in ("A,B", " ", "") for t in texts], "year string, month string, header string, block string")
+    lines, landed = str(tmp_path / "lines"), str(tmp_path / "texts")
+    block_lines(blocks).write.partitionBy("kind", "year", "month", "layout").text(lines)
+    block_texts(blocks).write.partitionBy("kind", "year", "month", "layout").text(landed)
+    assert rows(spark.read.text(landed)) == rows(spark.read.text(lines))
+
+
+def test_landing_does_not_sort(spark, tmp_path):
+    blocks = spark.createDataFrame([("2020", "09", "A,B", "1,2")], "year string, month string, header string, block string")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    with open_files(spark, 50):
+        assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "50"
+        block_texts(blocks).write.partitionBy("kind", "year", "month", "layout").text(str(tmp_path / "landed"))
+        with open_files(spark, 3):
+            assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "50"
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
+def test_rows_are_rebalanced_while_they_are_packed(spark, rows):
+    bronze = microdata(table(spark, SF_DIR, "lineitem"))
+    odd = bronze.limit(40).withColumns({"ano": F.lit(None).cast("string"), "uf": F.lit("a\x1fb")})
+    bronze = bronze.unionByName(odd).unionByName(bronze.limit(100))
+    by = build_silver(bronze, partial(dedup_rows, by=("ano", "v1013")))
+    expected = build_silver(bronze)
+    assert by.schema == expected.schema and rows(by) == rows(expected)
+    plan = by._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("uf_nome") < plan.index("RebalancePartitions")
