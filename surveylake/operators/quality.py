@@ -89,13 +89,15 @@ def check_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _duplicates_row(per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), row_count().alias("n_keys")))
 
 
-def key_counts(df: DataFrame, keys: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def key_counts(df: DataFrame, keys: Sequence[str], by: Sequence[str] = (), rebalance: bool = False) -> DataFrame:
     """Rows per distinct keys within each group of `by`: these columns, `_hash` of the keys, and `_n`.
 
-    Kept per period, such counts take the place of the rows when repeats are looked for across periods.
+    Kept per period, such counts take the place of the rows when repeats are looked for across periods. `rebalance`
+    groups them by `by` before they get their hashes, which do not compress, for a writer that need not do it.
     """
     columns = [*by, *[key for key in keys if key not in by]]
     counted = df.groupBy(*columns).agg(row_count().alias("_n"))
+    counted = counted.hint("rebalance", *by) if rebalance else counted
     return counted.select(*columns, F.xxhash64(*keys).alias("_hash"), "_n")
 
 
@@ -109,7 +111,8 @@ def duplicates_of_counts(counts: DataFrame, keys: Sequence[str], by: Sequence[st
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"), row_count().alias("n_keys"))
     if set(by) <= set(keys):
         return _duplicates_row(total)
-    per_hash = counts.groupBy("_hash").agg(row_count().alias("_entries"))
+    # No hash is NULL; said here, it need not be inferred for the join, and hashes are shuffled once for both uses.
+    per_hash = counts.where("_hash is not null").groupBy("_hash").agg(row_count().alias("_entries"))
     alone = per_hash.agg(count_where(F.col("_entries") == 1).alias("n"))
     again = counts.join(per_hash.where("_entries > 1").select("_hash"), "_hash", "left_semi")
     compared = again.groupBy(*keys).agg(row_count().alias("_entries")).agg(row_count().alias("n"))

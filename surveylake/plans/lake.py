@@ -235,7 +235,8 @@ def _up_to_date_key_counts(spark: SparkSession, root: str, keys: Sequence[str])
     changed, gone = stale_periods(spark, root, "silver", layer)
     if changed:
         rows = read_periods(spark, f"{root}/silver", SILVER_SCHEMA, changed)
-        write_silver(quality.key_counts(rows, keys, SILVER_PERIOD), f"{root}/{layer}", existing="replace_periods")
+        counts = quality.key_counts(rows, keys, SILVER_PERIOD, rebalance=True)
+        write_silver(counts, f"{root}/{layer}", existing="replace_periods", rebalance=False)
     remove_paths(spark, [period_directory(spark, f"{root}/{layer}", period) for period in gone])
     note_periods(spark, root, {layer: changed}, {layer: gone})
     schema = quality.key_counts(spark.createDataFrame([], SILVER_SCHEMA), keys, SILVER_PERIOD).schema

@@ -10,7 +10,7 @@ from surveylake.operators import quality
 from surveylake.plans.lake import refresh_lake
 from surveylake.plans.silver import build_silver
 from surveylake.sources import catalog, manifest
-from surveylake.sources.layers import read_silver, write_silver
+from surveylake.sources.layers import read_silver, write_silver, write_table
 
 KEYS = ["uf", "a002"]
 
@@ -149,3 +149,12 @@ def test_only_noted_periods_are_shown(spark, tmp_path):
     assert manifest.read_noted(spark, root, "silver", SILVER_SCHEMA).isEmpty()
     manifest.note_periods(spark, root, {"silver": [("2020", "9")]})
     assert [r.v1013 for r in manifest.read_noted(spark, root, "silver", SILVER_SCHEMA).collect()] == ["9"]
+
+
+def test_hashes_are_shuffled_once(spark, tmp_path):
+    df = spark.createDataFrame([(n % 5, n % 7, str(n % 3)) for n in range(99)], "a int, b int, part string")
+    counts = quality.key_counts(df, ["a", "b"], ["part"], rebalance=True)
+    write_table(counts, str(tmp_path / "counts"))
+    found = quality.duplicates_of_counts(spark.read.schema(counts.schema).parquet(str(tmp_path / "counts")), ["a", "b"], ["part"])
+    assert found.collect() == quality.check_duplicates(df, ["a", "b"]).collect()
+    assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
