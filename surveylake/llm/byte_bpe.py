@@ -13,7 +13,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from surveylake.llm.common import slices, table, worker_state
+from surveylake.llm.common import each_value, slices, table, worker_state
 from surveylake.llm.inthash import IntHash
 
 SLICE = 1 << 23
@@ -197,7 +197,7 @@ class TextEncoder:
 
 
 def text_encoder(file: bytes, pattern: str) -> TextEncoder:
-    state, key = worker_state(), ("ranks", hash(file), pattern)
+    state, key = worker_state("tokens"), ("ranks", hash(file), pattern)
     if key not in state:
         state[key] = TextEncoder(file, pattern)
     return state[key]
@@ -244,7 +244,7 @@ def encoded_digests(docs: DataFrame, vocabulary: str, pattern: str, key: str = "
 
 def _slices(batches):
     for batch in batches:
-        for first, texts in slices(batch.column(1).to_pylist(), SLICE):
+        for first, texts in slices(each_value(batch.column(1)), SLICE):
             yield batch.slice(first, len(texts)).column(0), texts
 
 

@@ -24,9 +24,9 @@ class IntHash:
     def insert(self, keys: np.ndarray, values: np.ndarray) -> None:
         """Adds keys that are distinct and not held yet."""
         self.size += len(keys)
-        if 4 * self.size > self.mask:
+        if 3 * self.size > self.mask:
             held = self.cells[self.cells[:, 0] >= 0]
-            self._allocate(int(8 * self.size).bit_length())
+            self._allocate(int(3 * self.size).bit_length())
             self._place(held)
         self._place(np.stack([keys, values], 1).astype(np.int64))
 

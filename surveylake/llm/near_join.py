@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import kept_once, settled, slices, table, written
+from surveylake.llm.common import each_value, kept_once, settled, slices, table, worker_state, written
 from surveylake.llm.components import connected
 from surveylake.llm.exact_dedup import grouped
 
@@ -28,7 +28,7 @@ FIRST = 2
 #: Documents, and shingles, of a block; a larger group is compared block by block.
 BLOCK = 2048
 BLOCK_SHINGLES = 1 << 20
-SLICE = 1 << 21
+SLICE = 1 << 20
 _U = np.uint64
 
 
@@ -167,8 +167,9 @@ def sketches(texts: DataFrame) -> DataFrame:
     """`row`, `set_id`, `n_shingles`, `bands`, `sketch` of every row with a word. Equal sets have the same `set_id`."""
 
     def sketch(batches):
+        worker_state("near join")
         for batch in batches:
-            for first, part in slices(batch.column(1).to_pylist(), SLICE):
+            for first, part in slices(each_value(batch.column(1)), SLICE):
                 hashes, firsts = shingles(part)
                 some = np.flatnonzero(np.diff(firsts))
                 sets = [np.unique(hashes[firsts[i] : firsts[i + 1]]) for i in some]
@@ -242,6 +243,7 @@ def _likely_edges(members: DataFrame, sketched: DataFrame, labels: DataFrame | N
     dealt = _blocks(met, "band", F.ceil(F.col("n") / BLOCK), across).select("band", "i", "j", "block", "label", "sketch")
 
     def connect(batches):
+        worker_state("near join")
         fewest = cutoffs(threshold)
         for _, group in runs(batches, 3):
             label, block = group.column("label").to_numpy(), group.column("block").to_numpy()
@@ -264,8 +266,9 @@ def group_sets(texts: DataFrame, groups: DataFrame) -> DataFrame:
     members = groups.select(F.col("node").alias("row"), "label").join(sizes, "label").join(texts, "row")
 
     def convert(batches):
+        worker_state("near join")
         for batch in batches:
-            for first, part in slices(batch.column("text").to_pylist(), SLICE):
+            for first, part in slices(each_value(batch.column("text")), SLICE):
                 hashes, firsts = shingles(part)
                 sets = [np.unique(hashes[a:b]).tobytes() for a, b in zip(firsts, firsts[1:])]
                 kept = [batch.column(n).slice(first, len(part)) for n in ("row", "label", "blocks")]
@@ -293,6 +296,7 @@ def verified(sets: DataFrame, known: DataFrame | None, threshold: float = THRESH
     dealt = _blocks(rows, "label", F.col("blocks"), known is not None).select("label", "i", "j", "block", "row", "known", "set", "sketch")
 
     def verify(batches):
+        worker_state("near join")
         for (_, i, j), group in runs(batches, 3):
             row, block = group.column("row").to_numpy(), group.column("block").to_numpy()
             found = [np.frombuffer(s, _U) for s in group.column("set").to_pylist()]

@@ -13,12 +13,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import slices, table, written
+from surveylake.llm.common import each_value, slices, table, written
 from surveylake.llm.transducer import compiled
 
 CAPACITY = 2048
 END_ID = 0
-SLICE = 1 << 21
+SLICE = 1 << 20
 #: Parts into which the pieces of one length are dealt to be numbered: so many, and more where a part would get more
 #: pieces of a length than that, so that no task numbers many.
 PARTS, PART_PIECES = 256, 1 << 17
@@ -38,7 +38,7 @@ def tokenised_pieces(
     def cut(batches):
         machine, row = compiled(file.value), TaskContext.get().partitionId() << 40
         for batch in batches:
-            for first, texts in slices(batch.column(1).to_pylist(), SLICE):
+            for first, texts in slices(each_value(batch.column(1)), SLICE):
                 ids, at = machine.ids(texts)
                 ids = np.insert(ids.astype("<u4"), at[1:], end)
                 at = at + np.arange(len(at))

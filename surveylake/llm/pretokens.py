@@ -19,7 +19,7 @@ BETWEEN = "\ud800"
 
 def classes() -> np.ndarray:
     """The class of every code point, once per worker."""
-    state = worker_state()
+    state = worker_state("tokens")
     if "classes" not in state:
         kinds = {"L": LETTER, "N": NUMBER}
         found = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)), np.uint8)

@@ -8,11 +8,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import slices, table
+from surveylake.llm.common import each_value, slices, table
 from surveylake.llm.transducer import compiled
 
 #: Characters that a task works on at once.
-SLICE = 1 << 21
+SLICE = 1 << 20
 
 
 def token_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -28,7 +28,7 @@ def token_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
     def count(batches):
         machine = compiled(file.value)
         for batch in batches:
-            for first, texts in slices(batch.column(1).to_pylist(), SLICE):
+            for first, texts in slices(each_value(batch.column(1)), SLICE):
                 part = batch.slice(first, len(texts)).column(0)
                 yield pa.RecordBatch.from_arrays([part, pa.array(machine.counts(texts))], ["key", "n_tokens"])
 

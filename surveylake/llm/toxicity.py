@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import slices, table, worker_state
+from surveylake.llm.common import each_value, slices, table, worker_state
 
 SLICE = 1 << 22
 KNOWN_WORDS = 400_000
@@ -237,7 +237,7 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), k
 def _sampled(docs: DataFrame, picked: DataFrame, settings: Settings, key: str, text: str) -> list[tuple[int, bytes]]:
     def reduce_texts(batches):
         for batch in batches:
-            ids = [terms(t, settings).tobytes() for t in batch.column(1).to_pylist()]
+            ids = [terms(t, settings).tobytes() for t in each_value(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["y", "terms"])
 
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
@@ -251,7 +251,7 @@ def scorer(shared, settings: Settings):
     bias, used, weights, factors = shared.value
     small, place = Model(bias, weights, factors), np.full(1 << settings.bits, -1, np.int32)
     place[used] = np.arange(len(used))
-    known = worker_state().setdefault(("terms", hash(used.tobytes()), settings), {})
+    known = worker_state("toxicity").setdefault(("terms", hash(used.tobytes()), settings), {})
     find = re.compile(_words).findall
 
     def scores(texts: list[str]) -> np.ndarray:
@@ -288,7 +288,7 @@ def scored(docs: DataFrame, model: Model, settings: Settings = Settings(), key:
     def score(batches):
         scores = scorer(shared, settings)
         for batch in batches:
-            for first, texts in slices(batch.column(1).to_pylist(), SLICE):
+            for first, texts in slices(each_value(batch.column(1)), SLICE):
                 yield pa.RecordBatch.from_arrays([batch.slice(first, len(texts)).column(0), pa.array(scores(texts))], [key, "score"])
 
     kind = docs.schema[key].dataType.simpleString()
@@ -302,7 +302,7 @@ def below_threshold(docs: DataFrame, model: Model, settings: Settings = Settings
     def select(batches):
         scores = scorer(shared, settings)
         for batch in batches:
-            for first, texts in slices(batch.column(at).to_pylist(), SLICE):
+            for first, texts in slices(each_value(batch.column(at)), SLICE):
                 yield batch.slice(first, len(texts)).filter(pa.array(scores(texts) < settings.threshold))
 
     return docs.mapInArrow(select, docs.schema)

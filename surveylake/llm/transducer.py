@@ -12,11 +12,11 @@ from surveylake.llm.inthash import IntHash
 from surveylake.llm.pretokens import cut
 
 #: Bytes of a chunk; all chunks of a slice take their steps side by side.
-CHUNK = 256
+CHUNK = 128
 #: States beyond which the compiled part is dropped and begun anew, so that memory stays bounded.
-MAX_STATES = 1 << 19
+MAX_STATES = 3 << 17
 #: Pairs of tokens beyond which what is known of them is dropped as well.
-MAX_FITS = 1 << 21
+MAX_FITS = 1 << 19
 #: Rounds of entry states that are tried for the chunks of a long piece before the rest is carried on in order.
 ROUNDS = 32
 _ID = 20  # bits of a token id or a trie node
@@ -332,7 +332,7 @@ def _first_equal(rows: np.ndarray) -> np.ndarray:
 
 def compiled(file: bytes) -> Transducer:
     """The vocabulary's transducer, which a worker keeps from task to task."""
-    state = worker_state()
+    state = worker_state("tokens")
     key = ("transducer", hash(file))
     if key not in state:
         state[key] = Transducer(file)

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -187,6 +188,51 @@ def test_inthash():
     assert (held.get(np.arange(10**9, 10**9 + 1000)) == -1).all()
 
 
+def test_inthash_takes_few_cells_a_key():
+    held = IntHash(4)
+    for part in np.array_split(np.arange(300_000), 30):
+        held.insert(part, part)
+        assert len(held.cells) <= max(16, 6 * held.size)
+    assert (held.get(np.arange(300_001)) == np.append(np.arange(300_000), -1)).all()
+
+
+def test_workers_keep_the_state_of_one_kind_of_work(spark):
+    from surveylake.llm import common
+
+    def work(batches):
+        for batch in batches:
+            machine = compiled(file)
+            assert compiled(file) is machine
+            kept = len(common.worker_state("tokens"))
+            assert not common.worker_state("near join")
+            assert compiled(file) is not machine
+            yield pa.RecordBatch.from_arrays([pa.array([kept])], ["kept"])
+
+    file = read(JSON)
+    assert spark.range(1, numPartitions=1).mapInArrow(work, "kept bigint").first()["kept"] >= 1
+
+
+def test_values_are_made_a_run_at_a_time():
+    from surveylake.llm.common import each_value, slices
+
+    class Column:
+        def __init__(self, held):
+            self.held, self.most = held, []
+
+        def __len__(self):
+            return len(self.held)
+
+        def slice(self, first, rows):
+            part = pa.array(self.held[first : first + rows])
+            self.most.append(len(part))
+            return part
+
+    column = Column([None, "", *(f"text {n}" for n in range(2000))])
+    found = [t for _, part in slices(each_value(column), 100) for t in part]
+    assert found == [t or "" for t in column.held] and max(column.most) <= 512
+    assert list(each_value(pa.array([], pa.string()))) == []
+
+
 def check_packed(rows, capacity):
     places = defaultdict(list)
     for r in rows:
