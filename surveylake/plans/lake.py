@@ -21,7 +21,7 @@ from surveylake.sources.archives import (
     LANDING, PIECES, absent_columns, land_versions, list_archives, scan_pieces, with_period, with_version,
 )
 from surveylake.sources.files import can_open_in_place
-from surveylake.sources.layers import load_if_present, period_directory, read_periods, write_silver
+from surveylake.sources.layers import OPEN_PERIODS, load_if_present, period_directory, read_periods, write_silver
 from surveylake.sources.manifest import note_periods, noted_periods, read_noted, stale_periods
 from surveylake.sources.published import publish
 
@@ -135,7 +135,8 @@ def _land(spark: SparkSession, drops: str, root: str, run: str, new: Sequence[Ro
     if pieces:
         found = _with_period_keys(scan_pieces(spark, f"{root}/landed", pieces, CORE_COLUMNS, delimiter))
         carried = found.groupBy(F.col(LANDING[1]).alias("version"), *SILVER_PERIOD).agg(F.count(F.lit(1)).alias("n_rows"))
-        carried.coalesce(1).write.mode("append").parquet(f"{root}/carried")
+        with sized_for_bytes(spark, sum(piece.bytes for piece in pieces)):
+            carried.coalesce(1).write.mode("append").parquet(f"{root}/carried")
 
 
 def _with_period_keys(rows: DataFrame) -> DataFrame:
@@ -206,10 +207,12 @@ def refresh_silver(
     """Builds the given silver periods from the landed pieces that hold their rows; other periods keep their files.
 
     Neither the old rows of these periods nor any other are read, so a repeated or interrupted run changes nothing.
-    Rows are rebalanced by period before the derived columns are added, so both shuffles carry packed rows.
+    Rows are rebalanced by period before the derived columns are added, so both shuffles carry packed rows. Where a task
+    can keep a file open for each of the periods, it writes the rows as they were de-duplicated, shuffled once.
     """
     found = _with_period_keys(scan_pieces(spark, landed, pieces, CORE_COLUMNS, delimiter)).drop(LANDING[1])
-    rows = build_silver(found.where(any_period(periods, SILVER_PERIOD)), partial(dedup_rows, by=SILVER_PERIOD))
+    by = SILVER_PERIOD if len(periods) > OPEN_PERIODS else ()
+    rows = build_silver(found.where(any_period(periods, SILVER_PERIOD)), partial(dedup_rows, by=by))
     write_silver(rows, silver, existing="replace_periods", rebalance=False)
 
 

@@ -322,6 +322,28 @@ def test_task_settings_grow_with_the_input():
     assert huge["spark.sql.files.maxPartitionBytes"] == str(1 << 30)
 
 
+def test_scans_of_few_large_splits_are_split_finer():
+    for total, scan in ((1 << 30, 8 << 20), (4 << 30, 32 << 20), (64 << 30, 128 << 20)):
+        assert task_settings(total, 200, 128 << 20)["spark.sql.files.maxPartitionBytes"] == str(scan)
+    assert task_settings(1 << 30, 200, 4 << 20)["spark.sql.files.maxPartitionBytes"] == str(4 << 20)
+
+
+def test_few_periods_are_shuffled_once(spark, tmp_path, monkeypatch):
+    from surveylake.contract import CORE_COLUMNS
+    from surveylake.plans import lake
+
+    written = []
+    monkeypatch.setattr(lake, "scan_pieces", lambda *_: held)
+    monkeypatch.setattr(lake, "write_silver", lambda rows, *_, **__: written.append(rows))
+    held = spark.createDataFrame([("2020", str(month)) for month in range(1, 13)] * 2, "ano string, v1013 string")
+    held = held.withColumns({name: F.lit("1") for name in (*CORE_COLUMNS, "archive_version") if name not in held.columns})
+    for most in (3, 12):
+        lake.refresh_silver(spark, "landed", str(tmp_path), [("2020", str(month)) for month in range(1, most + 1)], [])
+        assert written[-1].count() == most
+    few, many = (rows._jdf.queryExecution().optimizedPlan().toString() for rows in written)
+    assert "Rebalance" not in few and "Rebalance" in many
+
+
 def test_task_sizes_are_restored(spark):
     keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
     before = [spark.conf.get(key) for key in keys]
